@@ -28,7 +28,7 @@ def top_k(df: DataFrame, by: Sequence[str], score: str, k: int, ties: Sequence[s
 
 def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """``n`` rows without replacement, the same ones on every run."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}"))), F.col(key)).limit(n)
 
 
 def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:

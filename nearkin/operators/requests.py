@@ -59,6 +59,12 @@ def validate_batches(df: DataFrame) -> DataFrame:
         batch_empty=F.col("questions").isNull() | (size < 1), batch_too_large=size > MAX_BATCH, **_option_checks()))
 
 
+def validate_batch_sizes(items: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """``batch, n_items, reject_reason`` for batches that come as one row per item."""
+    sizes = items.groupBy(batch).agg(F.count("*").alias("n_items"))
+    return sizes.withColumn("reject_reason", _reasons(batch_too_large=F.col("n_items") > MAX_BATCH))
+
+
 def validate_ingest(df: DataFrame) -> DataFrame:
     checked = df.withColumn("reject_reason", _reasons(**_text_checks(F.col("question_text"), "question_text")))
     return checked.withColumn("question_text", strip(F.col("question_text")))

@@ -12,6 +12,8 @@ from nearkin.operators.requests import DEFAULT_THRESHOLD, DEFAULT_TOP_K
 from nearkin.operators.vectors import VectorIndex, attach_questions, knn_clustered
 
 OVERFETCH = 2
+# Above any candidate count, so that comparing scorers keeps all candidates.
+MAX_CANDIDATES = 1 << 30
 
 
 def encode_queries(queries: DataFrame, encoder: Encoder) -> DataFrame:
@@ -56,10 +58,10 @@ def hybrid_search(queries: DataFrame, index: VectorIndex, keywords: bm25.Bm25Ind
     return reciprocal_rank_fusion([dense, sparse], rrf_k, k)
 
 
-def compare_scorers(candidates: DataFrame, first: PairScorer, second: PairScorer, k: int = 10) -> DataFrame:
-    """Ranks and scores of the same candidates under two pair scorers, side by side."""
-    a = rerank(candidates, first, k).select(
-        "query_id", "question_id", F.col("rank").alias("first_rank"), F.col("score").alias("first_score"))
-    b = rerank(candidates, second, k).select(
-        "query_id", "question_id", F.col("rank").alias("second_rank"), F.col("score").alias("second_score"))
-    return a.join(b, ["query_id", "question_id"], "full")
+def compare_rerank(candidates: DataFrame, scorer: PairScorer) -> DataFrame:
+    """Rank and score of every candidate before and after the pair scorer."""
+    after = rerank(candidates, scorer, MAX_CANDIDATES).select(
+        "query_id", "question_id", F.col("rank").alias("scorer_rank"), F.col("score").alias("scorer_score"))
+    before = candidates.select(
+        "query_id", "question_id", F.col("rank").alias("vector_rank"), F.col("score").alias("vector_score"))
+    return before.join(after, ["query_id", "question_id"])
