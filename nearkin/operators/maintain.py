@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from nearkin.functions.encoders import Encoder
 from nearkin.functions.text import clean_transformer
-from nearkin.functions.vectors import dot
 from nearkin.operators.ranking import latest_per_key
-from nearkin.operators.vectors import VectorIndex, assign_cells, build_vector_index, mean_similarity
+from nearkin.operators.vectors import VectorIndex, assign_cells, build_vector_index, mean_similarity, similarity_to
 from nearkin.session import materialize
 from nearkin.sources.versions import read_version, write_version
 
@@ -32,10 +31,9 @@ def detect_drift(new_vectors: DataFrame, centroid: DataFrame, threshold: float =
 def drift_by_window(new_vectors: DataFrame, centroid: DataFrame, ts: str = "ts", window: str = "30 days",
                     threshold: float = DRIFT_THRESHOLD) -> DataFrame:
     """Drift per time window of arrival; works on a batch table and on a watermarked stream."""
-    center = centroid.select("centroid").first()["centroid"]
-    similarity = dot(F.col("embedding"), F.array(*[F.lit(float(x)) for x in center]))
-    return new_vectors.groupBy(F.window(ts, window)).agg(
-        F.avg(similarity).alias("mean_similarity"), F.count("*").alias("n_new_questions"),
+    timed = new_vectors.withColumn("ts", F.col(ts).cast("timestamp"))
+    return timed.groupBy(F.window("ts", window)).agg(
+        F.avg(similarity_to(centroid)).alias("mean_similarity"), F.count("*").alias("n_new_questions"),
     ).select(
         F.col("window.start").alias("window_start"),
         F.round("mean_similarity", 4).alias("mean_similarity"),

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -252,8 +252,14 @@ def corpus_centroid(vectors: DataFrame) -> DataFrame:
 
 def mean_similarity(vectors: DataFrame, centroid: DataFrame) -> DataFrame:
     """One row ``mean_similarity, n`` of vectors against a one-row centroid."""
-    center = centroid.select("centroid").scalar()
-    return vectors.agg(F.avg(dot(F.col("embedding"), center)).alias("mean_similarity"), F.count("*").alias("n"))
+    similarity = similarity_to(centroid)
+    return vectors.agg(F.avg(similarity).alias("mean_similarity"), F.count("*").alias("n"))
+
+
+def similarity_to(centroid: DataFrame) -> Column:
+    """Inner product of ``embedding`` with a one-row centroid, which becomes a constant."""
+    center = centroid.select("centroid").first()["centroid"]
+    return dot(F.col("embedding"), F.array(*[F.lit(float(x)) for x in center]))
 
 
 def norm_report(vectors: DataFrame, tolerance: float = 1e-4) -> DataFrame:

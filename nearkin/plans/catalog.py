@@ -135,7 +135,13 @@ def candidates_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.readStream.schema(table(spark, sf, name).schema).parquet(f"{sf}/{name}.parquet")
+    schema = table(spark, sf, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+
+
+def plain_time(df: DataFrame, name: str = "window_start") -> DataFrame:
+    """Time stamps without a zone, as the input tables have them."""
+    return df.withColumn(name, F.col(name).cast("timestamp_ntz"))
 
 
 # --- pairs and corpus -------------------------------------------------------------------------
@@ -426,7 +432,7 @@ def pair_cosine(spark, sf):
 @query
 def l2_normalized(spark, sf):
     stretched = table(spark, sf, "embeddings").select(
-        "vec_id", F.transform("embedding", lambda x: x * (F.col("label") + 2)).alias("v"))
+        "vec_id", F.transform("embedding", lambda x: (x * (F.col("label") + 2)).cast("float")).alias("v"))
     return stretched.select("vec_id", F.posexplode(l2_normalize(F.col("v"))).alias("pos", "x")).select(
         "vec_id", "pos", F.round("x", 6).alias("x"))
 
@@ -653,7 +659,7 @@ def request_summary(spark, sf):
 
 @query
 def request_metrics(spark, sf):
-    return monitoring.request_metrics_by_window(request_log(table(spark, sf, "events")))
+    return plain_time(monitoring.request_metrics_by_window(request_log(table(spark, sf, "events"))))
 
 
 @query
@@ -661,12 +667,12 @@ def request_metrics_stream(spark, sf):
     root = scratch_path(spark, "metrics")
     stream = monitoring.request_metrics_by_window(request_log(stream_of(spark, sf, "events")))
     batches.keep_updates(stream, root, "metrics", f"{root}/checkpoint", available_now=True).awaitTermination()
-    return batches.latest_updates(spark, root, "metrics", "window_start")
+    return plain_time(batches.latest_updates(spark, root, "metrics", "window_start"))
 
 
 @query
 def click_through(spark, sf):
-    return monitoring.click_through_by_window(table(spark, sf, "events"), shown="view", dismissed="error")
+    return plain_time(monitoring.click_through_by_window(table(spark, sf, "events"), shown="view", dismissed="error"))
 
 
 @query
@@ -674,7 +680,7 @@ def click_through_stream(spark, sf):
     root = scratch_path(spark, "clicks")
     stream = monitoring.click_through_by_window(stream_of(spark, sf, "events"), shown="view", dismissed="error")
     batches.keep_updates(stream, root, "clicks", f"{root}/checkpoint", available_now=True).awaitTermination()
-    return batches.latest_updates(spark, root, "clicks", "window_start")
+    return plain_time(batches.latest_updates(spark, root, "clicks", "window_start"))
 
 
 @query
@@ -727,7 +733,7 @@ def drift_report(spark, sf):
 def drift_by_window(spark, sf):
     found = vectors_of(spark, sf)
     times = table(spark, sf, "events").select(F.col("event_id").alias("id"), "ts")
-    return maintain.drift_by_window(found.join(times, "id"), vectors.corpus_centroid(found), window="1 day")
+    return plain_time(maintain.drift_by_window(found.join(times, "id"), vectors.corpus_centroid(found), window="1 day"))
 
 
 @query

@@ -40,7 +40,7 @@ def request_metrics_by_window(log: DataFrame, window: str = "5 minutes", waterma
     """Requests, cache hit rate and mean latency per time window of ``ts``."""
     hits, misses = F.count(F.when(F.col("was_cached"), 1)), F.count(F.when(~F.col("was_cached"), 1))
     return (
-        log.withWatermark("ts", watermark).groupBy(F.window("ts", window)).agg(
+        log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark).groupBy(F.window("ts", window)).agg(
             F.count("*").alias("n_requests"), hits.alias("cache_hits"), misses.alias("cache_misses"),
             F.sum(F.when(F.col("status") >= 400, 1).otherwise(0)).alias("n_errors"),
             F.avg("latency_ms").alias("mean_latency"))
@@ -59,7 +59,7 @@ def click_through_by_window(log: DataFrame, window: str = "1 day", watermark: st
         return F.count(F.when(F.col("event_type") == kind, 1))
 
     return (
-        log.withWatermark("ts", watermark).groupBy(F.window("ts", window)).agg(
+        log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark).groupBy(F.window("ts", window)).agg(
             n(shown).alias("n_shown"), n(clicked).alias("n_clicked"), n(dismissed).alias("n_dismissed"))
         .select(
             F.col("window.start").alias("window_start"), "n_shown", "n_clicked", "n_dismissed",
