@@ -203,26 +203,28 @@ def term_counts(tokens: Column) -> Column:
     return let(F.sort_array(tokens), runs)
 
 
-def paired_term_counts(left: Column, right: Column) -> Column:
-    """``array<struct<term, tf1, tf2>>`` over the terms of two token arrays of one row."""
-    def tag(tokens: Column, side: int) -> Column:
-        return F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(side).alias("side")))
+# Sorts before every character a token can hold.
+SIDE_MARK = "\u0001"
+
+
+def two_sided_counts(left: Column, right: Column) -> Column:
+    """Term counts of two token arrays of one row, as ``array<struct<here, next>>``.
+
+    Right-hand terms carry a trailing mark. Sorting makes the two counts of a shared term
+    neighbours, and every entry comes with its successor, so that the counts of a term can be
+    paired row by row after an explode.
+    """
+    marked = F.transform(right, lambda t: F.concat(t, F.lit(SIDE_MARK)))
+    return let(
+        term_counts(F.concat(left, marked)),
+        lambda c: F.arrays_zip(
+            c.alias("here"), F.slice(c, F.lit(2), F.greatest(F.size(c), F.lit(1))).alias("next")),
+    )
+
+
+def is_right(marked_term: Column) -> Column:
+    return marked_term.endswith(SIDE_MARK)
 
-    def runs(s: Column) -> Column:
-        term = lambda i: F.get(s, i)["term"]
-        starts = F.filter(
-            F.when(F.size(s) > 0, F.sequence(F.lit(0), F.size(s) - 1)).otherwise(F.array().cast("array<int>")),
-            lambda i: (i == 0) | (term(i) != term(i - 1)),
-        )
-        return let(starts, lambda st: F.transform(
-            st,
-            lambda at, j: let(
-                F.coalesce(F.get(st, j + 1), F.size(s)),
-                lambda end: let(
-                    F.size(F.filter(F.slice(s, at + 1, end - at), lambda x: x["side"] == 1)),
-                    lambda n1: F.struct(term(at).alias("term"), n1.alias("tf1"), (end - at - n1).alias("tf2")),
-                ),
-            ),
-        ))
 
-    return let(F.sort_array(F.concat(tag(left, 1), tag(right, 2))), runs)
+def unmarked(marked_term: Column) -> Column:
+    return F.rtrim(marked_term, F.lit(SIDE_MARK))
