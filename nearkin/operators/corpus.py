@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from nearkin.functions.similarity import jaccard
-from nearkin.functions.text import CLEANERS, clean_transformer, is_blank, strip, word_count
+from nearkin.functions.text import CLEANERS, NON_WS, clean_transformer, is_blank, strip, word_count
 from nearkin.operators.ranking import with_row_index
 
 
@@ -46,11 +46,9 @@ def normalize_pairs(raw: DataFrame) -> DataFrame:
 
 def build_pairs(normalized: DataFrame) -> DataFrame:
     """Stripped texts; rows with an empty side are dropped."""
-    return (
-        normalized.withColumns({"question1": strip(F.col("question1")), "question2": strip(F.col("question2"))})
-        .filter((F.length("question1") > 0) & (F.length("question2") > 0))
-        .select("qid1", "qid2", "question1", "question2", "is_duplicate")
-    )
+    return normalized.filter(F.col("question1").rlike(NON_WS) & F.col("question2").rlike(NON_WS)).select(
+        "qid1", "qid2", strip(F.col("question1")).alias("question1"), strip(F.col("question2")).alias("question2"),
+        "is_duplicate")
 
 
 def build_corpus(normalized: DataFrame, one_text_per_id: bool = False) -> DataFrame:
@@ -96,7 +94,9 @@ def apply_cleaning(pairs: DataFrame, mode: str = "transformer", dropped: Observa
     """
     clean = CLEANERS[mode]
     q1, q2 = f"q1_{mode}", f"q2_{mode}"
-    cleaned = pairs.withColumns({q1: clean(F.col("question1")), q2: clean(F.col("question2"))})
+    # a generator keeps the optimizer from cleaning a second time inside the filter below
+    cleaned = pairs.select("*", F.inline(F.array(F.struct(
+        clean(F.col("question1")).alias(q1), clean(F.col("question2")).alias(q2)))))
     filled = (F.col(q1) != "") & (F.col(q2) != "")
     if dropped is not None:
         cleaned = cleaned.observe(

@@ -69,13 +69,12 @@ def latest_per_key(df: DataFrame, key: str, sequence: Sequence[str]) -> DataFram
     return newest.select(key, "_row.*").select(*columns)
 
 
-def top_n_by_count(df: DataFrame, count: str, n: int, tie: str, name: str = "top-n") -> DataFrame:
-    """The ``n`` rows of largest ``count``, for an ``n`` too large to sort in one task per input partition.
+def top_n_by_count(stored: DataFrame, count: str, n: int, tie: str) -> DataFrame:
+    """The ``n`` rows of largest ``count`` of a stored table, for ``n`` in the tens of thousands.
 
     A histogram over quarter-octaves of the count tells from where on the rows can be in the
-    result; only those reach the final ordering.
+    result; only those reach the final ordering, instead of ``n`` rows of every partition.
     """
-    stored = materialize(df, name)
     grade = F.floor(F.log2(F.col(count)) * 4)
     counts = Window.orderBy(F.col("_grade").desc())
     # at most a few hundred grades exist, whatever the number of rows

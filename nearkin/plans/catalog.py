@@ -272,19 +272,17 @@ def fuzzy_feature_table(spark, sf):
     return fuzzy_features(pairs_of(spark, sf), "question1", "question2").select("pair_id", *FEATURES[:3])
 
 
-def _vocabulary(spark, sf) -> tfidf.TfidfModel:
-    train = split_pairs(spark, sf).filter(F.col("split") == "train")
-    return tfidf.fit_tfidf(train, "question1", "question2")
-
-
 @query
 def tfidf_vocabulary(spark, sf):
-    return _vocabulary(spark, sf).vocabulary.select("term", F.round("idf", 6).alias("idf"))
+    train = split_pairs(spark, sf).filter(F.col("split") == "train")
+    return tfidf.fit_tfidf(train, "question1", "question2").vocabulary.select("term", F.round("idf", 6).alias("idf"))
 
 
 @query
 def tfidf_pair_cosine(spark, sf):
-    scored = tfidf.tfidf_cosine(pairs_of(spark, sf), "pair_id", "question1", "question2", _vocabulary(spark, sf))
+    pairs = materialize(split_pairs(spark, sf), "pairs")
+    model = tfidf.fit_tfidf(pairs.filter(F.col("split") == "train"), "question1", "question2")
+    scored = tfidf.tfidf_cosine(pairs, "pair_id", "question1", "question2", model)
     return scored.select("pair_id", F.round("tfidf_cosine", 6).alias("tfidf_cosine"))
 
 
@@ -294,7 +292,7 @@ def word_vector_cosine(spark, sf):
     counted = documents(spark, sf).select(F.explode(tx.term_counts(tx.words(F.lower("question_text")))).alias("t")).groupBy(
         F.col("t.term").alias("word")).agg(F.sum("t.tf").alias("cf"))
     n = vectors_of(spark, sf).count()
-    placed = ranking.top_n_by_count(counted, "cf", n, "word").withColumn(
+    placed = ranking.top_n_by_count(materialize(counted, "words"), "cf", n, "word").withColumn(
         "id", (F.row_number().over(Window.orderBy(F.desc("cf"), "word")) - 1).cast("long"))
     word_vectors = placed.join(vectors_of(spark, sf), "id").select("word", F.col("embedding").alias("vector"))
     scored = features.word_vector_cosine(pairs_of(spark, sf), "pair_id", "question1", "question2", word_vectors)
@@ -303,7 +301,7 @@ def word_vector_cosine(spark, sf):
 
 @query
 def feature_table(spark, sf):
-    cleaned = corpus.apply_cleaning(split_pairs(spark, sf), "classical")
+    cleaned = materialize(corpus.apply_cleaning(split_pairs(spark, sf), "classical"), "cleaned")
     model = tfidf.fit_tfidf(cleaned.filter(F.col("split") == "train"), "q1_classical", "q2_classical")
     return features.build_features(cleaned, "pair_id", tfidf=model, keep=("is_duplicate",))
 
@@ -787,7 +785,7 @@ def corpus_duplicates(spark, sf):
 # --- models -----------------------------------------------------------------------------------
 
 def _labelled_features(spark, sf) -> DataFrame:
-    cleaned = corpus.apply_cleaning(splits.hash_split(labelled_pairs(spark, sf), "pair_id"), "classical")
+    cleaned = materialize(corpus.apply_cleaning(splits.hash_split(labelled_pairs(spark, sf), "pair_id"), "classical"), "cleaned")
     return training.split_features(cleaned, "pair_id")[0]
 
 
