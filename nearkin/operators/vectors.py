@@ -238,8 +238,10 @@ def knn_clustered(queries: DataFrame, index: VectorIndex, k: int = 10, probe: in
     width = min(probe or min(MAX_PROBE, math.ceil(n_cells / 3)), n_cells)
     if width >= n_cells:
         return knn_exact(queries, index.vectors, k, skip_self)
-    probes = nearest_cells(queries, "query_embedding", index.centroids, width).select(
-        "query_id", "query_embedding", F.explode("cells").alias("cell"))
+    # stored once: the cells of the queries are counted first and joined afterwards
+    located = materialize(nearest_cells(
+        queries.select("query_id", "query_embedding"), "query_embedding", index.centroids, width), "probes")
+    probes = located.select("query_id", "query_embedding", F.explode("cells").alias("cell"))
     named = index.vectors.select(F.col("id").alias("question_id"), "embedding", "cell")
     return _ranked(_score_cells(probes, named, k, skip_self), k)
 
