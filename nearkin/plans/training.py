@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from nearkin.operators.classification import class_weights, evaluate_classifier
 from nearkin.operators.features import build_features
 from nearkin.operators.tfidf import MAX_TERMS, TfidfModel, fit_tfidf
-from nearkin.session import materialize
+from nearkin.session import materialize, scratch_path
 
 
 @dataclass(frozen=True)
@@ -68,7 +68,10 @@ def train_logistic_regression(features: DataFrame, names: list[str], label: str
         LogisticRegression(featuresCol="_scaled", labelCol=label, weightCol="_weight", regParam=1.0 / (c * n),
                            elasticNetParam=0.0, standardization=False, maxIter=max_iter),
     ])
-    return PairModel("logistic_regression", pipeline.fit(weighted), names)
+    # a fitted model holds its training summary and with it the session; a stored one ships cleanly
+    path = scratch_path(features.sparkSession, "logistic-regression")
+    pipeline.fit(weighted).write().save(path)
+    return PairModel.load("logistic_regression", path)
 
 
 def train_boosted_trees(features: DataFrame, names: list[str], validation: str | None = None,
