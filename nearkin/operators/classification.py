@@ -53,30 +53,34 @@ def score_curve(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     running counts come from range totals, not from a window over all rows.
     """
     by = list(by)
+    keys = by or ["_all"]
+    grouped = scored if by else scored.withColumn("_all", F.lit(1))
+    # stored before the range totals are taken, so that the scored table is computed once
     points = materialize(
-        scored.groupBy(*by, F.col("y_prob").alias("threshold")).agg(
+        grouped.groupBy(*keys, F.col("y_prob").alias("threshold")).agg(
             F.count(F.when(F.col("y_true") == 1, 1)).alias("pos"),
             F.count(F.when(F.col("y_true") == 0, 1)).alias("neg"),
         ), "score-points")
-    group = by or [F.lit(1).alias("_all")]
-    totals = points.groupBy(*group).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    keyed = points if by else points.withColumn("_all", F.lit(1))
-    keys = by or ["_all"]
-    running = cumulative_from_top(keyed, keys, "threshold", {"pos": "tp", "neg": "fp"})
+    totals = points.groupBy(*keys).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    running = cumulative_from_top(points, keys, "threshold", {"pos": "tp", "neg": "fp"})
     return running.join(totals, keys).select(*by, "threshold", "pos", "neg", "tp", "fp", "n_pos", "n_neg")
 
 
-def curve_areas(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``auc_roc, avg_precision`` per group; null where a class is missing."""
+def _areas() -> list[Column]:
     below = F.col("n_neg") - F.col("fp")
     wins = F.sum(F.col("pos") * (below + F.col("neg") / 2.0))
     pairs = F.max("n_pos").cast("double") * F.max("n_neg")
     gained = F.sum(F.col("pos") * F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fp")))
     both = (F.max("n_pos") > 0) & (F.max("n_neg") > 0)
-    return curve.groupBy(*by).agg(
+    return [
         F.when(both, F.try_divide(wins, pairs)).alias("auc_roc"),
         F.when(both, F.try_divide(gained, F.max("n_pos").cast("double"))).alias("avg_precision"),
-    )
+    ]
+
+
+def curve_areas(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``auc_roc, avg_precision`` per group; null where a class is missing."""
+    return curve.groupBy(*by).agg(*_areas())
 
 
 def evaluate_classifier(scored: DataFrame, threshold: float = 0.5, by: Sequence[str] = ()) -> DataFrame:
@@ -88,18 +92,14 @@ def evaluate_classifier(scored: DataFrame, threshold: float = 0.5, by: Sequence[
     by = list(by)
     curve = score_curve(scored, by)
     above = F.col("threshold") >= threshold
-    counts = curve.groupBy(*by).agg(
+    measured = curve.groupBy(*by).agg(
         F.coalesce(F.sum(F.when(above, F.col("pos"))), F.lit(0)).alias("tp"),
         F.coalesce(F.sum(F.when(above, F.col("neg"))), F.lit(0)).alias("fp"),
         F.coalesce(F.sum(F.when(~above, F.col("pos"))), F.lit(0)).alias("fn"),
         F.sum(F.col("pos") + F.col("neg")).alias("n"),
+        *_areas(),
     )
-    areas = curve_areas(curve, by)
-    if by:
-        joined = counts.join(areas, by)
-    else:
-        joined = counts.withColumn("_all", F.lit(1)).join(areas.withColumn("_all", F.lit(1)), "_all")
-    return joined.select(
+    return measured.select(
         *by, "n",
         F.round(_precision(), 4).alias("precision"), F.round(_recall(), 4).alias("recall"),
         F.round(_f1(), 4).alias("f1"), F.round("auc_roc", 4).alias("auc_roc"),

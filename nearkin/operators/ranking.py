@@ -120,3 +120,28 @@ def cumulative_from_top(points: DataFrame, by: Sequence[str], key: str, sums: di
         *points.columns,
         *[(F.sum(c).over(inside) + F.col(f"_above_{c}")).alias(out) for c, out in sums.items()],
     )
+
+
+def exact_quantiles(df: DataFrame, value: str, probabilities: dict[str, float]) -> DataFrame:
+    """One row of linearly interpolated quantiles; null without values.
+
+    Values are folded to counts and ranked by range totals, so no task holds all of them.
+    """
+    present = df.filter(F.col(value).isNotNull())
+    points = materialize(
+        present.groupBy(F.col(value).cast("double").alias("value")).agg(F.count("*").alias("n"), F.lit(0).alias("_all")),
+        "quantile-points")
+    total = points.agg(F.sum("n").alias("total")).first()["total"] or 0
+    ranked = cumulative_from_top(points, ["_all"], "value", {"n": "at_or_above"})
+    start = F.lit(total) - F.col("at_or_above")
+
+    def at(position: int) -> Column:
+        return F.max(F.when((start <= position) & (position < start + F.col("n")), F.col("value")))
+
+    def quantile(p: float) -> Column:
+        place = p * max(total - 1, 0)
+        low = int(place)
+        below, above = at(low), at(min(low + 1, max(total - 1, 0)))
+        return below + (above - below) * (place - low)
+
+    return ranked.agg(*[quantile(p).alias(name) for name, p in probabilities.items()])

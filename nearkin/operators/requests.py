@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearkin.functions.text import is_blank, strip
+from nearkin.operators.ranking import exact_quantiles
 
 MIN_TEXT, MAX_TEXT = 3, 1000
 DEFAULT_TOP_K, MAX_TOP_K = 5, 20
@@ -94,13 +95,14 @@ def request_summary(log: DataFrame) -> DataFrame:
     Latency percentiles interpolate linearly; the hit rate is 0 without requests.
     """
     hits, misses = F.count(F.when(F.col("was_cached"), 1)), F.count(F.when(~F.col("was_cached"), 1))
-    shares = F.percentile("latency_ms", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    return log.agg(
+    totals = log.agg(
         F.count("*").alias("total_requests"), hits.alias("cache_hits"), misses.alias("cache_misses"),
         F.round(F.coalesce(F.try_divide(hits.cast("double"), hits + misses), F.lit(0.0)), 4).alias("cache_hit_rate"),
         F.round(F.avg(F.when(F.col("status") < 400, 1.0).otherwise(0.0)), 4).alias("success_rate"),
-        shares.alias("_p"),
-    ).select("*", *[F.round(F.get("_p", F.lit(i)), 4).alias(n) for i, n in enumerate(("p50", "p95", "p99"))]).drop("_p")
+    )
+    latency = exact_quantiles(log, "latency_ms", {"p50": 0.5, "p95": 0.95, "p99": 0.99})
+    percentiles = totals.withColumn("_p", latency.select(F.struct("*")).scalar())
+    return percentiles.select(*totals.columns, *[F.round(F.col(f"_p.{c}"), 4).alias(c) for c in latency.columns])
 
 
 def per_query_latency(batches: DataFrame) -> DataFrame:

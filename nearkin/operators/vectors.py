@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,8 @@ BROADCAST_QUERY_BYTES = 32 << 20
 BROADCAST_QUERY_ROWS = 4096
 # Rows of one side that meet in one scoring group.
 BLOCK_ROWS = 8192
+# Queries scored by one matrix product.
+QUERY_BLOCK = 512
 
 HITS = T.StructType([
     T.StructField("query_id", T.LongType()),
@@ -56,20 +58,29 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype("float64")
 
 
-def _best_per_query(query_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int,
-                    skip_self: bool) -> pd.DataFrame:
-    """Best ``k`` of every row of ``scores``; equal scores by ascending id."""
+def _best_of_block(query_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int,
+                   skip_self: bool) -> pd.DataFrame:
+    """Best ``k`` of every row of ``scores``; ``ids`` ascend, so equal scores go to the lower id."""
     scores = np.round(scores, RANK_DECIMALS)
     if skip_self:
         scores[query_ids[:, None] == ids[None, :]] = -np.inf
     take = min(k, len(ids))
-    kth = np.partition(scores, len(ids) - take, axis=1)[:, len(ids) - take]
-    rows, columns = np.nonzero(scores >= kth[:, None])
-    found = pd.DataFrame({"query_id": query_ids[rows], "question_id": ids[columns], "score": scores[rows, columns]})
-    found = found[np.isfinite(found["score"])]
-    order = np.lexsort((found["question_id"], -found["score"], found["query_id"]))
-    found = found.iloc[order]
-    return found[found.groupby("query_id").cumcount() < k]
+    kth = np.partition(scores, len(ids) - take, axis=1)[:, len(ids) - take, None]
+    better, equal = scores > kth, scores == kth
+    room = take - better.sum(axis=1, keepdims=True)
+    keep = (better | (equal & (np.cumsum(equal, axis=1) <= room))) & np.isfinite(scores)
+    rows, columns = np.nonzero(keep)
+    return pd.DataFrame({"query_id": query_ids[rows], "question_id": ids[columns], "score": scores[rows, columns]})
+
+
+def _best_per_query(query_ids: np.ndarray, queries: np.ndarray, vectors: pd.DataFrame, k: int,
+                    skip_self: bool) -> pd.DataFrame:
+    """Best ``k`` rows of a batch of vectors for each query, scored in blocks of queries."""
+    ordered = vectors.sort_values("question_id")
+    ids, right = ordered["question_id"].to_numpy(), _matrix(ordered["embedding"]).T
+    return pd.concat([
+        _best_of_block(query_ids[at:at + QUERY_BLOCK], ids, queries[at:at + QUERY_BLOCK] @ right, k, skip_self)
+        for at in range(0, len(query_ids), QUERY_BLOCK)])
 
 
 def _scan_with(queries: pd.DataFrame, k: int, skip_self: bool):
@@ -82,8 +93,7 @@ def _scan_with(queries: pd.DataFrame, k: int, skip_self: bool):
         for batch in batches:
             if batch.empty:
                 continue
-            found = _best_per_query(
-                query_ids, batch["question_id"].to_numpy(), matrix @ _matrix(batch["embedding"]).T, k, skip_self)
+            found = _best_per_query(query_ids, matrix, batch, k, skip_self)
             both = found if best is None else pd.concat([best, found])
             order = np.lexsort((both["question_id"], -both["score"], both["query_id"]))
             both = both.iloc[order]
@@ -94,18 +104,13 @@ def _scan_with(queries: pd.DataFrame, k: int, skip_self: bool):
     return scan
 
 
-def _score_group(k: int, skip_self: bool):
+def _score_group(k: int):
     def score(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or vectors.empty:
             return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "question_id": pd.Series(dtype="int64"),
                                  "score": pd.Series(dtype="float64")})
-        ids, right = vectors["question_id"].to_numpy(), _matrix(vectors["embedding"])
-        parts = []
-        for start in range(0, len(queries), 512):
-            block = queries.iloc[start:start + 512]
-            parts.append(_best_per_query(
-                block["query_id"].to_numpy(), ids, _matrix(block["query_embedding"]) @ right.T, k, skip_self))
-        return pd.concat(parts)
+        return _best_per_query(
+            queries["query_id"].to_numpy(), _matrix(queries["query_embedding"]), vectors, k, skip_self=False)
 
     return score
 
@@ -115,7 +120,7 @@ def _blocks_per_cell(df: DataFrame, key: str, out: str) -> DataFrame:
     return df.groupBy("cell").agg(F.ceil(F.count(key) / F.lit(BLOCK_ROWS)).cast("int").alias(out))
 
 
-def _score_cells(probes: DataFrame, vectors: DataFrame, k: int, skip_self: bool) -> DataFrame:
+def _score_cells(probes: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """Score ``probes(query_id, query_embedding, cell)`` against ``vectors(question_id, embedding, cell)``.
 
     A cell is cut into blocks of bounded size on both sides and every pair of blocks is one
@@ -139,17 +144,38 @@ def _score_cells(probes: DataFrame, vectors: DataFrame, k: int, skip_self: bool)
         .select("cell", "q_block", "v_block", "question_id", "embedding")
     )
     keys = ["cell", "q_block", "v_block"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_score_group(k, skip_self), HITS)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_score_group(k), HITS)
 
 
 def _few_queries(queries: DataFrame) -> pd.DataFrame | None:
     """The queries themselves if they are proven small, else ``None``."""
-    if queries.limit(BROADCAST_QUERY_ROWS + 1).count() > BROADCAST_QUERY_ROWS:
-        return None
-    widest = queries.agg(F.sum(F.size("query_embedding")).alias("n")).first()["n"] or 0
-    if widest * 8 > BROADCAST_QUERY_BYTES:
-        return None
-    return queries.select("query_id", "query_embedding").toPandas()
+    head = queries.select("query_id", "query_embedding").limit(BROADCAST_QUERY_ROWS + 1).toPandas()
+    volume = 8 * sum(len(v) for v in head["query_embedding"])
+    return head if len(head) <= BROADCAST_QUERY_ROWS and volume <= BROADCAST_QUERY_BYTES else None
+
+
+def _fold_copies(queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(distinct queries, members)``: one row per different vector, and which query it stands for.
+
+    Copies of a query find the same rows, so a group of copies is searched once however large
+    it is. Vectors are compared by two independent 64-bit hashes; only ids and hashes move.
+    """
+    keyed = queries.select(
+        "query_id", F.xxhash64("query_embedding").alias("_h1"), F.xxhash64(F.lit(1), "query_embedding").alias("_h2"))
+    first = keyed.groupBy("_h1", "_h2").agg(F.min("query_id").alias("first_id"))
+    members = materialize(keyed.join(first, ["_h1", "_h2"]).select("query_id", "first_id"), "members")
+    kept = members.filter(F.col("query_id") == F.col("first_id")).select("query_id")
+    return queries.join(kept, "query_id", "left_semi").select("query_id", "query_embedding"), members
+
+
+def _hand_out(ranked: DataFrame, members: DataFrame, k: int, skip_self: bool) -> DataFrame:
+    """Give the results of every distinct query to all its copies."""
+    rows = members.join(ranked.withColumnRenamed("query_id", "first_id"), "first_id").drop("first_id")
+    if skip_self:
+        # at most k + 1 rows per query
+        order = Window.partitionBy("query_id").orderBy("rank")
+        rows = rows.filter(F.col("question_id") != F.col("query_id")).withColumn("rank", F.row_number().over(order))
+    return rows.filter(F.col("rank") <= k).select("query_id", "rank", "question_id", "score")
 
 
 def _ranked(hits: DataFrame, k: int) -> DataFrame:
@@ -170,8 +196,10 @@ def knn_exact(queries: DataFrame, vectors: DataFrame, k: int = 10, skip_self: bo
         if few.empty:
             return _ranked(queries.sparkSession.createDataFrame([], HITS), k)
         return _ranked(named.mapInPandas(_scan_with(few, k, skip_self), HITS), k)
-    probes = queries.select("query_id", "query_embedding", F.lit(0).alias("cell"))
-    return _ranked(_score_cells(probes, named.withColumn("cell", F.lit(0)), k, skip_self), k)
+    distinct, members = _fold_copies(queries)
+    width = k + 1 if skip_self else k
+    hits = _score_cells(distinct.withColumn("cell", F.lit(0)), named.withColumn("cell", F.lit(0)), width)
+    return _hand_out(_ranked(hits, width), members, k, skip_self)
 
 
 def build_vector_index(vectors: DataFrame, cells: int | None = None, seed: int = 42,
@@ -238,12 +266,13 @@ def knn_clustered(queries: DataFrame, index: VectorIndex, k: int = 10, probe: in
     width = min(probe or min(MAX_PROBE, math.ceil(n_cells / 3)), n_cells)
     if width >= n_cells:
         return knn_exact(queries, index.vectors, k, skip_self)
+    distinct, members = _fold_copies(queries)
     # stored once: the cells of the queries are counted first and joined afterwards
-    located = materialize(nearest_cells(
-        queries.select("query_id", "query_embedding"), "query_embedding", index.centroids, width), "probes")
+    located = materialize(nearest_cells(distinct, "query_embedding", index.centroids, width), "probes")
     probes = located.select("query_id", "query_embedding", F.explode("cells").alias("cell"))
     named = index.vectors.select(F.col("id").alias("question_id"), "embedding", "cell")
-    return _ranked(_score_cells(probes, named, k, skip_self), k)
+    wanted = k + 1 if skip_self else k
+    return _hand_out(_ranked(_score_cells(probes, named, wanted), wanted), members, k, skip_self)
 
 
 def corpus_centroid(vectors: DataFrame) -> DataFrame:

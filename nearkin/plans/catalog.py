@@ -342,6 +342,14 @@ def bm25_search_turns(spark, sf):
     return bm25.search(bm25.build_index(documents(spark, sf)), turns, 10)
 
 
+@query
+def bm25_search_stored(spark, sf):
+    """The same search on an index that went through storage."""
+    path = scratch_path(spark, "bm25")
+    bm25.build_index(documents(spark, sf)).save(path)
+    return bm25.search(bm25.Bm25Index.load(spark, path), benchmark_queries(spark, sf), 10)
+
+
 def _linked_queries(spark, sf) -> DataFrame:
     return benchmark_queries(spark, sf).join(vector_queries(spark, sf), "query_id")
 
@@ -524,11 +532,22 @@ def golden_accuracy(spark, sf):
     return classification.golden_accuracy(scored)
 
 
+@query
+def pair_cosine_threshold(spark, sf):
+    """Best threshold of the vector cosine on the labelled pairs that have vectors."""
+    vecs = vectors_of(spark, sf)
+    a = vecs.select(F.col("id").alias("qid1"), F.col("embedding").alias("a"))
+    b = vecs.select(F.col("id").alias("qid2"), F.col("embedding").alias("b"))
+    scored = labelled_pairs(spark, sf).join(a, "qid1").join(b, "qid2").select(
+        F.col("is_duplicate").alias("y_true"), F.round(cosine(F.col("a"), F.col("b")), 6).alias("y_prob"))
+    return classification.best_threshold(classification.score_curve(scored))
+
+
 @query
 def retrieval_quality(spark, sf):
     questions = documents(spark, sf).join(
         vectors_of(spark, sf).select(F.col("id").alias("question_id"), F.col("id").alias("vec_id")), "question_id", "left")
-    return evaluation.retrieval_quality(pairs_of(spark, sf), questions, single_cell(spark, sf))
+    return evaluation.retrieval_quality(pairs_of(spark, sf), questions, single_cell(spark, sf), n=None)
 
 
 @query

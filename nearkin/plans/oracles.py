@@ -299,6 +299,7 @@ ORACLES: dict[str, str] = {
     "bm25_postings": f"WITH {POSTINGS} SELECT term, question_id, tf, doc_len FROM postings JOIN lengths USING (question_id)",
     "bm25_terms": f"WITH {POSTINGS} SELECT term, df, round(idf, 6) AS idf FROM idf",
     "bm25_search": f"WITH {bm25('SELECT item_id AS query_id, text AS query_text FROM benchmark')} SELECT query_id, rank, question_id, round(score, 4) AS score FROM keyword_hits",
+    "bm25_search_stored": f"WITH {bm25('SELECT item_id AS query_id, text AS query_text FROM benchmark')} SELECT query_id, rank, question_id, round(score, 4) AS score FROM keyword_hits",
     "bm25_search_turns": f"""WITH {bm25("SELECT conv_id * 1000 + turn AS query_id, text AS query_text FROM conversations WHERE role = 'user'")}
       SELECT query_id, rank, question_id, round(score, 4) AS score FROM keyword_hits""",
     "rrf_fusion": f"""WITH {knn(LINKED, 10, 'near')}, {knn('SELECT query_id, list_transform(v, lambda x: -x) AS v FROM (' + LINKED + ')', 10, 'far')},
@@ -355,8 +356,12 @@ ORACLES: dict[str, str] = {
     "golden_accuracy": f"""WITH {PAIRS}, g AS (SELECT d.lang AS category, (({cosine('a.embedding', 'b.embedding')} >= 0.5)::INT = is_duplicate)::INT AS ok
         FROM pairs JOIN embeddings a ON a.vec_id = qid1 JOIN embeddings b ON b.vec_id = qid2 JOIN documents d ON d.doc_id = qid1)
       SELECT category, count(*) AS n, round(avg(ok), 4) AS accuracy FROM g GROUP BY category UNION ALL SELECT 'overall', count(*), round(avg(ok), 4) FROM g""",
+    "pair_cosine_threshold": f"""WITH {PAIRS}, scored AS (SELECT is_duplicate AS y_true, round({cosine('a.embedding', 'b.embedding')}, 6) AS y_prob
+        FROM pairs JOIN embeddings a ON a.vec_id = qid1 JOIN embeddings b ON b.vec_id = qid2 WHERE known), {curve()},
+      f AS (SELECT threshold, tp::DOUBLE / (tp + fp) AS p, tp::DOUBLE / n_pos AS r FROM curve),
+      g AS (SELECT threshold, round(2 * p * r / (p + r + 1e-8), 9) AS f1 FROM f) SELECT threshold, round(f1, 4) AS f1 FROM g ORDER BY g.f1 DESC, threshold LIMIT 1""",
     "retrieval_quality": f"""WITH {PAIRS}, truth AS (SELECT qid1 AS query_id, qid2 AS relevant_id FROM pairs WHERE is_duplicate = 1 UNION SELECT qid2, qid1 FROM pairs WHERE is_duplicate = 1),
-      queries AS (SELECT DISTINCT query_id FROM truth WHERE query_id IN (SELECT vec_id FROM embeddings) ORDER BY query_id LIMIT 500),
+      queries AS (SELECT DISTINCT query_id FROM truth WHERE query_id IN (SELECT vec_id FROM embeddings)),
       {knn('SELECT query_id, embedding AS v FROM queries JOIN embeddings ON vec_id = query_id', 10)},
       first AS (SELECT q.query_id, min(h.rank) AS f FROM queries q LEFT JOIN (SELECT hits.query_id, rank FROM hits JOIN truth t ON t.query_id = hits.query_id AND relevant_id = question_id) h
         ON h.query_id = q.query_id GROUP BY 1)
