@@ -20,6 +20,9 @@ NON_WS = r"[^\p{IsWhite_Space}\x1c-\x1f]"
 WORD = r"[\p{L}\p{N}_]"
 NON_WORD = r"[^\p{L}\p{N}_\p{IsWhite_Space}\x1c-\x1f]"
 
+# What counts as markup and as a URL, and what stands for a URL.
+TAG = r"<[^>]+>"
+URL = rf"(?i)(?:https?://|www\.){NON_WS}+"
 URL_TOKEN = "<URL>"
 
 # Irregular English contractions and their expansions.
@@ -81,11 +84,11 @@ def remove_html(text: Column) -> Column:
     Only rows holding an ampersand hand their text to the Python decoder.
     """
     decoded = F.coalesce(_unescape(F.when(text.contains("&"), text)), text)
-    return collapse(F.regexp_replace(decoded, r"<[^>]+>", " "))
+    return collapse(F.regexp_replace(decoded, TAG, " "))
 
 
 def remove_urls(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?i)(?:https?://|www\.){NON_WS}+", URL_TOKEN)
+    return F.regexp_replace(text, URL, URL_TOKEN)
 
 
 def expand_contractions(text: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from nearkin.functions.encoders import PairScorer
 from nearkin.operators.ranking import top_k
 
+# Fixed value: rank damping of the fusion.
 RRF_K = 60
 
 

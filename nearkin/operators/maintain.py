@@ -12,6 +12,7 @@ from nearkin.operators.vectors import VectorIndex, assign_cells, build_vector_in
 from nearkin.session import materialize
 from nearkin.sources.versions import read_version, write_version
 
+# Drift alarm, growth that asks for a rebuild, tag of added rows.
 DRIFT_THRESHOLD = 0.7
 GROWTH_LIMIT = 0.10
 NEW_SOURCE = "new_batch"

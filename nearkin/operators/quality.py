@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from nearkin.operators.corpus import blank_rows
 from nearkin.operators.ranking import seeded_sample
 
+# Bounds of the quality gate.
 MAX_DUPLICATE_PAIRS = 100
 POSITIVE_RATE = (0.25, 0.50)
 MAX_SHARED_PAIRS = 300

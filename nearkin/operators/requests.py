@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from nearkin.functions.text import is_blank, strip
 from nearkin.operators.ranking import exact_quantiles
 
+# Request rules.
 MIN_TEXT, MAX_TEXT = 3, 1000
 DEFAULT_TOP_K, MAX_TOP_K = 5, 20
 DEFAULT_THRESHOLD = 0.3

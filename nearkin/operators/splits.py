@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Shares of the splits.
 TEST_SHARE = 0.15
 VAL_SHARE = 0.05
 

@@ -23,9 +23,11 @@ from nearkin.functions.vectors import dot, l2_normalize, norm
 from nearkin.operators.ranking import RANK_DECIMALS, top_k
 from nearkin.session import materialize
 
+# Cells of the clustering, vectors per cell and cells probed per query.
 MAX_CELLS = 4096
 ROWS_PER_CELL = 39
 MAX_PROBE = 64
+# Rows that the clustering is trained on.
 TRAIN_ROWS = 1_000_000
 
 # Queries up to this volume are shipped to the tasks that scan the vectors.

@@ -13,6 +13,7 @@ from nearkin.operators.requests import accepted, quarantined, validate_feedback
 from nearkin.session import materialize
 from nearkin.streaming.batches import run_stream, write_batch
 
+# Fixed value: click-through below this raises an alert.
 MIN_CLICK_THROUGH = 0.15
 
 

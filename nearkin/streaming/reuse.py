@@ -21,6 +21,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from nearkin.operators.ranking import RANK_DECIMALS
 from nearkin.operators.vectors import nearest_cells
 
+# Similarity that allows reuse and number of remembered queries.
 SIMILARITY = 0.95
 MEMORY_SIZE = 1000
 

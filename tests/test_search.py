@@ -49,6 +49,10 @@ def test_bm25_equals_brute_force(spark, tmp_path, monkeypatch):
     expected = {(q, i): hit for q, t in enumerate(texts) for i, hit in enumerate(brute_bm25(t), 1)}
     assert results == [expected] * 3
     assert results[0][(0, 1)][0] == 0
+    one = loaded.restricted_to(spark.createDataFrame([("rice",)], "term string"))
+    scan = one.postings._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in scan
+    assert {r["term"] for r in one.postings.collect()} >= {"rice"} and one.postings.count() < built.postings.count()
 
 
 def test_rrf_examples(spark):
