@@ -10,7 +10,7 @@ from nearkin.functions.text import clean_transformer
 from nearkin.operators.ranking import latest_per_key
 from nearkin.operators.vectors import VectorIndex, assign_cells, build_vector_index, mean_similarity, similarity_to
 from nearkin.session import materialize
-from nearkin.sources.versions import read_version, write_version
+from nearkin.sources.versions import read_version, write_addition, write_version
 
 # Drift alarm, growth that asks for a rebuild, tag of added rows.
 DRIFT_THRESHOLD = 0.7
@@ -53,10 +53,11 @@ def remap_vector_ids(questions: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def incremental_add(spark: SparkSession, root: str, new_questions: DataFrame, encoder: Encoder,
                     sequence: list[str] | None = None) -> int:
-    """Add ``new_questions(question_id, question_text)`` to the newest version as a new version.
+    """Add ``new_questions(question_id, question_text)`` to the newest version.
 
-    Cells stay as they are. An id that is already stored gets the new text and the new vector;
-    within the batch the row with the highest ``sequence`` wins. Returns the version written.
+    Cells stay as they are and stored rows are not rewritten. An id that is already stored
+    gets the new text and the new vector; within the batch the row with the highest
+    ``sequence`` wins. Returns the number of the addition.
     """
     index, questions, manifest = read_version(spark, root)
     newest = latest_per_key(new_questions, "question_id", sequence) if sequence else new_questions.dropDuplicates(["question_id"])
@@ -65,12 +66,12 @@ def incremental_add(spark: SparkSession, root: str, new_questions: DataFrame, en
     encoded = materialize(
         encoder(cleaned, "question_clean", "embedding").select(
             F.col("question_id").alias("id"), "question_text", "embedding"), "encoded")
-    fresh_vectors = assign_cells(encoded.select("id", "embedding"), index.centroids)
-    vectors = upsert(index.vectors.select("id", "embedding", "cell"), fresh_vectors.select("id", "embedding", "cell"), "id")
-    fresh_rows = encoded.select(F.col("id").alias("question_id"), "question_text", F.col("id").alias("vec_id"),
-                                F.lit(NEW_SOURCE).alias("source"))
-    built_n = manifest.select("built_n").first()["built_n"]
-    return write_version(VectorIndex(index.centroids, vectors), upsert(questions, fresh_rows, "question_id"), root, built_n)
+    known = index.vectors.select("id").join(encoded.select("id"), "id", "left_semi").count()
+    n = manifest.select("n").first()["n"] + encoded.count() - known
+    rows = encoded.select(F.col("id").alias("question_id"), "question_text", F.col("id").alias("vec_id"),
+                          F.lit(NEW_SOURCE).alias("source"))
+    return write_addition(assign_cells(encoded.select("id", "embedding"), index.centroids),
+                          rows.select(*questions.columns), root, n)
 
 
 def full_rebuild(spark: SparkSession, questions: DataFrame, encoder: Encoder, root: str,

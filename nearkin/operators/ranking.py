@@ -88,7 +88,7 @@ def top_n_by_count(stored: DataFrame, count: str, n: int, tie: str) -> DataFrame
     return kept.orderBy(F.col(count).desc(), tie).limit(n)
 
 
-QUANTILE_STEPS = 200
+MIN_RANGES, MAX_RANGES, RANGE_ROWS = 200, 10_000, 1_000_000
 
 
 def cumulative_from_top(points: DataFrame, by: Sequence[str], key: str, sums: dict[str, str]) -> DataFrame:
@@ -98,8 +98,9 @@ def cumulative_from_top(points: DataFrame, by: Sequence[str], key: str, sums: di
     totals of the higher ranges are added to a running sum inside each range, so no task sees
     more than about one range of a group.
     """
-    probabilities = [i / QUANTILE_STEPS for i in range(1, QUANTILE_STEPS)]
-    cuts = sorted(set(points.approxQuantile(key, probabilities, 0.001)))
+    ranges = min(MAX_RANGES, max(MIN_RANGES, points.count() // RANGE_ROWS))
+    probabilities = [i / ranges for i in range(1, ranges)]
+    cuts = sorted(set(points.approxQuantile(key, probabilities, 0.2 / ranges)))
     splits = [float("-inf"), *cuts, float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]

@@ -725,7 +725,7 @@ def _query_log(vectors_table: DataFrame, events: DataFrame) -> DataFrame:
 def query_reuse(spark, sf):
     log = _query_log(table(spark, sf, "embeddings"), table(spark, sf, "events"))
     outcome = reuse.replay_queries(log, span="1 day", threshold=REUSE_THRESHOLD)
-    return outcome.select("query_id", "matched_query_id", F.round("similarity", 4).alias("similarity"), "was_cached")
+    return outcome.withColumn("similarity", F.round("similarity", 4))
 
 
 @query
@@ -735,7 +735,7 @@ def query_reuse_stream(spark, sf):
     outcome = reuse.stream_reuse(log, threshold=REUSE_THRESHOLD)
     batches.run_stream(outcome, lambda df, n: batches.write_batch(df, root, "outcome", n), f"{root}/checkpoint",
                        available_now=True).awaitTermination()
-    return batches.rows_of(spark, root, "outcome").drop("batch_id")
+    return batches.rows_of(spark, root, "outcome").drop("batch_id").withColumn("similarity", F.round("similarity", 4))
 
 
 # --- upkeep -----------------------------------------------------------------------------------

@@ -30,7 +30,7 @@ def test_rebuild_add_and_grow(spark, tmp_path):
     new = spark.createDataFrame(
         [(5, "old wording", 1), (5, "entirely new wording", 2)] + [(100 + i, f"fresh {i}", 1) for i in range(7)],
         "question_id long, question_text string, seq int")
-    assert maintain.incremental_add(spark, root, new, ENCODER, ["seq"]) == 2
+    assert maintain.incremental_add(spark, root, new, ENCODER, ["seq"]) == 1
     index, rows, manifest = versions.read_version(spark, root)
     assert tuple(quality.index_reconcile(rows, index.vectors).first()) == (67, 67, 0, 0, 0)
     changed = rows.filter("question_id = 5").first()
@@ -39,9 +39,20 @@ def test_rebuild_add_and_grow(spark, tmp_path):
     assert (report["built_n"], report["n"], report["rebuild"]) == (60, 67, True)
     queries = search.encode_queries(spark.createDataFrame([(0, "entirely new wording")], "query_id long, query_text string"), ENCODER)
     assert search.find_similar(queries, index, rows, 1, 0.5).first()["question_id"] == 5
-    # a version without manifest is invisible
+    second = spark.createDataFrame([(5, "third wording"), (200, "another")], "question_id long, question_text string")
+    assert maintain.incremental_add(spark, root, second, ENCODER) == 2
+    index, rows, manifest = versions.read_version(spark, root)
+    assert tuple(quality.index_reconcile(rows, index.vectors).first()) == (68, 68, 0, 0, 0)
+    assert rows.filter("question_id = 5").first()["question_text"] == "third wording"
+    # parts without manifest are invisible
     rows.write.parquet(f"{root}/v=9/questions")
-    assert versions.versions(spark, root) == [1, 2] and versions.next_version(spark, root) == 10
+    rows.write.parquet(f"{root}/v=1/add=3/questions")
+    assert versions.versions(spark, root) == [1] and versions.next_version(spark, root) == 10
+    assert versions.read_version(spark, root)[2].first()["n"] == 68
+    # a rebuild starts from the merged rows and becomes the newest version
+    assert maintain.full_rebuild(spark, rows, ENCODER, root, cells=4) == 10
+    index, rows, manifest = versions.read_version(spark, root)
+    assert (manifest.first()["built_n"], rows.count()) == (68, 68)
 
 
 def test_drift(spark):
