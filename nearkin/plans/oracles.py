@@ -30,8 +30,10 @@ def collapse(x: str) -> str:
 
 def no_html(x: str) -> str:
     decoded = x
-    for entity, char in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
+    for entity, char in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©")):
         decoded = f"replace({decoded}, '{entity}', '{char}')"
+    # an ampersand entity is also valid without its semicolon
+    decoded = f"regexp_replace({decoded}, '&amp;?', '&', 'g')"
     return collapse(f"regexp_replace({decoded}, '<[^>]+>', ' ', 'g')")
 
 
