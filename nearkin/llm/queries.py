@@ -7,12 +7,25 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from nearkin.llm import bpe, secret_scan
-from nearkin.llm.common import table
+from pyspark.sql import functions as F
+
+from nearkin.llm import backoff_lm, bpe, exact_shuffle, fm_index, kd_search, language_id, quality_gam, secret_scan
+from nearkin.llm.common import id_remainder, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
+def quality_model(spark: SparkSession, folder: str) -> quality_gam.Model:
+    return quality_gam.fit(table(spark, folder, "documents"), table(spark, folder, "labels"), held_out=id_remainder("doc_id", 4) == 2)
+
+
+def op1_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
+    scored = quality_gam.score(table(spark, folder, "documents").select("doc_id", "text"), quality_model(spark, folder))
+    return scored.select(
+        "doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= quality_gam.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
@@ -21,9 +34,38 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(table(spark, folder, "documents"))
 
 
+def op5_fm_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return fm_index.digests(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op7_exact_shuffle(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_shuffle.digests(table(spark, folder, "documents"))
+
+
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    held_out = id_remainder("doc_id", 4) == 2
+    found, names = language_id.identify(documents.select("doc_id", "text"), language_id.fit(documents, held_out=held_out))
+    return found.select("doc_id", held_out.alias("held_out"), *names.values())
+
+
+def op9_kd_search(spark: SparkSession, folder: str) -> DataFrame:
+    return kd_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op10_backoff_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return backoff_lm.score(table(spark, folder, "documents"), id_remainder("doc_id", 10) == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_gam": op1_quality_gam,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secret_scan": op3_secret_scan,
+    "op5_fm_decontamination": op5_fm_decontamination,
+    "op7_exact_shuffle": op7_exact_shuffle,
+    "op8_language_id": op8_language_id,
+    "op9_kd_search": op9_kd_search,
+    "op10_backoff_lm": op10_backoff_lm,
 }
 
 SQL: dict[str, str] = {}
