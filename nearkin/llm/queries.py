@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from nearkin.llm import backoff_lm, bpe, exact_shuffle, fm_index, kd_search, language_id, quality_gam, secret_scan
+from nearkin.llm import backoff_lm, bottom_k, bpe, exact_shuffle, fm_index, kd_search, language_id, quality_gam, secret_scan
 from nearkin.llm.common import id_remainder, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -38,6 +38,10 @@ def op5_fm_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return fm_index.digests(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op6_bottom_k_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return bottom_k.near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_exact_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     return exact_shuffle.digests(table(spark, folder, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secret_scan": op3_secret_scan,
     "op5_fm_decontamination": op5_fm_decontamination,
+    "op6_bottom_k_dedup": op6_bottom_k_dedup,
     "op7_exact_shuffle": op7_exact_shuffle,
     "op8_language_id": op8_language_id,
     "op9_kd_search": op9_kd_search,
