@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from nearkin.llm import backoff_lm, bottom_k, bpe, exact_shuffle, fm_index, kd_search, language_id, quality_gam, secret_scan
+from nearkin.llm import backoff_lm, bottom_k, bpe, exact_shuffle, fm_index, kd_search, language_id, page_template, quality_gam, secret_scan
 from nearkin.llm.common import id_remainder, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -34,6 +34,10 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(table(spark, folder, "documents"))
 
 
+def op4_page_template(spark: SparkSession, folder: str) -> DataFrame:
+    return page_template.extract(table(spark, folder, "pages"))
+
+
 def op5_fm_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return fm_index.digests(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secret_scan": op3_secret_scan,
+    "op4_page_template": op4_page_template,
     "op5_fm_decontamination": op5_fm_decontamination,
     "op6_bottom_k_dedup": op6_bottom_k_dedup,
     "op7_exact_shuffle": op7_exact_shuffle,
