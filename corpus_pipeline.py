@@ -23,7 +23,7 @@ def _counted(docs: DataFrame) -> DataFrame:
     """``n_chars`` set to the length of the text after a stage changed it."""
     if "n_chars" not in docs.columns:
         return docs
-    return docs.select(*[F.length("text").cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else c for c in docs.columns])
+    return docs.select(*[F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars").alias(c) if c == "n_chars" else c for c in docs.columns])
 
 
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
