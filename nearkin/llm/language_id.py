@@ -31,6 +31,7 @@ from nearkin.llm.common import chunks, free_name, texts_of, with_columns
 FIT_ROWS = 2_000
 DIMENSIONS = 1 << 13
 CLUSTERS = 3
+PARTS = 64
 REJECTED_SHARE = 0.005
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -118,9 +119,12 @@ def fit(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     idf = np.log((1 + total) / (1 + seen)) + 1
     n_languages = known.select(lang).distinct().count()
     share = max(1, fit_rows // max(1, n_languages))
-    first = Window.partitionBy("_lang").orderBy(F.xxhash64(doc_id), doc_id)
-    chosen = (known.select(doc_id, F.col(lang).alias("_lang")).withColumn("_n", F.row_number().over(first))
-              .filter(F.col("_n") <= share).groupBy(doc_id).agg(F.min("_lang").alias("_lang")))
+    # first within parts of each language, so that no task meets what all tasks send
+    ids = known.select(doc_id, F.col(lang).alias("_lang")).withColumn("_h", F.xxhash64(doc_id))
+    parts = Window.partitionBy("_lang", F.pmod("_h", F.lit(PARTS))).orderBy("_h", doc_id)
+    first = Window.partitionBy("_lang").orderBy("_h", doc_id)
+    chosen = (ids.withColumn("_n", F.row_number().over(parts)).filter(F.col("_n") <= share)
+              .withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= share).groupBy(doc_id).agg(F.min("_lang").alias("_lang")))
     examples = known.select(doc_id, text).join(F.broadcast(chosen), doc_id)  # at most fit_rows ids
     schema = "_id long, _lang string, dimensions array<int>, weights array<float>"
     rows = examples.select(F.xxhash64(doc_id).alias("_id"), "_lang", text)
