@@ -7,13 +7,18 @@ among the ``LISTED`` smallest of a sketch. Two sets of similarity 0.75 share suc
 no two neighbours among the 32 smallest hashes of their union are common to both, which happens
 with a probability of 3e-8; for sets of up to ``LISTED`` shingles it cannot happen.
 
-A list is never expanded into all its pairs. Every member is compared with the first of its
-list, on full sets, and the links found give components. What is left are pairs from different
-components of one list. Jaccard distance is a metric, so two members whose distances from the
-first differ by more than 0.25 cannot be linked; of the others the sketch of the union gives an
-estimate, and pairs under ``ESTIMATE`` are left out (at similarity 0.75 an estimate falls that
-low with a probability of about 1e-8). The rest is compared on full sets. A large group of near
-copies thus costs one comparison per member and list, and no link between components is skipped.
+A list is never expanded into all its pairs. Every member meets the member that has most company
+in its lists, the middle of a group of near copies. The sketch of the union estimates the
+similarity of the two; pairs under ``ESTIMATE`` are dropped (at similarity 0.75 an estimate falls
+that low with a probability of about 1e-8), the others are compared on full sets, and the links
+found give components. Members of other components then try one member of each of their lists,
+chosen by hash.
+
+What is left open are members of different components of one list. Two linked sets have so many
+shingles in common that one of them is among the rarest quarter of each (rarity counted among the
+open sets). Only pairs that share one of those are estimated and compared. Texts around a common
+passage and copies with many edits have rarest shingles of their own, so they do not meet; no link
+is lost.
 
 Full sets are computed only for members of lists with two or more representatives. A bitmap of
 fixed size tells the scan of the texts which rows those may be; when it fills up, sets are
@@ -31,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +47,8 @@ SHINGLE = 5
 SKETCH = 64
 LISTED = 32
 ESTIMATE = 0.4375
+TRIALS = 1
+MARKS = 4  # longs of bits, one bit for each retained value
 SHARE_PERCENT = 75
 FILTER_BITS = 1 << 25
 WORD_MEMORY = 1_000_000
@@ -80,11 +87,22 @@ class Shingler:
         return np.unique(joined >> np.uint64(1)).astype(np.int64)
 
 
+def _marks() -> list[str]:
+    return [f"m{i}" for i in range(MARKS)]
+
+
+def _marked(sketch: np.ndarray) -> np.ndarray:
+    """The bits of the retained values."""
+    bits = np.zeros(64 * MARKS, np.uint8)
+    bits[sketch % (64 * MARKS)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def sketches(df: DataFrame, doc_id: str, text: str, shingle: int = SHINGLE) -> DataFrame:
     """Per row: id, set size, fingerprint of the set in two numbers, sketch."""
     rows = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), *[T.StructField(c, T.LongType()) for c in ("n", "f1", "f2")],
-                           T.StructField("sketch", T.ArrayType(T.LongType()))])
+                           T.StructField("sketch", T.ArrayType(T.LongType())), *[T.StructField(m, T.LongType()) for m in _marks()]])
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(shingle)
@@ -93,8 +111,9 @@ def sketches(df: DataFrame, doc_id: str, text: str, shingle: int = SHINGLE) -> D
             prints = [[int(_mixed(s.astype(np.uint64), step).sum().astype(np.int64)) for s in sets] for step in (1, 2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints[0], pa.int64()),
-                 pa.array(prints[1], pa.int64()), pa.array([s[:SKETCH] for s in sets], pa.list_(pa.int64()))],
-                names=["id", "n", "f1", "f2", "sketch"])
+                 pa.array(prints[1], pa.int64()), pa.array([s[:SKETCH] for s in sets], pa.list_(pa.int64())),
+                 *map(pa.array, np.array([_marked(s[:SKETCH]) for s in sets], np.int64).T)],
+                names=["id", "n", "f1", "f2", "sketch", *_marks()])
 
     return rows.mapInArrow(sketched, schema)
 
@@ -152,15 +171,21 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with their exact distance and whether they are linked."""
+    """The pairs (a, b) that are linked, by their full sets."""
     left = sets.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("id").alias("b"), F.col("set").alias("set_b"))
     common = F.size(F.array_intersect("set_a", "set_b")).cast("long")
     both = pairs.join(left, "a").join(right, "b").select(
         "a", "b", common.alias("common"), (F.size("set_a") + F.size("set_b")).cast("long").alias("sizes"))
-    union = F.col("sizes") - F.col("common")
-    return both.select("a", "b", (1 - F.col("common") / union).alias("distance"),
-                       (100 * F.col("common") >= SHARE_PERCENT * union).alias("linked"))
+    return both.filter(100 * F.col("common") >= SHARE_PERCENT * (F.col("sizes") - F.col("common"))).select("a", "b")
+
+
+def _estimated(pairs: DataFrame, representatives: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches allow a link."""
+    x, y = representatives.alias("x"), representatives.alias("y")
+    kept = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).filter(
+        _sizes_allow() & _marks_allow() & (_estimate() >= ESTIMATE))
+    return kept.select("a", "b").distinct()
 
 
 def _estimate() -> Column:
@@ -175,36 +200,88 @@ def _estimate() -> Column:
     return shared / (held[0] + held[1] - shared)
 
 
+def _marks_allow() -> Column:
+    """Whether enough bits are common: shared values share their bits, and few of them fall together."""
+    common = sum((F.bit_count(F.col(f"x.{m}").bitwiseAND(F.col(f"y.{m}"))) for m in _marks()), F.lit(0))
+    return common >= 0.34 * F.least(F.lit(SKETCH), F.greatest("x.n", "y.n")) - 1
+
+
+def _sizes_allow() -> Column:
+    return 100 * F.least("x.n", "y.n") >= SHARE_PERCENT * F.greatest("x.n", "y.n")
+
+
+def _keys(sketch: str) -> Column:
+    """Keys of the lists of a sketch: neighbours among its first values."""
+    listed = F.slice(sketch, 1, LISTED)
+    return F.zip_with(F.slice(listed, 1, F.size(listed) - 1), F.slice(listed, 2, F.size(listed)), lambda a, b: F.xxhash64(a, b))
+
+
+def _merged(labelled: DataFrame, links: DataFrame) -> DataFrame:
+    """``labelled`` with components joined by the links between them."""
+    of = labelled.select("id", "component").distinct()
+    ends = (links.join(of.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a")
+            .join(of.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b"))
+    new = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(
+        F.col("id").alias("component"), F.col("component").alias("new"))
+    return labelled.join(new, "component", "left").withColumn("component", F.coalesce("new", "component")).drop("new")
+
+
 def links(representatives: DataFrame, df: DataFrame, doc_id: str, text: str, shingle: int = SHINGLE) -> DataFrame:
     """Links (a, b) between representatives that connect what is connected."""
-    listed = F.slice("sketch", 1, LISTED)
-    keys = F.zip_with(F.slice(listed, 1, F.size(listed) - 1), F.slice(listed, 2, F.size(listed)), lambda a, b: F.xxhash64(a, b))
     # sets of one or two shingles are similar enough to equal sets alone
-    postings = representatives.filter("n > 2").select("id", F.explode(keys).alias("key"))
-    first = postings.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("last")).filter("a < last").drop("last")
-    lists = materialize(postings.join(first, "key"), "lists")
+    postings = representatives.filter("n > 2").select("id", F.explode(_keys("sketch")).alias("key"))
+    lengths = postings.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("length"))
+    members = materialize(postings.join(lengths.filter("low < high").select("key", "length"), "key"), "members")
+    # the first of a list is the member with most company in all its lists: the middle of a group of near copies
+    company = members.groupBy("id").agg(F.sum("length").alias("company"))
+    met = materialize(members.select("key", "id").distinct().join(company, "id"), "lists")
+    order = F.struct(F.col("company"), -F.col("id")) if dict(met.dtypes)["id"] == "bigint" else F.struct("company", "id")
+    first = met.groupBy("key").agg(F.max_by("id", order).alias("a"))
+    lists = materialize(met.select("key", "id").join(first, "key"), "starred")
     star = materialize(lists.filter("id != a").select("a", F.col("id").alias("b")).distinct(), "stars")
-    members = star.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    asked = star.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     # rows that repeat an id and its set are one; an id may have several sets
-    sets = materialize(full_sets(df, members, doc_id, text, shingle).join(members, "id", "left_semi")
-                       .withColumn("h", F.xxhash64("set")).dropDuplicates(["id", "h"]).drop("h"), "sets")
-    compared = materialize(_compared(star, sets), "compared")
-    found = compared.filter("linked").select("a", "b")
-    # pairs of one list from different components
-    labelled = lists.join(components(found).withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").select(
-        "key", "id", "a", F.coalesce("component", "id").alias("component"))
+    sets = materialize(full_sets(df, asked, doc_id, text, shingle).join(asked, "id", "left_semi")
+                       .withColumn("which", F.xxhash64("set")).dropDuplicates(["id", "which"]), "sets")
+    found = materialize(_compared(_estimated(star, representatives), sets), "star-links")
+    labelled = materialize(lists.join(components(found).withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").select(
+        "key", "id", F.coalesce("component", "id").alias("component")), "labelled")
+    for turn in range(TRIALS):
+        # members of other components against one of the list, another one in each list
+        chance = F.xxhash64("key", "id", F.lit(turn))
+        trial = labelled.groupBy("key").agg(
+            F.min("component").alias("c1"), F.max("component").alias("c2"), F.min_by("id", chance).alias("b"),
+            F.min_by("component", chance).alias("cb")).filter("c1 < c2")
+        pairs = labelled.join(trial, "key").filter("component != cb").select(F.col("id").alias("a"), "b").distinct()
+        new = materialize(_compared(_estimated(pairs, representatives), sets), "trial-links")
+        found = found.unionAll(new)
+        labelled = materialize(_merged(labelled, new), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2").select("key")
-    rest = labelled.join(mixed, "key").filter("id != a")
-    rest = (rest.join(compared.select("a", F.col("b").alias("id"), "distance"), ["a", "id"])
-            .join(representatives.select("id", "n", "sketch"), "id").select("key", "id", "component", "distance", "n", "sketch"))
-    rest = materialize(rest, "open")
-    x, y = rest.alias("x"), rest.alias("y")
-    near = (
-        (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
-        & (F.abs(F.col("x.distance") - F.col("y.distance")) <= 1 - SHARE_PERCENT / 100 + 1e-9)
-        & (100 * F.least("x.n", "y.n") >= SHARE_PERCENT * F.greatest("x.n", "y.n")) & (_estimate() >= ESTIMATE))
-    pairs = x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    return found.unionAll(_compared(pairs, sets).filter("linked").select("a", "b"))
+    rest = labelled.join(mixed, "key").select("id", "component").distinct()
+    pairs = materialize(_share_a_rare_shingle(sets.join(rest, "id")), "open-pairs")
+    return found.unionAll(_compared(_estimated(pairs, representatives), sets))
+
+
+def _share_a_rare_shingle(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components among whose rarest shingles one is common.
+
+    Of a set of n shingles the first n - ceil(0.75 n) + 1 in the order of rarity count, which
+    those that no other set holds use up first. The places of their first common shingle bound
+    what two sets can have in common at most; pairs that fall short of a link do not meet.
+    """
+    shingles = materialize(sets.select("id", "which", "component", F.size("set").alias("n"), F.explode("set").alias("h")), "shingles")
+    shared = shingles.groupBy("h").agg(F.count("*").alias("holders")).filter("holders > 1")
+    own = Window.partitionBy("id", "which")  # one set
+    count = F.col("n") - F.ceil(F.col("n") * SHARE_PERCENT / 100) + 1
+    rare = materialize(
+        shingles.join(shared, "h").withColumn("place", F.row_number().over(own.orderBy("holders", "h")))
+        .withColumn("alone", F.col("n") - F.count("*").over(own)).withColumn("place", F.col("place") + F.col("alone")).filter(F.col("place") <= count)
+        .select("h", "id", "component", "n", "place"), "rare")
+    x, y = rare.alias("x"), rare.alias("y")
+    most = 1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
+                 & (100 * most >= SHARE_PERCENT * (F.col("x.n") + F.col("y.n") - most)))
+    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -213,7 +290,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     sets = stored.filter("n > 0 AND id IS NOT NULL")
     folded = materialize(sets.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "folded")
     chosen = sets.join(folded.withColumnRenamed("rep", "id"), ["id", "n", "f1", "f2"], "left_semi")
-    edges = links(chosen.select("id", "n", "sketch"), df, doc_id, text, shingle)
+    edges = links(materialize(chosen.select("id", "n", "sketch", *_marks()), "representatives"), df, doc_id, text, shingle)
     members = sets.select("id", "n", "f1", "f2").join(folded, ["n", "f1", "f2"])
     # different texts under one id
     tied = members.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("id", "a")
