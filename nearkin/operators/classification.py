@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearkin.operators.ranking import cumulative_from_top, top_k
+from nearkin.operators.ranking import cumulative_from_top, join_null_safe, top_k
 from nearkin.session import materialize
 
 
@@ -50,11 +50,13 @@ def score_curve(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score: counts at the score and at or above it.
 
     ``threshold, pos, neg, tp, fp, n_pos, n_neg``. Rows are folded to distinct scores first;
-    running counts come from range totals, not from a window over all rows.
+    running counts come from range totals, not from a window over all rows. Rows without a
+    score take no part, neither in the points nor in the totals (``unscored_rows`` counts them).
     """
     by = list(by)
     keys = by or ["_all"]
-    grouped = scored if by else scored.withColumn("_all", F.lit(1))
+    rows = scored.filter(F.col("y_prob").isNotNull() & ~F.isnan("y_prob"))
+    grouped = rows if by else rows.withColumn("_all", F.lit(1))
     # stored before the range totals are taken, so that the scored table is computed once
     points = materialize(
         grouped.groupBy(*keys, F.col("y_prob").alias("threshold")).agg(
@@ -63,7 +65,13 @@ def score_curve(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         ), "score-points")
     totals = points.groupBy(*keys).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     running = cumulative_from_top(points, keys, "threshold", {"pos": "tp", "neg": "fp"})
-    return running.join(totals, keys).select(*by, "threshold", "pos", "neg", "tp", "fp", "n_pos", "n_neg")
+    return join_null_safe(running, totals, keys).select(*by, "threshold", "pos", "neg", "tp", "fp", "n_pos", "n_neg")
+
+
+def unscored_rows(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``n_unscored`` per group: rows whose score is null or not a number."""
+    missing = F.col("y_prob").isNull() | F.isnan("y_prob")
+    return scored.groupBy(*by).agg(F.count(F.when(missing, 1)).alias("n_unscored"))
 
 
 def _areas() -> list[Column]:

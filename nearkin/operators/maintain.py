@@ -57,10 +57,11 @@ def incremental_add(spark: SparkSession, root: str, new_questions: DataFrame, en
 
     Cells stay as they are and stored rows are not rewritten. An id that is already stored
     gets the new text and the new vector; within the batch the row with the highest
-    ``sequence`` wins. Returns the number of the addition.
+    ``sequence`` wins, by default the last text in alphabetical order. Returns the number of
+    the addition.
     """
     index, questions, manifest = read_version(spark, root)
-    newest = latest_per_key(new_questions, "question_id", sequence) if sequence else new_questions.dropDuplicates(["question_id"])
+    newest = latest_per_key(new_questions, "question_id", sequence or ["question_text"])
     cleaned = newest.withColumn("question_clean", clean_transformer(F.col("question_text")))
     # vectors must be computed once: they go into two tables
     encoded = materialize(

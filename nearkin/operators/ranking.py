@@ -88,13 +88,19 @@ def top_n_by_count(stored: DataFrame, count: str, n: int, tie: str) -> DataFrame
     return kept.orderBy(F.col(count).desc(), tie).limit(n)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which a null key meets a null key; the keys come from the left."""
+    renamed = right.select(*[F.col(c).alias(f"_right_{c}") if c in keys else F.col(c) for c in right.columns])
+    return left.join(renamed, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in keys]).drop(*[f"_right_{c}" for c in keys])
+
+
 MIN_RANGES, MAX_RANGES, RANGE_ROWS = 200, 10_000, 1_000_000
 
 
 def cumulative_from_top(points: DataFrame, by: Sequence[str], key: str, sums: dict[str, str]) -> DataFrame:
     """Running totals of columns in descending order of ``key``, per group, current row included.
 
-    ``points`` holds one row per group and key. Quantiles of the key cut it into ranges; the
+    ``points`` holds one row per group and key; keys are numbers, groups may be null. Quantiles of the key cut it into ranges; the
     totals of the higher ranges are added to a running sum inside each range, so no task sees
     more than about one range of a group.
     """
@@ -116,7 +122,7 @@ def cumulative_from_top(points: DataFrame, by: Sequence[str], key: str, sums: di
         Window.partitionBy(*by, "_range").orderBy(F.col(key).desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    joined = ranged.join(offsets, [*by, "_range"])
+    joined = join_null_safe(ranged, offsets, [*by, "_range"])
     return joined.select(
         *points.columns,
         *[(F.sum(c).over(inside) + F.col(f"_above_{c}")).alias(out) for c, out in sums.items()],

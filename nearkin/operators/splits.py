@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nearkin.operators.ranking import join_null_safe
+
 # Shares of the splits.
 TEST_SHARE = 0.15
 VAL_SHARE = 0.05
 
 
 def _hash(key: Column, seed: int) -> Column:
-    return F.md5(F.concat(key.cast("string"), F.lit(f"|{seed}")))
+    return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f"|{seed}")))
 
 
 def hash_split(df: DataFrame, key: str, seed: int = 42, test: float = TEST_SHARE, val: float = VAL_SHARE) -> DataFrame:
@@ -49,7 +51,8 @@ def stratified_split(df: DataFrame, key: str, label: str = "is_duplicate", seed:
 
     Rows of a label are ranked by a hash of their unique key. The leading hex digits cut the
     rows of a label into equal ranges: counts per range give the rank at which a range starts,
-    and a row only needs its place within its own range.
+    and a row only needs its place within its own range. Rows without a label are a label of
+    their own, and a null key hashes like an empty one.
     """
     hashed = df.withColumn("_hash", _hash(F.col(key), seed))
     hashed = hashed.withColumn("_range", F.substring("_hash", 1, prefix_digits))
@@ -60,12 +63,12 @@ def stratified_split(df: DataFrame, key: str, label: str = "is_duplicate", seed:
     quotas = _quotas(ranges.groupBy(label).agg(F.sum("_rows").alias("n")), label, test, "n_test")
     rest = quotas.withColumn("n", F.col("n") - F.col("n_test"))
     quotas = _quotas(rest, label, val / (1.0 - test), "n_val").select(label, "n_test", "n_val")
-    plan = starts.join(quotas, label).select(label, "_range", "_start", "n_test", "n_val")
+    plan = join_null_safe(starts, quotas, [label]).select(label, "_range", "_start", "n_test", "n_val")
 
     place = F.row_number().over(Window.partitionBy(label, "_range").orderBy("_hash", key)) + F.col("_start")
     return (
         # at most labels × 16^prefix_digits rows
-        hashed.join(F.broadcast(plan), [label, "_range"])
+        join_null_safe(hashed, F.broadcast(plan), [label, "_range"])
         .withColumn("_place", place)
         .withColumn("split", F.when(F.col("_place") <= F.col("n_test"), "test")
                     .when(F.col("_place") <= F.col("n_test") + F.col("n_val"), "val").otherwise("train"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nearkin.functions.encoders import Encoder, PairScorer
@@ -27,15 +27,22 @@ def find_similar(queries: DataFrame, index: VectorIndex, questions: DataFrame, k
     """Hits of every query: twice ``k`` candidates, optional rerank, threshold, first ``k``.
 
     ``queries(query_id, query_text, query_embedding)``; a batch of one is the single search.
+    Candidates without a stored question vanish and those behind them move up.
     Output: ``query_id, rank, question_id, score, question_text``.
     """
-    found = attach_questions(knn_clustered(queries, index, OVERFETCH * k, probe), questions)
+    found = moved_up(attach_questions(knn_clustered(queries, index, OVERFETCH * k, probe), questions))
     if scorer is not None:
         texts = queries.select("query_id", "query_text")
         found = rerank(found.join(texts, "query_id"), scorer, OVERFETCH * k).drop("query_text")
     return threshold_and_cut(found, threshold, k)
 
 
+def moved_up(found: DataFrame) -> DataFrame:
+    """Ranks from 1 without gaps, in the order of the old ones."""
+    order = Window.partitionBy("query_id").orderBy("rank")
+    return found.withColumn("rank", F.row_number().over(order))
+
+
 def responses(queries: DataFrame, hits: DataFrame) -> DataFrame:
     """One row per query: ``query_id, query_text, results, result_count``; no hits give count 0.
 

@@ -180,3 +180,12 @@ def test_prepare_and_files(spark, tmp_path):
     csv = str(tmp_path / "new.csv")
     spark.createDataFrame([(1, 'say "hi",\nplease')], schemas.CORPUS).coalesce(1).write.option("header", True).option("escape", '"').csv(csv)
     assert tables.read_any(spark, csv, schemas.CORPUS).first()["question_text"] == 'say "hi",\nplease'
+
+
+def test_rows_without_label_or_key_are_split_too(spark):
+    from nearkin.operators import splits as sp
+    rows = [(i, i % 3 if i % 3 < 2 else None) for i in range(12)] + [(None, 1), (None, None)]
+    df = spark.createDataFrame(rows, "id long, is_duplicate int")
+    found = sp.stratified_split(df, "id").collect()
+    assert len(found) == 14 and {r["split"] for r in found} <= {"train", "val", "test"}
+    assert sp.hash_split(df, "id").filter("split IS NULL").count() == 0

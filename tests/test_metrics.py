@@ -91,15 +91,15 @@ def test_slices_and_gap(spark):
 
 
 def test_retrieval_worked_example(spark):
-    retrieved = [[1, 2, 3], [4, 5, 6], [7, 8, 9], [10, 11, 12]]
-    relevant = [[2], [4], [99], [11]]
+    retrieved = [[31, 5, 8], [17, 40, 2], [6, 77, 29], [51, 63, 12], [9, 14, 3]]
+    relevant = [[31], [2], [77], [1], [14]]
     hits = spark.createDataFrame([(q, r, i) for q, ids in enumerate(retrieved) for r, i in enumerate(ids, 1)], "query_id long, rank int, question_id long")
     truth = spark.createDataFrame([(q, i) for q, ids in enumerate(relevant) for i in ids * 2], "query_id long, relevant_id long")
-    queries = spark.createDataFrame([(q,) for q in range(4)], "query_id long")
+    queries = spark.createDataFrame([(q,) for q in range(5)], "query_id long")
     m = retrieval.evaluate_retrieval(queries, hits, truth, (1, 3)).first()
-    assert (m["recall_at_1"], m["recall_at_3"], m["mrr"]) == (0.25, 0.75, 0.5)
-    more = spark.createDataFrame([(q,) for q in range(5)], "query_id long")
-    assert retrieval.evaluate_retrieval(more, hits, truth).first()["mrr"] == 0.4
+    assert (m["recall_at_1"], m["recall_at_3"], m["mrr"]) == (0.2, 0.8, 0.4667)
+    more = spark.createDataFrame([(q,) for q in range(7)], "query_id long")
+    assert retrieval.evaluate_retrieval(more, hits, truth).first()["mrr"] == 0.3333
     assert retrieval.evaluate_retrieval(queries.limit(0), hits, truth).first()["mrr"] == 0.0
 
 
@@ -107,7 +107,7 @@ def test_retrieval_queries_fall_back(spark):
     pairs = spark.createDataFrame([(1, 2, 1), (3, 4, 0)], "qid1 long, qid2 long, is_duplicate int")
     ids = spark.createDataFrame([(i,) for i in range(200, 400)], "question_id long")
     queries, truth = retrieval.retrieval_queries(pairs, ids)
-    assert queries.count() == 100 and truth.filter("query_id <> relevant_id").count() == 0
+    assert queries.count() == 200 and retrieval.retrieval_queries(pairs, ids, fallback=100)[0].count() == 100 and truth.filter("query_id <> relevant_id").count() == 0
     queries, truth = retrieval.retrieval_queries(pairs, spark.createDataFrame([(2,), (3,)], "question_id long"))
     assert [tuple(r) for r in queries.collect()] == [(2,)] and truth.count() == 2
 
@@ -117,3 +117,12 @@ def test_golden_accuracy(spark):
     df = spark.createDataFrame(rows, "category string, label int, similarity double")
     got = {r["category"]: r["accuracy"] for r in cl.golden_accuracy(df).collect()}
     assert got == {"duplicate": 1.0, "negation": 0.0, "unrelated": 1.0, "overall": 0.75}
+
+
+def test_missing_scores_and_groups(spark):
+    rows = [("a", 1, 0.9), ("a", 0, 0.1), ("a", 1, None), ("a", 1, float("nan")), (None, 1, 0.8), (None, 0, 0.2), (None, 0, 0.3)]
+    df = spark.createDataFrame(rows, "g string, y_true int, y_prob double")
+    got = {r["g"]: (r["n"], r["auc_roc"], r["avg_precision"]) for r in cl.evaluate_classifier(df, by=["g"]).collect()}
+    assert got == {"a": (2, 1.0, 1.0), None: (3, 1.0, 1.0)}
+    assert {r["g"]: r["n_unscored"] for r in cl.unscored_rows(df, ["g"]).collect()} == {"a": 2, None: 0}
+    assert {r["g"] for r in cl.best_threshold(cl.score_curve(df, ["g"]), ["g"]).collect()} == {"a", None}

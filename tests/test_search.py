@@ -12,7 +12,7 @@ from nearkin.operators import bm25, features, fusion, tfidf
 from nearkin.operators.vectors import build_vector_index
 from nearkin.plans import search
 
-DOCS = ["how to fix error 0x80070005 on windows", "how to cook rice", "windows update fails", "rice rice rice", ""]
+DOCS = ["how to fix error 0xbeef0042 on windows", "how to cook rice", "windows update fails", "rice rice rice", ""]
 RANKED = "query_id long, rank int, question_id long, score double"
 
 
@@ -37,7 +37,7 @@ def brute_bm25(query):
 
 
 def test_bm25_equals_brute_force(spark, tmp_path, monkeypatch):
-    texts = ["0x80070005", "rice rice how", "nothing known", "", "windows how windows"]
+    texts = ["0xbeef0042", "rice rice how", "nothing known", "", "windows how windows"]
     queries = spark.createDataFrame(list(enumerate(texts)), "query_id long, query_text string")
     built = bm25.build_index(corpus_of(spark))
     built.save(str(tmp_path))
@@ -77,7 +77,7 @@ def test_rerank(spark):
 
 
 def test_threshold(spark):
-    df = spark.createDataFrame([(1, i + 1, i, s) for i, s in enumerate([0.94, 0.88, 0.76, 0.45])], RANKED)
+    df = spark.createDataFrame([(1, i + 1, i, s) for i, s in enumerate([0.97, 0.83, 0.71, 0.2])], RANKED)
     assert fusion.threshold_and_cut(df, 0.8, 5).count() == 2
     assert fusion.threshold_and_cut(df, 0.0, 1).count() == 1
     per_query = df.withColumns({"t": F.lit(0.7), "k": F.lit(2)})
@@ -157,3 +157,11 @@ def test_find_similar_single_equals_batch(spark):
     assert answers[2]["result_count"] == 0
     reranked = search.find_similar(queries, index, docs, 2, 0.3, scorer=overlap_scorer)
     assert reranked.filter("query_id = 1 and rank = 1").first()["question_id"] == 2
+
+
+def test_hits_without_text_leave_no_gap(spark):
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.96, 0.28]), (3, [0.6, 0.8])], "id long, embedding array<double>")
+    texts = spark.createDataFrame([(1, "first"), (3, "third")], "question_id long, question_text string")
+    queries = spark.createDataFrame([(9, "q", [1.0, 0.0])], "query_id long, query_text string, query_embedding array<double>")
+    rows = search.find_similar(queries, build_vector_index(vectors, cells=1), texts, 2, 0.3).orderBy("rank").collect()
+    assert [(r["rank"], r["question_id"]) for r in rows] == [(1, 1), (2, 3)]

@@ -74,9 +74,9 @@ def test_contractions(spark):
 
 def test_classical_edge_cases(spark):
     cases = {
-        "": "", " \t\n": "", "I do not like Python 3.12": "i do not like python 3 12",
-        "How and why?": "how and why", "R&amp;D is &gt; all": "r d is all",
-        "see http://a.b and www.c.d": "see url and url", "😀 !!": "", "¿Cómo estás, niño?": "cómo estás niño",
+        "": "", " \t\n": "", "She did not buy Atlas 7.5": "she did not buy atlas 7 5",
+        "What, when?": "what when", "Salt&amp;Oil cost &lt; 5": "salt oil cost 5",
+        "see http://a.b and www.c.d": "see url and url", "😀 !!": "", "¡Mañana será, Íñigo!": "mañana será íñigo",
     }
     assert run(spark, list(cases), tx.clean_classical) == list(cases.values())
     assert run(spark, [None], tx.clean_classical) == [""]
@@ -85,5 +85,5 @@ def test_classical_edge_cases(spark):
 
 
 def test_bm25_tokens_keep_codes(spark):
-    tokens = run(spark, ["Error 0x80070005 in pd.read_parquet"], tx.bm25_tokens)[0]
-    assert "0x80070005" in tokens and "read_parquet" in tokens
+    tokens = run(spark, ["Fault 0xC0FFEE11 from shop.load_orders"], tx.bm25_tokens)[0]
+    assert "0xc0ffee11" in tokens and "load_orders" in tokens
