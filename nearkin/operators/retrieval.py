@@ -47,18 +47,18 @@ def evaluate_retrieval(queries: DataFrame, retrieved: DataFrame, truth: DataFram
     )
 
 
-def retrieval_queries(pairs: DataFrame, corpus_ids: DataFrame, n: int | None = 500,
-                      fallback: int = 100) -> tuple[DataFrame, DataFrame]:
+def retrieval_queries(pairs: DataFrame, corpus_ids: DataFrame, n: int | None = None,
+                      fallback: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(queries, truth)`` for the retrieval evaluation.
 
     Truth is the symmetric closure of the positive pairs. Queries are its ids that exist in
-    ``corpus_ids(question_id)``, the first ``n`` by id. Without any, the first ``fallback``
-    corpus ids serve as queries, each relevant to itself.
+    ``corpus_ids(question_id)``, all or the first ``n`` by id. Without any, all or the first
+    ``fallback`` corpus ids serve as queries, each relevant to itself.
     """
     truth = truth_from_pairs(pairs)
     ids = corpus_ids.select(F.col("question_id").alias("query_id"))
     queries = truth.select("query_id").distinct().join(ids, "query_id", "left_semi")
     if queries.isEmpty():
-        queries = ids.orderBy("query_id").limit(fallback)
+        queries = ids if fallback is None else ids.orderBy("query_id").limit(fallback)
         return queries, queries.select("query_id", F.col("query_id").alias("relevant_id"))
     return (queries if n is None else queries.orderBy("query_id").limit(n)), truth

@@ -6,7 +6,6 @@ Vectors have unit length, so the inner product is the cosine. The index is two t
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,12 +22,14 @@ from nearkin.functions.vectors import dot, l2_normalize, norm
 from nearkin.operators.ranking import RANK_DECIMALS, top_k
 from nearkin.session import materialize
 
-# Cells of the clustering, vectors per cell and cells probed per query.
+# Default limit of the cells of the clustering, vectors per cell and cells probed per query.
 MAX_CELLS = 4096
 ROWS_PER_CELL = 39
 MAX_PROBE = 64
-# Rows that the clustering is trained on.
-TRAIN_ROWS = 1_000_000
+# Cells that the exact search visits first, to learn which others can still matter.
+NEAR_CELLS = 4
+# Bounds are compared with scores with this much room for rounding.
+BOUND_SLACK = 1e-6
 
 # Queries up to this volume are shipped to the tasks that scan the vectors.
 BROADCAST_QUERY_BYTES = 32 << 20
@@ -117,43 +118,75 @@ def _score_group(k: int):
     return score
 
 
+def _first_similar(threshold: float):
+    """For each query of a group the first row before it that is similar enough."""
+    def first(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "place": pd.Series(dtype="int64"),
+                              "question_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
+        if queries.empty or vectors.empty:
+            return empty
+        ordered = vectors.sort_values(["place", "question_id"])
+        places, ids, right = ordered["place"].to_numpy(), ordered["question_id"].to_numpy(), _matrix(ordered["embedding"]).T
+        found = [empty]
+        for at in range(0, len(queries), QUERY_BLOCK):
+            some = queries.iloc[at:at + QUERY_BLOCK]
+            scores = np.round(_matrix(some["query_embedding"]) @ right, RANK_DECIMALS)
+            own, own_ids = some["query_place"].to_numpy()[:, None], some["query_id"].to_numpy()[:, None]
+            earlier = (places < own) | ((places == own) & (ids < own_ids))
+            match = (scores >= threshold) & earlier
+            rows = np.flatnonzero(match.any(axis=1))
+            best = match[rows].argmax(axis=1)
+            found.append(pd.DataFrame({
+                "query_id": own_ids[rows, 0], "place": places[best], "question_id": ids[best], "score": scores[rows, best]}))
+        return pd.concat(found)
+
+    return first
+
+
 def _blocks_per_cell(df: DataFrame, key: str, out: str) -> DataFrame:
     """Blocks into which the rows of each cell are cut: one row per cell."""
     return df.groupBy("cell").agg(F.ceil(F.count(key) / F.lit(BLOCK_ROWS)).cast("int").alias(out))
 
 
-def _score_cells(probes: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """Score ``probes(query_id, query_embedding, cell)`` against ``vectors(question_id, embedding, cell)``.
+def _per_cell(probes: DataFrame, vectors: DataFrame, scorer, schema: T.StructType) -> DataFrame:
+    """Score ``probes(query_id, query_embedding, cell, ..)`` against ``vectors(question_id, embedding, cell, ..)``.
 
-    A cell is cut into blocks of bounded size on both sides and every pair of blocks is one
-    group, so a cell holding a third of all rows becomes many small groups. Each group yields
-    the best ``k`` per query, never all its pairs.
+    A cell is cut into blocks of bounded size on both sides and every pair of blocks of one
+    cell is one group, so a cell holding a third of all rows becomes many small groups. Each
+    group yields what ``scorer`` keeps of it, never all its pairs.
     """
     cells = _blocks_per_cell(vectors, "question_id", "v_blocks").join(
         _blocks_per_cell(probes, "query_id", "q_blocks"), "cell")
-    # one row per cell, and there are at most MAX_CELLS cells
+    # one row per cell
     cells = F.broadcast(cells)
     left = (
         probes.join(cells, "cell")
         .withColumn("q_block", F.pmod(F.xxhash64("query_id"), F.col("q_blocks")).cast("int"))
         .withColumn("v_block", F.explode(F.sequence(F.lit(0), F.col("v_blocks") - 1)))
-        .select("cell", "q_block", "v_block", "query_id", "query_embedding")
+        .drop("q_blocks", "v_blocks")
     )
     right = (
         vectors.join(cells, "cell")
         .withColumn("v_block", F.pmod(F.xxhash64("question_id"), F.col("v_blocks")).cast("int"))
         .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)))
-        .select("cell", "q_block", "v_block", "question_id", "embedding")
+        .drop("q_blocks", "v_blocks")
     )
     keys = ["cell", "q_block", "v_block"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_score_group(k), HITS)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(scorer, schema)
+
+
+def _score_cells(probes: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """Best ``k`` per query of every group of a cell."""
+    return _per_cell(probes, vectors, _score_group(k), HITS)
 
 
 def _few_queries(queries: DataFrame) -> pd.DataFrame | None:
     """The queries themselves if they are proven small, else ``None``."""
-    head = queries.select("query_id", "query_embedding").limit(BROADCAST_QUERY_ROWS + 1).toPandas()
-    volume = 8 * sum(len(v) for v in head["query_embedding"])
-    return head if len(head) <= BROADCAST_QUERY_ROWS and volume <= BROADCAST_QUERY_BYTES else None
+    head = queries.select("query_id", "query_embedding").limit(BROADCAST_QUERY_ROWS + 1)
+    size = head.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("query_embedding")), F.lit(0)).alias("numbers")).first()
+    if size["rows"] > BROADCAST_QUERY_ROWS or 8 * size["numbers"] > BROADCAST_QUERY_BYTES:
+        return None
+    return head.toPandas()
 
 
 def _fold_copies(queries: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -190,35 +223,112 @@ def knn_exact(queries: DataFrame, vectors: DataFrame, k: int = 10, skip_self: bo
 
     ``queries(query_id, query_embedding)``, ``vectors(id, embedding)``. A proven-small query
     table travels to the vectors, which then are neither shuffled nor replicated. Otherwise
-    both sides are cut into blocks and every pair of blocks is scored.
+    the vectors are clustered and searched cell by cell.
     """
-    named = vectors.select(F.col("id").alias("question_id"), "embedding")
     few = _few_queries(queries)
     if few is not None:
-        if few.empty:
-            return _ranked(queries.sparkSession.createDataFrame([], HITS), k)
-        return _ranked(named.mapInPandas(_scan_with(few, k, skip_self), HITS), k)
+        return _scan_few(few, vectors, k, skip_self)
+    return knn_by_bounds(queries, build_vector_index(vectors), k, skip_self)
+
+
+def _scan_few(few: pd.DataFrame, vectors: DataFrame, k: int, skip_self: bool) -> DataFrame:
+    named = vectors.select(F.col("id").alias("question_id"), "embedding")
+    if few.empty:
+        return _ranked(vectors.sparkSession.createDataFrame([], HITS), k)
+    return _ranked(named.mapInPandas(_scan_with(few, k, skip_self), HITS), k)
+
+
+def cell_bounds(index: VectorIndex) -> DataFrame:
+    """``cell, centroid, radius``: how far the vectors of a cell are from its centroid at most."""
+    away = F.sqrt(F.aggregate(
+        F.zip_with("embedding", "centroid", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, x: total + x))
+    # one centroid per cell
+    placed = index.vectors.join(F.broadcast(index.centroids), "cell")
+    return index.centroids.join(placed.groupBy("cell").agg(F.max(away).alias("radius")), "cell")
+
+
+def probes_by_bounds(queries: DataFrame, bounds: DataFrame, floor: str | None, skip: str | None = None) -> DataFrame:
+    """Add ``cells``: those whose best possible score reaches the ``floor`` of a query.
+
+    The score of a vector of a cell is at most that of the centroid plus the length of the
+    query times the radius of the cell. ``skip`` names an array of cells to leave out.
+    """
+    table = bounds.toPandas()
+    numbers, matrix, radii = table["cell"].to_numpy(), _matrix(table["centroid"]), table["radius"].to_numpy()
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def reachable(vectors: pd.Series, floors: pd.Series, left_out: pd.Series) -> pd.Series:
+        rows = _matrix(vectors)
+        best = rows @ matrix.T + np.linalg.norm(rows, axis=1)[:, None] * radii[None, :]
+        return pd.Series([
+            [int(c) for c in numbers[b >= f - BOUND_SLACK] if c not in set(o)]
+            for b, f, o in zip(best, floors.to_numpy(), left_out)])
+
+    none = F.array().cast("array<int>")
+    at_least = F.col(floor) if floor else F.lit(float("-inf"))
+    return queries.withColumn("cells", reachable("query_embedding", at_least, F.col(skip) if skip else none))
+
+
+def knn_by_bounds(queries: DataFrame, index: VectorIndex, k: int = 10, skip_self: bool = False,
+                  near: int = NEAR_CELLS) -> DataFrame:
+    """Exact best ``k`` per query from the cells that can hold them.
+
+    The nearest cells are searched first. The k-th score found there is a floor, and of the
+    other cells only those are visited whose bound reaches it.
+    """
     distinct, members = _fold_copies(queries)
-    width = k + 1 if skip_self else k
-    hits = _score_cells(distinct.withColumn("cell", F.lit(0)), named.withColumn("cell", F.lit(0)), width)
-    return _hand_out(_ranked(hits, width), members, k, skip_self)
+    wanted = k + 1 if skip_self else k
+    named = index.vectors.select(F.col("id").alias("question_id"), "embedding", "cell")
+    located = materialize(nearest_cells(distinct, "query_embedding", index.centroids, near), "near-cells")
+    first = materialize(_ranked_raw(_score_cells(
+        located.select("query_id", "query_embedding", F.explode("cells").alias("cell")), named, wanted), wanted), "near-hits")
+    floors = first.filter(F.col("rank") == wanted).select("query_id", F.col("score").alias("floor"))
+    open_ = located.withColumnRenamed("cells", "done").join(floors, "query_id", "left").withColumn(
+        "floor", F.coalesce("floor", F.lit(float("-inf"))))
+    # stored once: the cells of the queries are counted first and joined afterwards
+    further = materialize(probes_by_bounds(open_, cell_bounds(index), "floor", "done"), "further-cells")
+    second = _score_cells(further.select("query_id", "query_embedding", F.explode("cells").alias("cell")), named, wanted)
+    return _hand_out(_ranked(first.drop("rank").unionByName(second), wanted), members, k, skip_self)
+
 
+def _ranked_raw(hits: DataFrame, k: int) -> DataFrame:
+    return top_k(hits, ["query_id"], "score", k, ["question_id"]).select("query_id", "question_id", "score", "rank")
 
-def build_vector_index(vectors: DataFrame, cells: int | None = None, seed: int = 42,
-                       train_rows: int = TRAIN_ROWS) -> VectorIndex:
+
+def first_similar(queries: DataFrame, log: DataFrame, threshold: float) -> DataFrame:
+    """Link each query to the first earlier one of a log that is similar enough.
+
+    Both tables hold ``query_id, query_embedding, place``; ``place`` is a whole number that
+    orders the log, ids break its ties, and a query may be part of the log. Output ``query_id, matched_query_id, similarity`` with nulls where
+    there is none. Only cells whose bound reaches the threshold are visited, and a group yields
+    one row per query at most.
+    """
+    index = build_vector_index(log.select(F.col("query_id").alias("id"), F.col("query_embedding").alias("embedding"), "place"))
+    probes = materialize(probes_by_bounds(
+        queries.select("query_id", "query_embedding", F.col("place").alias("query_place")).withColumn("floor", F.lit(float(threshold))),
+        cell_bounds(index), "floor").drop("floor"), "reuse-cells")
+    hits = _per_cell(
+        probes.withColumn("cell", F.explode("cells")).drop("cells"),
+        index.vectors.select(F.col("id").alias("question_id"), "embedding", "place", "cell"), _first_similar(threshold),
+        T.StructType([HITS["query_id"], T.StructField("place", T.LongType()), HITS["question_id"], HITS["score"]]))
+    best = hits.groupBy("query_id").agg(F.min(F.struct("place", "question_id", "score")).alias("m"))
+    return queries.select("query_id").join(best, "query_id", "left").select(
+        "query_id", F.col("m.question_id").alias("matched_query_id"), F.col("m.score").alias("similarity"))
+
+
+def build_vector_index(vectors: DataFrame, cells: int | None = None, seed: int = 42) -> VectorIndex:
     """Cluster ``vectors(id, embedding)`` spherically and assign every vector to a cell.
 
-    Large tables are clustered on a deterministic sample; assignment always covers all rows.
+    The clustering is fitted on all rows. Further columns stay with their vectors.
     """
     n = vectors.count()
     wanted = cells or cell_count(n)
-    assembled = vectors.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
-    training = assembled if n <= train_rows else seeded_fraction(assembled, train_rows / n, "id", seed)
-    model = KMeans(k=wanted, distanceMeasure="cosine", maxIter=10, seed=seed,
-                   featuresCol="features", predictionCol="cell").fit(training.select("features")) if wanted > 1 else None
-    if model is None:
+    if wanted == 1:
         centroid = corpus_centroid(vectors).select(F.lit(0).alias("cell"), F.col("centroid"))
         return VectorIndex(centroid, vectors.withColumn("cell", F.lit(0)))
+    assembled = vectors.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
+    model = KMeans(k=wanted, distanceMeasure="cosine", maxIter=10, seed=seed,
+                   featuresCol="features", predictionCol="cell").fit(assembled.select("features"))
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     centroids = vectors.sparkSession.createDataFrame(
         centers, T.StructType([T.StructField("cell", T.IntegerType()),
@@ -227,20 +337,12 @@ def build_vector_index(vectors: DataFrame, cells: int | None = None, seed: int =
     return VectorIndex(centroids, materialize(assigned, "vectors"))
 
 
-def seeded_fraction(df: DataFrame, fraction: float, key: str, seed: int = 42) -> DataFrame:
-    """A reproducible share of the rows, without sorting or shuffling."""
-    place = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / 1_000_000
-    return df.filter(place < fraction)
-
-
 def nearest_cells(df: DataFrame, embedding_col: str, centroids: DataFrame, probe: int) -> DataFrame:
     """Add ``cells``, the ``probe`` nearest cells of each vector, nearest first.
 
-    The centroids, at most ``MAX_CELLS`` rows, are shipped to the tasks.
+    The centroids, one row per cell, are shipped to the tasks.
     """
-    table = centroids.orderBy("cell").limit(MAX_CELLS + 1).toPandas()
-    if len(table) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} cells")
+    table = centroids.orderBy("cell").toPandas()
     numbers, matrix = table["cell"].to_numpy(), _matrix(table["centroid"])
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
@@ -261,13 +363,16 @@ def knn_clustered(queries: DataFrame, index: VectorIndex, k: int = 10, probe: in
                   skip_self: bool = False) -> DataFrame:
     """Best ``k`` vectors per query among the ``probe`` nearest cells.
 
-    Probing every cell is the exact search. The default probes a third of the cells, at most
-    ``MAX_PROBE``.
+    Probing every cell is the exact search. The default probes ``MAX_PROBE`` cells, or all if
+    there are fewer.
     """
     n_cells = index.centroids.count()
-    width = min(probe or min(MAX_PROBE, math.ceil(n_cells / 3)), n_cells)
+    width = min(probe or MAX_PROBE, n_cells)
     if width >= n_cells:
-        return knn_exact(queries, index.vectors, k, skip_self)
+        few = _few_queries(queries)
+        if few is not None:
+            return _scan_few(few, index.vectors, k, skip_self)
+        return knn_by_bounds(queries, index, k, skip_self)
     distinct, members = _fold_copies(queries)
     # stored once: the cells of the queries are counted first and joined afterwards
     located = materialize(nearest_cells(distinct, "query_embedding", index.centroids, width), "probes")

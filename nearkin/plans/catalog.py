@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearkin.functions import text as tx
@@ -90,8 +90,8 @@ def benchmark_queries(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
 
 
-def single_cell(spark: SparkSession, sf: str) -> vectors.VectorIndex:
-    return vectors.build_vector_index(vectors_of(spark, sf), cells=1)
+def stored_vectors(spark: SparkSession, sf: str) -> vectors.VectorIndex:
+    return vectors.build_vector_index(vectors_of(spark, sf))
 
 
 def request_log(events: DataFrame) -> DataFrame:
@@ -292,8 +292,8 @@ def word_vector_cosine(spark, sf):
     counted = documents(spark, sf).select(F.explode(tx.term_counts(tx.words(F.lower("question_text")))).alias("t")).groupBy(
         F.col("t.term").alias("word")).agg(F.sum("t.tf").alias("cf"))
     n = vectors_of(spark, sf).count()
-    placed = ranking.top_n_by_count(materialize(counted, "words"), "cf", n, "word").withColumn(
-        "id", (F.row_number().over(Window.orderBy(F.desc("cf"), "word")) - 1).cast("long"))
+    chosen = ranking.top_n_by_count(materialize(counted, "words"), "cf", n, "word")
+    placed = ranking.dense_index(chosen, [F.desc("cf"), "word"], "id")
     word_vectors = placed.join(vectors_of(spark, sf), "id").select("word", F.col("embedding").alias("vector"))
     scored = features.word_vector_cosine(pairs_of(spark, sf), "pair_id", "question1", "question2", word_vectors)
     return scored.select("pair_id", F.round("wv_cosine_similarity", 6).alias("wv_cosine_similarity"))
@@ -365,7 +365,7 @@ def rrf_fusion(spark, sf):
 
 @query
 def hybrid_search(spark, sf):
-    return search.hybrid_search(_linked_queries(spark, sf), single_cell(spark, sf), bm25.build_index(documents(spark, sf)))
+    return search.hybrid_search(_linked_queries(spark, sf), stored_vectors(spark, sf), bm25.build_index(documents(spark, sf)))
 
 
 # --- vectors ----------------------------------------------------------------------------------
@@ -406,14 +406,14 @@ def self_retrieval(spark, sf):
 def find_similar(spark, sf):
     docs = documents(spark, sf)
     queries = _linked_queries(spark, sf)
-    return search.find_similar(queries, single_cell(spark, sf), docs, 5, 0.3).drop("question_text")
+    return search.find_similar(queries, stored_vectors(spark, sf), docs, 5, 0.3).drop("question_text")
 
 
 @query
 def find_similar_responses(spark, sf):
     docs = documents(spark, sf)
     queries = _linked_queries(spark, sf)
-    hits = search.find_similar(queries, single_cell(spark, sf), docs, 5, 0.35)
+    hits = search.find_similar(queries, stored_vectors(spark, sf), docs, 5, 0.35)
     return search.responses(queries, hits).select("query_id", "query_text", "result_count")
 
 
@@ -547,7 +547,7 @@ def pair_cosine_threshold(spark, sf):
 def retrieval_quality(spark, sf):
     questions = documents(spark, sf).join(
         vectors_of(spark, sf).select(F.col("id").alias("question_id"), F.col("id").alias("vec_id")), "question_id", "left")
-    return evaluation.retrieval_quality(pairs_of(spark, sf), questions, single_cell(spark, sf), n=None)
+    return evaluation.retrieval_quality(pairs_of(spark, sf), questions, stored_vectors(spark, sf), n=None)
 
 
 @query
@@ -724,18 +724,15 @@ def _query_log(vectors_table: DataFrame, events: DataFrame) -> DataFrame:
 @query
 def query_reuse(spark, sf):
     log = _query_log(table(spark, sf, "embeddings"), table(spark, sf, "events"))
-    outcome = reuse.replay_queries(log, span="1 day", threshold=REUSE_THRESHOLD)
-    return outcome.withColumn("similarity", F.round("similarity", 4))
+    return reuse.link_queries(log, log, REUSE_THRESHOLD).withColumn("similarity", F.round("similarity", 4))
 
 
 @query
 def query_reuse_stream(spark, sf):
     root = scratch_path(spark, "reuse")
     log = _query_log(stream_of(spark, sf, "embeddings"), table(spark, sf, "events"))
-    outcome = reuse.stream_reuse(log, threshold=REUSE_THRESHOLD)
-    batches.run_stream(outcome, lambda df, n: batches.write_batch(df, root, "outcome", n), f"{root}/checkpoint",
-                       available_now=True).awaitTermination()
-    return batches.rows_of(spark, root, "outcome").drop("batch_id").withColumn("similarity", F.round("similarity", 4))
+    reuse.start_reuse(log, root, f"{root}/checkpoint", REUSE_THRESHOLD, available_now=True).awaitTermination()
+    return batches.rows_of(spark, root, "links").drop("batch_id").withColumn("similarity", F.round("similarity", 4))
 
 
 # --- upkeep -----------------------------------------------------------------------------------
@@ -798,7 +795,7 @@ def corpus_duplicates(spark, sf):
         F.col("question_id").alias("id"), "embedding"), "encoded")
     index = vectors.build_vector_index(encoded)
     queries = encoded.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_embedding"))
-    return vectors.knn_clustered(queries, index, 1, skip_self=True)
+    return vectors.knn_by_bounds(queries, index, 1, skip_self=True)
 
 
 # --- models -----------------------------------------------------------------------------------
@@ -817,9 +814,9 @@ def train_logistic_regression(spark, sf):
 
 @query
 def train_boosted_trees(spark, sf):
-    table_ = _labelled_features(spark, sf)
-    model = training.train_boosted_trees(table_.filter("split = 'train'"), FEATURES, rounds=10, depth=4)
-    return training.feature_importance(model, spark)
+    """The full settings; the validation rows stop the boosting."""
+    table_ = _labelled_features(spark, sf).filter("split != 'test'").withColumn("validation", F.col("split") == "val")
+    return training.feature_importance(training.train_boosted_trees(table_, FEATURES, "validation"), spark)
 
 
 # --- files ------------------------------------------------------------------------------------
@@ -829,7 +826,7 @@ def csv_round_trip(spark, sf):
     path = scratch_path(spark, "corpus") + ".csv"
     docs = documents(spark, sf)
     docs.write.option("header", True).option("escape", '"').csv(path)
-    return tables.read_any(spark, path, docs.schema)
+    return tables.read_any(spark, path, docs.schema, multi_line=True)
 
 
 @query

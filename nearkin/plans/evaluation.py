@@ -25,7 +25,7 @@ def split_gap(scored: DataFrame, threshold: float = 0.5, left: str = "train", ri
     return metrics.agg(*[F.round(pick(left, n) - pick(right, n), 4).alias(f"{n}_gap") for n in names])
 
 
-def retrieval_quality(pairs: DataFrame, questions: DataFrame, index: VectorIndex, n: int | None = 500, k: int = 10,
+def retrieval_quality(pairs: DataFrame, questions: DataFrame, index: VectorIndex, n: int | None = None, k: int = 10,
                       probe: int | None = None, exclude_self: bool = False) -> DataFrame:
     """Recall and MRR of the index on the positive pairs.
 

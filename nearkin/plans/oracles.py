@@ -178,7 +178,8 @@ def rrf(first: str, second: str) -> str:
 
 
 FIND = f"""WITH {knn(LINKED, 10)}, found AS (
-  SELECT hits.* FROM hits JOIN documents ON doc_id = question_id)"""
+  SELECT query_id, question_id, score, row_number() OVER (PARTITION BY query_id ORDER BY rank)::INT AS rank
+  FROM hits JOIN documents ON doc_id = question_id)"""
 CENTER = """dims AS (SELECT generate_subscripts(embedding, 1) - 1 AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings),
   means AS (SELECT pos, avg(x) AS m FROM dims GROUP BY pos),
   center AS (SELECT pos, m / sqrt((SELECT sum(m * m) FROM means)) AS c FROM means),
@@ -247,28 +248,17 @@ STRATIFIED = f"""WITH {PAIRS}, sizes AS (SELECT is_duplicate, count(*) AS n FROM
   SELECT pair_id, is_duplicate, CASE WHEN place <= n_test THEN 'test' WHEN place <= n_test + n_val THEN 'val' ELSE 'train' END AS split
   FROM placed JOIN v4 USING (is_duplicate)"""
 
-def reuse(memory: str) -> str:
-    """Walk through the query log; ``memory`` names the span that a memory lives for."""
-    return f"""WITH RECURSIVE log AS (
-    SELECT *, row_number() OVER (PARTITION BY span ORDER BY ts, q) AS n FROM (
-      SELECT vec_id AS q, embedding::DOUBLE[] AS v, ts, {memory} AS span FROM embeddings JOIN events ON event_id = vec_id)),
-  close AS (SELECT a.q, b.q AS earlier, b.n, round(list_inner_product(a.v, b.v), 9) AS s FROM log a JOIN log b ON a.span = b.span AND b.n < a.n
-    WHERE round(list_inner_product(a.v, b.v), 9) >= 0.35),
-  choices AS (SELECT q, list(earlier ORDER BY n DESC) AS c FROM close GROUP BY q),
-  steps AS (SELECT log.*, coalesce(c, []) AS c FROM log LEFT JOIN choices USING (q)),
-  walk AS (
-    SELECT span, n, q, NULL::BIGINT AS hit, [q] AS known FROM steps WHERE n = 1
-    UNION ALL
-    SELECT span, n, q, hit, CASE WHEN hit IS NULL THEN list_append(known, q)[-1000:] ELSE known END FROM (
-      SELECT s.span, s.n, s.q, w.known, list_filter(s.c, lambda x: list_contains(w.known, x))[1] AS hit
-      FROM walk w JOIN steps s ON s.span = w.span AND s.n = w.n + 1))
-  SELECT walk.q AS query_id, hit AS matched_query_id, round(close.s, 4) AS similarity, hit IS NOT NULL AS was_cached
-  FROM walk LEFT JOIN close ON close.q = walk.q AND close.earlier = hit"""
+REUSE = """WITH log AS (SELECT vec_id AS q, embedding::DOUBLE[] AS v, ts FROM embeddings JOIN events ON event_id = vec_id),
+  close AS (SELECT a.q, b.q AS earlier, b.ts, round(list_inner_product(a.v, b.v), 9) AS s
+    FROM log a JOIN log b ON (b.ts, b.q) < (a.ts, a.q) WHERE round(list_inner_product(a.v, b.v), 9) >= 0.35),
+  first_one AS (SELECT * FROM close QUALIFY row_number() OVER (PARTITION BY q ORDER BY ts, earlier) = 1)
+  SELECT log.q AS query_id, earlier AS matched_query_id, round(s, 4) AS similarity, earlier IS NOT NULL AS was_cached
+  FROM log LEFT JOIN first_one USING (q)"""
 
 
 ORACLES: dict[str, str] = {
-    "query_reuse": reuse("date_trunc('day', ts)"),
-    "query_reuse_stream": reuse("0"),
+    "query_reuse": REUSE,
+    "query_reuse_stream": REUSE,
     "flatten_pairs": f"WITH {PAIRS} SELECT qid1, qid2, question1, question2, is_duplicate FROM pairs",
     "flatten_pairs_nested": f"WITH {PAIRS} SELECT qid1, qid2, question1, question2, is_duplicate FROM pairs",
     "corpus_dedupe": f"""WITH {RAW}, sides AS (SELECT idx * 2 AS id, {strip('t1')} AS t FROM raw UNION ALL SELECT idx * 2 + 1, {strip('t2')} FROM raw)
@@ -331,6 +321,8 @@ ORACLES: dict[str, str] = {
       {rrf('near', 'keyword_hits')}""",
     "knn_exact": KNN_SELF,
     "knn_clustered_full_probe": KNN_SELF,
+    "knn_clustered": KNN_SELF,
+    "knn_clustered_recall": f"WITH {knn(SELF, 10)} SELECT count(*) AS n_exact, 1.0::DOUBLE AS recall_at_10 FROM hits",
     "self_retrieval": "SELECT vec_id AS query_id, vec_id AS found_id, 1.0::DOUBLE AS score, true AS ok FROM embeddings",
     "find_similar": f"{FIND} SELECT query_id, rank, question_id, score FROM found WHERE score >= 0.3 AND rank <= 5",
     "find_similar_responses": f"""{FIND} SELECT b.item_id AS query_id, b.text AS query_text, count(f.rank)::INT AS result_count

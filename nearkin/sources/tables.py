@@ -9,13 +9,16 @@ from pyspark.sql import types as T
 from nearkin.schemas import CORPUS, FEEDBACK, QUESTIONS, require
 
 
-def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header, JSON lines or Parquet, by the suffix of the path."""
+def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+    """CSV with a header, JSON lines or Parquet, by the suffix of the path.
+
+    CSV texts may hold line breaks, which makes each file one task; without ``multi_line`` files that
+    hold none are cut into many tasks.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
     suffix = path.rstrip("/").rsplit(".", 1)[-1].lower()
     if suffix == "csv":
-        # question texts may hold quotes and line breaks
-        return reader.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+        return reader.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
     if suffix in ("json", "jsonl"):
         return reader.json(path)
     return reader.parquet(path)

@@ -1,140 +1,48 @@
-"""Reuse of results between near-identical queries of a log.
-
-A query that is close enough to a remembered one reuses its results; only queries without
-such a partner are remembered, and the oldest is forgotten beyond a limit. The outcome depends
-on the order of queries, so memory is kept per cell of the query and, in the batch form, per
-time span: cells and spans run in parallel. With a single cell and span the outcome is that of
-one memory over the whole log.
-"""
+"""Queries of a log linked to the first earlier query that was nearly the same."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-from nearkin.operators.ranking import RANK_DECIMALS
-from nearkin.operators.vectors import nearest_cells
-
-# Similarity that allows reuse and number of remembered queries.
-SIMILARITY = 0.95
-MEMORY_SIZE = 1000
-
-OUTCOME = T.StructType([
-    T.StructField("query_id", T.LongType()),
-    T.StructField("matched_query_id", T.LongType()),
-    T.StructField("similarity", T.DoubleType()),
-    T.StructField("was_cached", T.BooleanType()),
-])
-MEMORY = T.StructType([
-    T.StructField("ids", T.ArrayType(T.LongType())),
-    T.StructField("vectors", T.ArrayType(T.DoubleType())),
-])
-
-
-def _replay(ids: np.ndarray, vectors: np.ndarray, memory: tuple[list[int], list[np.ndarray]],
-            threshold: float, size: int) -> list[tuple]:
-    """Outcome of queries in order; ``memory`` (ids and vectors, newest last) is updated."""
-    known_ids, known = memory
-    # twice the size, so that forgetting the oldest rarely moves the array
-    ring = np.zeros((2 * size, vectors.shape[1]))
-    low, high = 0, len(known)
-    if high:
-        ring[:high] = known
-    out = []
-    for query_id, vector in zip(ids, vectors):
-        similar = np.round(ring[low:high] @ vector, RANK_DECIMALS)
-        close = np.nonzero(similar >= threshold)[0]
-        if len(close):
-            newest = close[-1]
-            out.append((query_id, known_ids[newest], float(similar[newest]), True))
-            continue
-        out.append((query_id, None, None, False))
-        if high - low == size:
-            known_ids.pop(0)
-            low += 1
-        if high == len(ring):
-            ring[:high - low] = ring[low:high].copy()
-            low, high = 0, high - low
-        ring[high] = vector
-        known_ids.append(int(query_id))
-        high += 1
-    known[:] = list(ring[low:high])
-    return out
-
-
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=OUTCOME.names)
-    return frame.astype({"query_id": "int64", "matched_query_id": "Int64", "similarity": "float64", "was_cached": "bool"})
-
-
-def _cell_of(queries: DataFrame, centroids: DataFrame | None) -> DataFrame:
-    if centroids is None:
-        return queries.withColumn("cell", F.lit(0))
-    return nearest_cells(queries, "query_embedding", centroids, 1).withColumn("cell", F.get("cells", F.lit(0))).drop("cells")
+from pyspark.sql.streaming import StreamingQuery
 
+from nearkin.operators.vectors import first_similar
+from nearkin.streaming import batches
 
-def replay_queries(queries: DataFrame, centroids: DataFrame | None = None, span: str | None = "1 day",
-                   threshold: float = SIMILARITY, size: int = MEMORY_SIZE) -> DataFrame:
-    """Outcome per query of a log ``query_id, ts, query_embedding``.
+# Fixed value: cosine from which an earlier result may be used again.
+REUSE_THRESHOLD = 0.95
 
-    Rows are partitioned by cell and span and sorted by time; a task walks through its rows
-    batch by batch and holds one memory, never a whole group.
-    """
-    spanned = F.lit(0).cast("timestamp") if span is None else F.window("ts", span)["start"]
-    ordered = (
-        _cell_of(queries, centroids).withColumn("span", spanned)
-        .select("cell", "span", "ts", "query_id", "query_embedding")
-        .repartition("cell", "span").sortWithinPartitions("cell", "span", "ts", "query_id")
-    )
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, memory = None, ([], [])
-        for batch in batches:
-            rows: list[tuple] = []
-            for key, part in batch.groupby(["cell", "span"], sort=False):
-                if key != current:
-                    current, memory = key, ([], [])
-                vectors = np.stack(part["query_embedding"].to_numpy()).astype("float64")
-                rows += _replay(part["query_id"].to_numpy(), vectors, memory, threshold, size)
-            yield _frame(rows)
+def link_queries(queries: DataFrame, log: DataFrame, threshold: float = REUSE_THRESHOLD) -> DataFrame:
+    """``query_id, matched_query_id, similarity, was_cached`` of ``queries(query_id, ts, query_embedding)``."""
+    def placed(df: DataFrame) -> DataFrame:
+        return df.select("query_id", F.col("query_embedding").cast("array<double>").alias("query_embedding"),
+                         F.unix_micros(F.col("ts").cast("timestamp")).alias("place"))
 
-    return ordered.mapInPandas(walk, OUTCOME)
+    return first_similar(placed(queries), placed(log), threshold).withColumn("was_cached", F.col("matched_query_id").isNotNull())
 
 
-def stream_reuse(queries: DataFrame, centroids: DataFrame | None = None, threshold: float = SIMILARITY,
-                 size: int = MEMORY_SIZE) -> DataFrame:
-    """Streaming form: the memory of a cell is state that outlives the micro-batch."""
-    def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(batches)).sort_values(["ts", "query_id"])
-        vectors = np.stack(batch["query_embedding"].to_numpy()).astype("float64")
-        ids, flat = state.get if state.exists else ([], [])
-        memory = (list(ids), [np.asarray(v) for v in np.asarray(flat, dtype="float64").reshape(len(ids), -1)] if len(ids) else [])
-        rows = _replay(batch["query_id"].to_numpy(), vectors, memory, threshold, size)
-        state.update((memory[0], [float(x) for v in memory[1] for x in v]))
-        yield _frame(rows)
+def start_reuse(stream: DataFrame, root: str, checkpoint: str, threshold: float = REUSE_THRESHOLD, **options) -> StreamingQuery:
+    """Store the log and the links of each micro-batch against all that came so far."""
+    def handle(df: DataFrame, batch_id: int) -> None:
+        batches.write_batch(df.select("query_id", "ts", "query_embedding"), root, "log", batch_id)
+        spark = df.sparkSession
+        own = spark.read.parquet(batches.batch_path(root, "log", batch_id))
+        log = batches.rows_of(spark, root, "log").filter(F.col("batch_id") <= batch_id)
+        batches.write_batch(link_queries(own, log, threshold), root, "links", batch_id)
 
-    celled = _cell_of(queries, centroids).select("cell", "ts", "query_id", "query_embedding")
-    return celled.groupBy("cell").applyInPandasWithState(step, OUTCOME, MEMORY, "append", GroupStateTimeout.NoTimeout)
+    return batches.run_stream(stream, handle, checkpoint, **options)
 
 
-def reused_results(outcome: DataFrame, ranked: DataFrame, k: int) -> DataFrame:
-    """First ``k`` results of every query: its own, or those of the query it reuses."""
-    source = outcome.select("query_id", "was_cached", F.coalesce("matched_query_id", "query_id").alias("_source"))
-    return (
-        source.join(ranked.withColumnRenamed("query_id", "_source"), "_source")
-        .filter(F.col("rank") <= k).drop("_source")
-    )
+def reused_results(links: DataFrame, ranked: DataFrame, k: int) -> DataFrame:
+    """The stored hits of every query, or those of the query that it is linked to."""
+    source = links.select("query_id", F.coalesce("matched_query_id", "query_id").alias("source_id"))
+    hits = ranked.filter(F.col("rank") <= k).withColumnRenamed("query_id", "source_id")
+    return source.join(hits, "source_id").drop("source_id")
 
 
-def reuse_summary(outcome: DataFrame) -> DataFrame:
-    """Hits, misses and hit rate of an outcome table."""
-    hits = F.count(F.when(F.col("was_cached"), 1))
-    return outcome.agg(
-        F.count("*").alias("n_queries"), hits.alias("cache_hits"), (F.count("*") - hits).alias("cache_misses"),
-        F.round(F.coalesce(F.try_divide(hits.cast("double"), F.count("*")), F.lit(0.0)), 4).alias("cache_hit_rate"))
+def reuse_summary(links: DataFrame) -> DataFrame:
+    """One row ``n_queries, n_cached, hit_rate``."""
+    cached = F.count(F.when(F.col("was_cached"), 1))
+    return links.agg(F.count("*").alias("n_queries"), cached.alias("n_cached"),
+                     F.round(F.coalesce(F.try_divide(cached.cast("double"), F.count("*")), F.lit(0.0)), 4).alias("hit_rate"))

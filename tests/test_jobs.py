@@ -121,54 +121,38 @@ def test_feedback_and_windows_on_a_stream(spark, tmp_path):
 LOG = "query_id long, ts timestamp, query_embedding array<double>"
 
 
-def brute_reuse(rows, threshold, size):
-    memory, out = [], {}
-    for query_id, _, v in sorted(rows, key=lambda r: (r[1], r[0])):
-        hit = next((i for i, w in reversed(memory) if round(float(np.dot(v, w)), 9) >= threshold), None)
-        out[query_id] = hit
-        if hit is None:
-            if len(memory) >= size:
-                memory.pop(0)
-            memory.append((query_id, v))
+def brute_links(rows, threshold):
+    out = {}
+    for query_id, ts, v in rows:
+        earlier = sorted((t, i) for i, t, w in rows if (t, i) < (ts, query_id) and round(float(np.dot(v, w)), 9) >= threshold)
+        out[query_id] = earlier[0][1] if earlier else None
     return out
 
 
-def test_reuse_examples(spark):
+def test_reuse_links(spark):
     import datetime as dt
-    at = lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i)
-    rows = [(1, at(0), [1.0, 0.0]), (2, at(1), [0.96, 0.28]), (3, at(2), [0.94, 0.341])]
-    got = {r["query_id"]: r["was_cached"] for r in reuse.replay_queries(spark.createDataFrame(rows, LOG), span=None).collect()}
-    assert got == {1: False, 2: True, 3: False}
-
     rng = np.random.default_rng(5)
     raw = rng.normal(size=(400, 3))
     unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
-    rows = [(i, at(int(rng.integers(0, 5000))), v.tolist()) for i, v in enumerate(unit)]
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=int(rng.integers(0, 900))), v.tolist()) for i, v in enumerate(unit)]
     df = spark.createDataFrame(rows, LOG).repartition(6)
-    for threshold, size in ((0.9, 5), (0.95, 1000), (0.99, 17)):
-        got = {r["query_id"]: r["matched_query_id"] for r in reuse.replay_queries(df, span=None, threshold=threshold, size=size).collect()}
-        assert got == brute_reuse(rows, threshold, size)
-    spanned = {r["query_id"]: r["matched_query_id"] for r in reuse.replay_queries(df, span="1 day").collect()}
-    days = {}
-    for r in rows:
-        days.setdefault(r[1].date(), []).append(r)
-    assert spanned == {k: v for day in days.values() for k, v in brute_reuse(day, 0.95, 1000).items()}
-    assert reuse.reuse_summary(reuse.replay_queries(df, span=None)).first()["n_queries"] == 400
+    for threshold in (0.9, 0.99):
+        links = reuse.link_queries(df, df, threshold)
+        assert {r["query_id"]: r["matched_query_id"] for r in links.collect()} == brute_links(rows, threshold)
+    assert reuse.reuse_summary(links).first()["n_queries"] == 400
 
     ranked = spark.createDataFrame([(1, 1, 70, 0.9), (1, 2, 71, 0.8), (3, 1, 72, 0.7)], schemas.RANKED)
-    outcome = spark.createDataFrame([(1, None, None, False), (2, 1, 0.96, True), (3, None, None, False)], reuse.OUTCOME)
-    assert sorted((r["query_id"], r["question_id"]) for r in reuse.reused_results(outcome, ranked, 1).collect()) == [(1, 70), (2, 70), (3, 72)]
+    links = spark.createDataFrame([(1, None), (2, 1), (3, None)], "query_id long, matched_query_id long")
+    assert sorted((r["query_id"], r["question_id"]) for r in reuse.reused_results(links, ranked, 1).collect()) == [(1, 70), (2, 70), (3, 72)]
 
 
-def test_reuse_stream_keeps_memory_between_batches(spark, tmp_path):
+def test_reuse_stream_looks_back_over_batches(spark, tmp_path):
     source, root = tmp_path / "in", str(tmp_path / "out")
-    schema = "query_id long, ts timestamp, query_embedding array<double>"
-    rows = [(1, [1.0, 0.0]), (2, [0.96, 0.28]), (3, [0.94, 0.341]), (4, [0.0, 1.0]), (5, [0.94, 0.341])]
+    rows = [(1, [0.8, 0.6]), (2, [0.79, 0.613]), (3, [0.28, 0.96]), (4, [-1.0, 0.0]), (5, [0.3, 0.954])]
     for n, part in enumerate((rows[:1], rows[1:3], rows[3:])):
         write_json(source, f"{n}.json", [{"query_id": i, "ts": f"2024-01-01T00:0{i}:00Z", "query_embedding": v} for i, v in part])
-        outcome = reuse.stream_reuse(spark.readStream.schema(schema).json(str(source)))
-        batches.run_stream(outcome, lambda df, i: batches.write_batch(df, root, "outcome", i), f"{root}/cp", available_now=True).awaitTermination()
-    got = {r["query_id"]: r["matched_query_id"] for r in batches.rows_of(spark, root, "outcome").collect()}
+        reuse.start_reuse(spark.readStream.schema(LOG).json(str(source)), root, f"{root}/cp", available_now=True).awaitTermination()
+    got = {r["query_id"]: r["matched_query_id"] for r in batches.rows_of(spark, root, "links").collect()}
     assert got == {1: None, 2: 1, 3: None, 4: None, 5: 3}
 
 

@@ -90,3 +90,37 @@ def test_centroid_and_norms(data):
     assert vx.norm_report(df).first()["all_unit"]
     stretched = df.withColumn("embedding", F.transform("embedding", lambda x: x * F.lit(2).cast("float")))
     assert not vx.norm_report(stretched).first()["all_unit"]
+
+
+def clustered(n, seed=3):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(n // 50, 8))
+    raw = np.repeat(centers, 50, axis=0) + 0.05 * rng.normal(size=(n // 50 * 50, 8))
+    return raw / np.linalg.norm(raw, axis=1, keepdims=True)
+
+
+def test_search_by_bounds_is_exact_and_grows_slower_than_all_pairs(spark, monkeypatch):
+    pairs = {}
+    score = vx._score_cells
+    for n in (500, 1000, 2000):
+        unit = clustered(n)
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(unit)], "id long, embedding array<double>")
+        queries = df.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_embedding"))
+        index = vx.build_vector_index(df, cells=n // 50)
+        seen = []
+
+        def counted(probes, named, k):
+            sizes = named.groupBy("cell").agg(F.count("*").alias("n"))
+            seen.append(probes.join(sizes, "cell").agg(F.sum("n")).first()[0] or 0)
+            return score(probes, named, k)
+
+        monkeypatch.setattr(vx, "_score_cells", counted)
+        got = {(r["query_id"], r["rank"]): r["question_id"] for r in vx.knn_by_bounds(queries, index, 5, skip_self=True).collect()}
+        scores = np.round(unit @ unit.T, 9)
+        np.fill_diagonal(scores, -9)
+        for i in range(len(unit)):
+            best = np.lexsort((np.arange(len(unit)), -scores[i]))[:5]
+            assert [got[i, r] for r in range(1, 6)] == best.tolist()
+        pairs[n] = sum(seen)
+    assert pairs[1000] < 3 * pairs[500] and pairs[2000] < 3 * pairs[1000]
+    assert pairs[2000] < 2000 * 2000 / 3
