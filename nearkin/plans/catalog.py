@@ -417,6 +417,24 @@ def find_similar_responses(spark, sf):
     return search.responses(queries, hits).select("query_id", "query_text", "result_count")
 
 
+def _own_limits(spark, sf) -> DataFrame:
+    """Requests with limits of their own."""
+    return _linked_queries(spark, sf).withColumns({
+        "top_k": (F.col("query_id") % 20 + 1).cast("int"), "score_threshold": F.col("query_id") % 5 / 10.0})
+
+
+@query
+def find_similar_requests(spark, sf):
+    found = search.find_similar_requests(_own_limits(spark, sf), stored_vectors(spark, sf), documents(spark, sf))
+    return found.drop("question_text")
+
+
+@query
+def find_similar_requests_rerank(spark, sf):
+    found = search.find_similar_requests(_own_limits(spark, sf), stored_vectors(spark, sf), documents(spark, sf), overlap_scorer)
+    return found.drop("question_text")
+
+
 @query
 def rerank_overlap(spark, sf):
     return fusion.rerank(candidates_of(spark, sf), overlap_scorer, 5).select("query_id", "rank", "question_id", "score")

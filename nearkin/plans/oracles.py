@@ -180,6 +180,9 @@ def rrf(first: str, second: str) -> str:
 FIND = f"""WITH {knn(LINKED, 10)}, found AS (
   SELECT query_id, question_id, score, row_number() OVER (PARTITION BY query_id ORDER BY rank)::INT AS rank
   FROM hits JOIN documents ON doc_id = question_id)"""
+OWN_LIMITS = f"""WITH {knn(LINKED, 40)}, found AS (
+  SELECT query_id, question_id, score, row_number() OVER (PARTITION BY query_id ORDER BY rank)::INT AS rank
+  FROM hits JOIN documents ON doc_id = question_id WHERE rank <= 2 * (query_id % 20 + 1))"""
 CENTER = """dims AS (SELECT generate_subscripts(embedding, 1) - 1 AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings),
   means AS (SELECT pos, avg(x) AS m FROM dims GROUP BY pos),
   center AS (SELECT pos, m / sqrt((SELECT sum(m * m) FROM means)) AS c FROM means),
@@ -325,6 +328,11 @@ ORACLES: dict[str, str] = {
     "knn_clustered_recall": f"WITH {knn(SELF, 10)} SELECT count(*) AS n_exact, 1.0::DOUBLE AS recall_at_10 FROM hits",
     "self_retrieval": "SELECT vec_id AS query_id, vec_id AS found_id, 1.0::DOUBLE AS score, true AS ok FROM embeddings",
     "find_similar": f"{FIND} SELECT query_id, rank, question_id, score FROM found WHERE score >= 0.3 AND rank <= 5",
+    "find_similar_requests": f"{OWN_LIMITS} SELECT query_id, rank, question_id, score FROM found WHERE score >= query_id % 5 / 10.0 AND rank <= query_id % 20 + 1",
+    "find_similar_requests_rerank": f"""{OWN_LIMITS}, cand AS (SELECT f.query_id, f.question_id, f.rank, round({jaccard('q.text', 'd.text')}, 4) AS js
+      FROM found f JOIN benchmark q ON q.item_id = query_id JOIN documents d ON d.doc_id = question_id),
+      again AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY js DESC, rank)::INT AS r2 FROM cand)
+      SELECT query_id, r2 AS rank, question_id, js AS score FROM again WHERE js >= query_id % 5 / 10.0 AND r2 <= query_id % 20 + 1""",
     "find_similar_responses": f"""{FIND} SELECT b.item_id AS query_id, b.text AS query_text, count(f.rank)::INT AS result_count
       FROM benchmark b JOIN embeddings ON vec_id = item_id LEFT JOIN found f ON f.query_id = b.item_id AND f.score >= 0.35 AND f.rank <= 5 GROUP BY ALL""",
     "rerank_overlap": f"{RERANKED} SELECT query_id, r2 AS rank, question_id, js AS score FROM again WHERE r2 <= 5",

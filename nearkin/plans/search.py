@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nearkin.functions.encoders import Encoder, PairScorer
+from nearkin.functions.text import clean_transformer
 from nearkin.operators import bm25
 from nearkin.operators.fusion import RRF_K, reciprocal_rank_fusion, rerank, threshold_and_cut
-from nearkin.operators.requests import DEFAULT_THRESHOLD, DEFAULT_TOP_K
+from nearkin.operators.requests import DEFAULT_THRESHOLD, DEFAULT_TOP_K, MAX_TOP_K
 from nearkin.operators.vectors import VectorIndex, attach_questions, knn_clustered
 
 OVERFETCH = 2
@@ -17,8 +18,9 @@ MAX_CANDIDATES = 1 << 30
 
 
 def encode_queries(queries: DataFrame, encoder: Encoder) -> DataFrame:
-    """Add ``query_embedding`` to ``queries(query_id, query_text)``."""
-    return encoder(queries, "query_text", "query_embedding")
+    """Add ``query_embedding`` to ``queries(query_id, query_text)``, cleaned like stored texts."""
+    cleaned = queries.withColumn("_clean", clean_transformer(F.col("query_text")))
+    return encoder(cleaned, "_clean", "query_embedding").drop("_clean")
 
 
 def find_similar(queries: DataFrame, index: VectorIndex, questions: DataFrame, k: int = DEFAULT_TOP_K,
@@ -37,6 +39,23 @@ def find_similar(queries: DataFrame, index: VectorIndex, questions: DataFrame, k
     return threshold_and_cut(found, threshold, k)
 
 
+def find_similar_requests(requests: DataFrame, index: VectorIndex, questions: DataFrame, scorer: PairScorer | None = None,
+                          probe: int | None = None) -> DataFrame:
+    """Hits of requests that carry their own ``top_k`` and ``score_threshold``.
+
+    ``requests(query_id, query_text, query_embedding, top_k, score_threshold)``, as validated;
+    ``encode_queries`` adds the vectors. All requests are searched at once for the widest of
+    them (``MAX_TOP_K`` bounds it) and each keeps twice its own number before the rerank.
+    """
+    own = requests.select("query_id", "query_text", "top_k", "score_threshold")
+    found = knn_clustered(requests.select("query_id", "query_embedding"), index, OVERFETCH * MAX_TOP_K, probe)
+    found = found.join(own, "query_id").filter(F.col("rank") <= OVERFETCH * F.col("top_k"))
+    found = moved_up(attach_questions(found, questions))
+    if scorer is not None:
+        found = rerank(found, scorer, OVERFETCH * MAX_TOP_K)
+    return threshold_and_cut(found, "score_threshold", "top_k").select("query_id", "rank", "question_id", "score", "question_text")
+
+
 def moved_up(found: DataFrame) -> DataFrame:
     """Ranks from 1 without gaps, in the order of the old ones."""
     order = Window.partitionBy("query_id").orderBy("rank")
