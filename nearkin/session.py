@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -38,7 +40,7 @@ def work_dir(spark: SparkSession) -> str:
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session without that
     setting gets a folder of its own, because a machine-local path is unreadable from the
-    other executors.
+    other executors; it goes when the process ends.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -46,6 +48,7 @@ def work_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="nearkin-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
