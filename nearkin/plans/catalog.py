@@ -532,6 +532,20 @@ def top_errors(spark, sf):
         "error_type", "rank", "id", "y_true", "y_prob")
 
 
+@query
+def errors_at_best_threshold(spark, sf):
+    return evaluation.errors_at_best_threshold(scored_pairs(spark, sf)).select(
+        "error_type", "rank", "id", "y_true", "y_prob", "threshold")
+
+
+@query
+def deep_evaluation(spark, sf):
+    """Overall metrics and gap of the scored pairs, and the retrieval of the same pairs."""
+    scored = splits.hash_split(scored_pairs(spark, sf), "id")
+    tables_ = evaluation.deep_evaluation(scored, "id", 0.01, retrieval=retrieval_quality(spark, sf))
+    return evaluation.report_rows({part: tables_[part] for part in ("overall", "retrieval")})
+
+
 @query
 def class_weights(spark, sf):
     weights = classification.class_weights(labelled_pairs(spark, sf))

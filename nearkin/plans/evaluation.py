@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearkin.operators.classification import evaluate_classifier, top_errors
+from nearkin.operators.classification import best_threshold, evaluate_classifier, score_curve, top_errors
 from nearkin.operators.corpus import length_slice
 from nearkin.operators.retrieval import evaluate_retrieval, retrieval_queries
 from nearkin.operators.vectors import VectorIndex, knn_clustered
@@ -25,6 +25,15 @@ def split_gap(scored: DataFrame, threshold: float = 0.5, left: str = "train", ri
     return metrics.agg(*[F.round(pick(left, n) - pick(right, n), 4).alias(f"{n}_gap") for n in names])
 
 
+def errors_at_best_threshold(scored: DataFrame, n: int = 10, key: str = "id") -> DataFrame:
+    """Most confident errors at the threshold of the best F1, with that ``threshold``; empty without scores."""
+    best = best_threshold(score_curve(scored)).first()
+    threshold = best["threshold"] if best and best["threshold"] is not None else None
+    at = scored if threshold is not None else scored.limit(0)
+    value = 0.5 if threshold is None else float(threshold)
+    return top_errors(at, value, n, key).withColumn("threshold", F.lit(value))
+
+
 def retrieval_quality(pairs: DataFrame, questions: DataFrame, index: VectorIndex, n: int | None = None, k: int = 10,
                       probe: int | None = None, exclude_self: bool = False) -> DataFrame:
     """Recall and MRR of the index on the positive pairs.
@@ -39,12 +48,30 @@ def retrieval_quality(pairs: DataFrame, questions: DataFrame, index: VectorIndex
     return evaluate_retrieval(queries, knn_clustered(vectors, index, k, probe, exclude_self), truth)
 
 
-def deep_evaluation(scored: DataFrame, key: str, threshold: float = 0.5, n_errors: int = 5) -> dict[str, DataFrame]:
-    """Tables of a full report on ``scored(key, split, question1, question2, y_true, y_prob)``."""
+def deep_evaluation(scored: DataFrame, key: str, threshold: float = 0.5, n_errors: int = 5,
+                    retrieval: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Tables of a full report on ``scored(key, split, question1, question2, y_true, y_prob)``.
+
+    ``retrieval`` is the row of ``retrieval_quality`` where an index is evaluated too.
+    """
     test = scored.filter(F.col("split") == "test")
-    return {
+    found = {} if retrieval is None else {"retrieval": retrieval}
+    return found | {
         "overall": evaluate_classifier(test, threshold),
         "slices": slice_metrics(test, threshold=threshold),
         "errors": top_errors(test, threshold, n_errors, key),
         "gap": split_gap(scored, threshold),
     }
+
+
+def report_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """``part, metric, value`` of the one-row tables of a report."""
+    rows = None
+    for part in ("overall", "gap", "retrieval"):
+        if part in tables:
+            table = tables[part]
+            names = [c for c in table.columns]
+            values = table.select(*[F.col(c).cast("double").alias(c) for c in names]).unpivot([], names, "metric", "value")
+            found = values.select(F.lit(part).alias("part"), "metric", "value")
+            rows = found if rows is None else rows.unionByName(found)
+    return rows

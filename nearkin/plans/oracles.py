@@ -373,6 +373,12 @@ ORACLES: dict[str, str] = {
       WHERE (y_true = 0 AND y_prob >= 0.01) OR (y_true = 1 AND y_prob < 0.01)),
       placed AS (SELECT *, row_number() OVER (PARTITION BY error_type ORDER BY CASE WHEN y_true = 0 THEN -y_prob ELSE y_prob END, id)::INT AS rank FROM wrong)
       SELECT error_type, rank, id, y_true, y_prob FROM placed WHERE rank <= 10""",
+    "errors_at_best_threshold": f"""WITH {SCORED_PAIRS}, {curve()}, f AS (SELECT threshold, tp::DOUBLE / (tp + fp) AS p, tp::DOUBLE / n_pos AS r FROM curve),
+      g AS (SELECT threshold, round(2 * p * r / (p + r + 1e-8), 9) AS f1 FROM f), best AS (SELECT threshold FROM g ORDER BY f1 DESC, threshold LIMIT 1),
+      wrong AS (SELECT scored.*, threshold, CASE WHEN y_true = 0 THEN 'false_positive' ELSE 'false_negative' END AS error_type FROM scored, best
+        WHERE (y_true = 0 AND y_prob >= threshold) OR (y_true = 1 AND y_prob < threshold)),
+      placed AS (SELECT *, row_number() OVER (PARTITION BY error_type ORDER BY CASE WHEN y_true = 0 THEN -y_prob ELSE y_prob END, id)::INT AS rank FROM wrong)
+      SELECT error_type, rank, id, y_true, y_prob, threshold FROM placed WHERE rank <= 10""",
     "class_weights": f"""WITH {PAIRS}, c AS (SELECT count(*) FILTER (is_duplicate = 0) AS n_neg, count(*) FILTER (is_duplicate = 1) AS n_pos FROM pairs WHERE known)
       SELECT n_neg, n_pos, round(n_neg::DOUBLE / n_pos, 6) AS positive_weight, round((n_neg + n_pos) / (2.0::DOUBLE * n_neg), 6) AS balanced_neg,
       round((n_neg + n_pos) / (2.0::DOUBLE * n_pos), 6) AS balanced_pos FROM c""",
@@ -453,3 +459,11 @@ ORACLES: dict[str, str] = {
     "csv_round_trip": "SELECT doc_id AS question_id, text AS question_text FROM documents",
     "split_files": f"WITH {SPLIT} SELECT pair_id, qid1, qid2, is_duplicate FROM splits WHERE split = 'test'",
 }
+
+_RETRIEVAL = ("n_queries", "recall_at_1", "recall_at_5", "recall_at_10", "mrr")
+_OVERALL = ("n", "precision", "recall", "f1", "auc_roc", "avg_precision")
+ORACLES["deep_evaluation"] = f"""WITH test AS (
+  WITH {SCORED_PAIRS.replace('scored AS', 'base AS')}, scored AS (SELECT * FROM (SELECT *, {split_of('id')} AS split FROM base) WHERE split = 'test'),
+  {curve()}, {metrics(0.01)} SELECT * FROM metrics), found AS ({ORACLES['retrieval_quality']})
+  {' UNION ALL '.join([f"SELECT 'overall' AS part, '{m}' AS metric, {m}::DOUBLE AS value FROM test" for m in _OVERALL]
+                      + [f"SELECT 'retrieval', '{m}', {m}::DOUBLE FROM found" for m in _RETRIEVAL])}"""
