@@ -31,7 +31,7 @@ without an id has no component and is kept; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nearkin.llm.common import chunks, texts_of
+from nearkin.llm.common import Steps, chunks, texts_of
 from nearkin.session import materialize
 
 SHINGLE = 5
@@ -55,6 +55,9 @@ WORD_MEMORY = 1_000_000
 _BITMAP = 1 << 15  # bits per row of Spark's bitmap aggregate
 
 
+Writer = Callable[[DataFrame, str], DataFrame]
+
+
 def _mixed(x: np.ndarray, step: int) -> np.ndarray:
     x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9 + 2 * step)
     x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
@@ -144,7 +147,7 @@ def full_sets(df: DataFrame, ids: DataFrame, doc_id: str, text: str, shingle: in
     return rows.mapInArrow(computed, schema)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, write: Writer = materialize) -> DataFrame:
     """Connected components of an (a, b) table: each node that has an edge, and its least node.
 
     Large and small stars in turn: neighbours are hung on the least neighbour until every edge
@@ -154,17 +157,17 @@ def components(edges: DataFrame) -> DataFrame:
     def stamp(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    current = materialize(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    current = write(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before, now = None, stamp(current)
     while now != before and now[0]:
         both = current.unionAll(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = materialize(large, "large-star")
+        large = write(large, "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")),
                                                                 F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        current = materialize(small.select("e.*").filter("a != b").distinct(), "small-star")
+        current = write(small.select("e.*").filter("a != b").distinct(), "small-star")
         before, now = now, stamp(current)
     roots = current.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return current.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(roots)
@@ -216,35 +219,36 @@ def _keys(sketch: str) -> Column:
     return F.zip_with(F.slice(listed, 1, F.size(listed) - 1), F.slice(listed, 2, F.size(listed)), lambda a, b: F.xxhash64(a, b))
 
 
-def _merged(labelled: DataFrame, links: DataFrame) -> DataFrame:
+def _merged(labelled: DataFrame, links: DataFrame, write: Writer) -> DataFrame:
     """``labelled`` with components joined by the links between them."""
     of = labelled.select("id", "component").distinct()
     ends = (links.join(of.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a")
             .join(of.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b"))
-    new = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(
+    new = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")), write).select(
         F.col("id").alias("component"), F.col("component").alias("new"))
     return labelled.join(new, "component", "left").withColumn("component", F.coalesce("new", "component")).drop("new")
 
 
-def links(representatives: DataFrame, df: DataFrame, doc_id: str, text: str, shingle: int = SHINGLE) -> DataFrame:
+def links(representatives: DataFrame, df: DataFrame, doc_id: str, text: str, shingle: int = SHINGLE,
+          write: Writer = materialize) -> DataFrame:
     """Links (a, b) between representatives that connect what is connected."""
     # sets of one or two shingles are similar enough to equal sets alone
     postings = representatives.filter("n > 2").select("id", F.explode(_keys("sketch")).alias("key"))
     lengths = postings.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("length"))
-    members = materialize(postings.join(lengths.filter("low < high").select("key", "length"), "key"), "members")
+    members = write(postings.join(lengths.filter("low < high").select("key", "length"), "key"), "members")
     # the first of a list is the member with most company in all its lists: the middle of a group of near copies
     company = members.groupBy("id").agg(F.sum("length").alias("company"))
-    met = materialize(members.select("key", "id").distinct().join(company, "id"), "lists")
+    met = write(members.select("key", "id").distinct().join(company, "id"), "lists")
     order = F.struct(F.col("company"), -F.col("id")) if dict(met.dtypes)["id"] == "bigint" else F.struct("company", "id")
     first = met.groupBy("key").agg(F.max_by("id", order).alias("a"))
-    lists = materialize(met.select("key", "id").join(first, "key"), "starred")
-    star = materialize(lists.filter("id != a").select("a", F.col("id").alias("b")).distinct(), "stars")
+    lists = write(met.select("key", "id").join(first, "key"), "starred")
+    star = write(lists.filter("id != a").select("a", F.col("id").alias("b")).distinct(), "stars")
     asked = star.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     # rows that repeat an id and its set are one; an id may have several sets
-    sets = materialize(full_sets(df, asked, doc_id, text, shingle).join(asked, "id", "left_semi")
+    sets = write(full_sets(df, asked, doc_id, text, shingle).join(asked, "id", "left_semi")
                        .withColumn("which", F.xxhash64("set")).dropDuplicates(["id", "which"]), "sets")
-    found = materialize(_compared(_estimated(star, representatives), sets), "star-links")
-    labelled = materialize(lists.join(components(found).withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").select(
+    found = write(_compared(_estimated(star, representatives), sets), "star-links")
+    labelled = write(lists.join(components(found, write).withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").select(
         "key", "id", F.coalesce("component", "id").alias("component")), "labelled")
     for turn in range(TRIALS):
         # members of other components against one of the list, another one in each list
@@ -253,27 +257,27 @@ def links(representatives: DataFrame, df: DataFrame, doc_id: str, text: str, shi
             F.min("component").alias("c1"), F.max("component").alias("c2"), F.min_by("id", chance).alias("b"),
             F.min_by("component", chance).alias("cb")).filter("c1 < c2")
         pairs = labelled.join(trial, "key").filter("component != cb").select(F.col("id").alias("a"), "b").distinct()
-        new = materialize(_compared(_estimated(pairs, representatives), sets), "trial-links")
+        new = write(_compared(_estimated(pairs, representatives), sets), "trial-links")
         found = found.unionAll(new)
-        labelled = materialize(_merged(labelled, new), "labelled")
+        labelled = write(_merged(labelled, new, write), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2").select("key")
     rest = labelled.join(mixed, "key").select("id", "component").distinct()
-    pairs = materialize(_share_a_rare_shingle(sets.join(rest, "id")), "open-pairs")
+    pairs = write(_share_a_rare_shingle(sets.join(rest, "id"), write), "open-pairs")
     return found.unionAll(_compared(_estimated(pairs, representatives), sets))
 
 
-def _share_a_rare_shingle(sets: DataFrame) -> DataFrame:
+def _share_a_rare_shingle(sets: DataFrame, write: Writer) -> DataFrame:
     """Pairs (a, b) of different components among whose rarest shingles one is common.
 
     Of a set of n shingles the first n - ceil(0.75 n) + 1 in the order of rarity count, which
     those that no other set holds use up first. The places of their first common shingle bound
     what two sets can have in common at most; pairs that fall short of a link do not meet.
     """
-    shingles = materialize(sets.select("id", "which", "component", F.size("set").alias("n"), F.explode("set").alias("h")), "shingles")
+    shingles = write(sets.select("id", "which", "component", F.size("set").alias("n"), F.explode("set").alias("h")), "shingles")
     shared = shingles.groupBy("h").agg(F.count("*").alias("holders")).filter("holders > 1")
     own = Window.partitionBy("id", "which")  # one set
     count = F.col("n") - F.ceil(F.col("n") * SHARE_PERCENT / 100) + 1
-    rare = materialize(
+    rare = write(
         shingles.join(shared, "h").withColumn("place", F.row_number().over(own.orderBy("holders", "h")))
         .withColumn("alone", F.col("n") - F.count("*").over(own)).withColumn("place", F.col("place") + F.col("alone")).filter(F.col("place") <= count)
         .select("h", "id", "component", "n", "place"), "rare")
@@ -290,7 +294,10 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     sets = stored.filter("n > 0 AND id IS NOT NULL")
     folded = materialize(sets.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "folded")
     chosen = sets.join(folded.withColumnRenamed("rep", "id"), ["id", "n", "f1", "f2"], "left_semi")
-    edges = links(materialize(chosen.select("id", "n", "sketch", *_marks()), "representatives"), df, doc_id, text, shingle)
+    steps = Steps(df.sparkSession)
+    representatives = steps.write(chosen.select("id", "n", "sketch", *_marks()), "representatives")
+    edges = materialize(links(representatives, df, doc_id, text, shingle, steps.write), "links")
+    steps.drop()
     members = sets.select("id", "n", "f1", "f2").join(folded, ["n", "f1", "f2"])
     # different texts under one id
     tied = members.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("id", "a")

@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearkin.session import scratch_path
+
 CHUNK_BYTES = 1 << 22
 
 
@@ -30,6 +32,29 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+class Steps:
+    """Intermediate tables in the shared folder that go when their result is stored."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written once and read back."""
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Delete what was written; nothing may read it any more."""
+        configuration = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for name in self.paths:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(configuration).delete(path, True)
+        self.paths.clear()
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices whose texts hold about ``limit`` bytes each; a longer single text is a slice of its own."""
     for batch in batches:
