@@ -78,4 +78,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_backoff_lm": op10_backoff_lm,
 }
 
-SQL: dict[str, str] = {}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+')"
+
+SQL: dict[str, str] = {
+    "op5_fm_decontamination": f"""WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+      b AS (SELECT item_id, w, least(len(w), 10) AS l FROM (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+      wanted AS (SELECT DISTINCT item_id, l, array_to_string(w[i:i + l - 1], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - l + 2)) AS i FROM b)),
+      held AS (SELECT doc_id, l, i, array_to_string(w[i:i + l - 1], ' ') AS s FROM (
+        SELECT *, unnest(range(1, len(w) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM wanted) WHERE len(w) >= l)),
+      hits AS (SELECT doc_id, i, l, item_id FROM held JOIN wanted USING (l, s)),
+      words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM (SELECT DISTINCT doc_id, i, l FROM hits)) GROUP BY 1),
+      items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY 1)
+      SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+        coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+      FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op6_bottom_k_dedup": f"""WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+      placed AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0),
+      sets AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM placed),
+      sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1),
+      common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+      links AS (SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+      reached AS (SELECT doc_id AS id, doc_id AS r FROM d UNION SELECT y, r FROM reached JOIN links ON x = id),
+      least_one AS (SELECT id, min(r) AS component_id FROM reached GROUP BY 1)
+      SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+      FROM d JOIN least_one ON id = doc_id LEFT JOIN sizes USING (doc_id)""",
+    "op9_kd_search": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+        WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+      SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+}
