@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nearkin.llm.common import Steps, chunks, texts_of
+from nearkin.llm.common import Steps, chunks, free_name, texts_of
 from nearkin.session import materialize
 
 SHINGLE = 5
@@ -121,19 +121,24 @@ def sketches(df: DataFrame, doc_id: str, text: str, shingle: int = SHINGLE) -> D
     return rows.mapInArrow(sketched, schema)
 
 
+def _place(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+
+def _bitmap(ids: DataFrame) -> DataFrame:
+    """The places of ids as rows (b, m) of 4 KB, at most FILTER_BITS / 32768 of them."""
+    at = _place("id")
+    return ids.groupBy(F.floor(at / _BITMAP).alias("b")).agg(F.bitmap_construct_agg(at % _BITMAP).alias("m"))
+
+
 def full_sets(df: DataFrame, ids: DataFrame, doc_id: str, text: str, shingle: int = SHINGLE) -> DataFrame:
     """The full sets of the rows whose ``id`` is in ``ids``, and of few others."""
-    def place(column: Column) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    at = place(F.col("id"))
-    # at most FILTER_BITS / 32768 rows of 4 KB, whatever the number of ids
-    for row in ids.groupBy(F.floor(at / _BITMAP).alias("b")).agg(F.bitmap_construct_agg(at % _BITMAP).alias("m")).collect():
+    for row in _bitmap(ids).collect():  # of fixed size, whatever the number of ids
         start = row["b"] * (_BITMAP // 8)
         bits[start:start + _BITMAP // 8] = np.frombuffer(bytes(row["m"]), np.uint8)
     shared = df.sparkSession.sparkContext.broadcast(bits.tobytes())
-    rows = df.select(F.col(doc_id).alias("id"), place(F.col(doc_id)).alias("at"), F.col(text).alias("text"))
+    rows = df.select(F.col(doc_id).alias("id"), _place(doc_id).alias("at"), F.col(text).alias("text"))
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("set", T.ArrayType(T.LongType()))])
 
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,11 +320,19 @@ def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
     Rows without an id stay.
     """
-    found = near_duplicates(df, doc_id, text)
-    kept = materialize(found.filter("kept").groupBy(doc_id).agg(F.count("*").alias("_rows"), F.min("n_shingles").alias("_n")), "kept")
-    nameless = df.filter(F.col(doc_id).isNull())
-    ids = kept.filter(F.col(doc_id).isNotNull())
-    result = df.join(ids.select(doc_id), doc_id, "left_semi")
-    if ids.filter("_rows > 1").limit(1).count():
-        result = result.dropDuplicates([doc_id])
-    return result.unionByName(nameless)
+    found = near_duplicates(df, doc_id, text).filter(F.col(doc_id).isNotNull())
+    counts = materialize(found.groupBy(F.col(doc_id).alias("id")).agg(F.min("kept").alias("kept"), F.count("*").alias("n")), "kept")
+    dropped = counts.filter("NOT kept").select("id")
+    # only rows that may be dropped meet the ids that are; the others, mostly all, are not shuffled
+    b, m = free_name(df, "_b"), free_name(df, "_m")
+    bits = _bitmap(dropped).select(F.col("b").alias(b), F.col("m").alias(m))
+    at = _place(doc_id)
+    byte = F.conv(F.hex(F.substring(m, (at % _BITMAP / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    marked = df.withColumn(b, F.floor(at / _BITMAP)).join(F.broadcast(bits), b, "left")
+    maybe = F.col(doc_id).isNotNull() & F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    rest = marked.filter(maybe).select(*df.columns).join(dropped.withColumnRenamed("id", doc_id), doc_id, "left_anti")
+    result = marked.filter(~maybe).select(*df.columns).unionByName(rest.select(*df.columns))
+    if counts.filter("kept AND n > 1").limit(1).count():
+        nameless = result.filter(F.col(doc_id).isNull())
+        result = result.filter(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).unionByName(nameless)
+    return result
