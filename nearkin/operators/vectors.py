@@ -239,34 +239,52 @@ def _scan_few(few: pd.DataFrame, vectors: DataFrame, k: int, skip_self: bool) ->
 
 
 def cell_bounds(index: VectorIndex) -> DataFrame:
-    """``cell, centroid, radius``: how far the vectors of a cell are from its centroid at most."""
+    """``cell, centroid, radius, rows``: how far the vectors of a cell are from its centroid at most, and their number."""
     away = F.sqrt(F.aggregate(
         F.zip_with("embedding", "centroid", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, x: total + x))
     # one centroid per cell
     placed = index.vectors.join(F.broadcast(index.centroids), "cell")
-    return index.centroids.join(placed.groupBy("cell").agg(F.max(away).alias("radius")), "cell")
+    return index.centroids.join(placed.groupBy("cell").agg(F.max(away).alias("radius"), F.count("*").alias("rows")), "cell")
 
 
-def probes_by_bounds(queries: DataFrame, bounds: DataFrame, floor: str | None, skip: str | None = None) -> DataFrame:
+def cell_packs(bounds: pd.DataFrame) -> np.ndarray:
+    """A pack for each cell: neighbours in the table that hold about ``BLOCK_ROWS`` vectors together."""
+    return ((bounds["rows"].cumsum() - bounds["rows"]) // BLOCK_ROWS).to_numpy().astype("int64")
+
+
+def probes_by_bounds(queries: DataFrame, bounds: pd.DataFrame, floor: str, skip: str | None = None) -> DataFrame:
     """Add ``cells``: those whose best possible score reaches the ``floor`` of a query.
 
     The score of a vector of a cell is at most that of the centroid plus the length of the
-    query times the radius of the cell. ``skip`` names an array of cells to leave out.
+    query times the radius of the cell. ``skip`` names an array of cells to leave out. A query
+    that needs more cells than there are packs gets the packs of those cells instead, as
+    negative numbers, so that it is never copied more often than there are blocks of vectors.
     """
-    table = bounds.toPandas()
-    numbers, matrix, radii = table["cell"].to_numpy(), _matrix(table["centroid"]), table["radius"].to_numpy()
+    numbers, matrix, radii = bounds["cell"].to_numpy(), _matrix(bounds["centroid"]), bounds["radius"].to_numpy()
+    packs = cell_packs(bounds)
+    n_packs = len(set(packs.tolist()))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def reachable(vectors: pd.Series, floors: pd.Series, left_out: pd.Series) -> pd.Series:
         rows = _matrix(vectors)
         best = rows @ matrix.T + np.linalg.norm(rows, axis=1)[:, None] * radii[None, :]
-        return pd.Series([
-            [int(c) for c in numbers[b >= f - BOUND_SLACK] if c not in set(o)]
-            for b, f, o in zip(best, floors.to_numpy(), left_out)])
+        found = []
+        for b, f, o in zip(best, floors.to_numpy(), left_out):
+            wanted = (b >= f - BOUND_SLACK) & ~np.isin(numbers, o)
+            found.append(sorted({-1 - int(p) for p in packs[wanted]}) if wanted.sum() > n_packs else numbers[wanted].tolist())
+        return pd.Series(found)
 
     none = F.array().cast("array<int>")
-    at_least = F.col(floor) if floor else F.lit(float("-inf"))
-    return queries.withColumn("cells", reachable("query_embedding", at_least, F.col(skip) if skip else none))
+    return queries.withColumn("cells", reachable("query_embedding", floor, F.col(skip) if skip else none))
+
+
+def with_packs(vectors: DataFrame, bounds: pd.DataFrame) -> DataFrame:
+    """``vectors`` by cell and, once more, by pack."""
+    rows = list(zip(bounds["cell"].tolist(), (-1 - cell_packs(bounds)).tolist()))
+    packs = vectors.sparkSession.createDataFrame(rows, "cell int, pack int")
+    # one row per cell
+    packed = vectors.join(F.broadcast(packs), "cell").drop("cell").withColumnRenamed("pack", "cell")
+    return vectors.unionByName(packed)
 
 
 def knn_by_bounds(queries: DataFrame, index: VectorIndex, k: int = 10, skip_self: bool = False,
@@ -285,10 +303,14 @@ def knn_by_bounds(queries: DataFrame, index: VectorIndex, k: int = 10, skip_self
     floors = first.filter(F.col("rank") == wanted).select("query_id", F.col("score").alias("floor"))
     open_ = located.withColumnRenamed("cells", "done").join(floors, "query_id", "left").withColumn(
         "floor", F.coalesce("floor", F.lit(float("-inf"))))
+    bounds = cell_bounds(index).orderBy("cell").toPandas()
     # stored once: the cells of the queries are counted first and joined afterwards
-    further = materialize(probes_by_bounds(open_, cell_bounds(index), "floor", "done"), "further-cells")
-    second = _score_cells(further.select("query_id", "query_embedding", F.explode("cells").alias("cell")), named, wanted)
-    return _hand_out(_ranked(first.drop("rank").unionByName(second), wanted), members, k, skip_self)
+    further = materialize(probes_by_bounds(open_, bounds, "floor", "done"), "further-cells")
+    second = _score_cells(
+        further.select("query_id", "query_embedding", F.explode("cells").alias("cell")), with_packs(named, bounds), wanted)
+    # packs hold cells that were searched first, too
+    hits = first.drop("rank").unionByName(second).groupBy("query_id", "question_id").agg(F.max("score").alias("score"))
+    return _hand_out(_ranked(hits, wanted), members, k, skip_self)
 
 
 def _ranked_raw(hits: DataFrame, k: int) -> DataFrame:
@@ -304,12 +326,13 @@ def first_similar(queries: DataFrame, log: DataFrame, threshold: float) -> DataF
     one row per query at most.
     """
     index = build_vector_index(log.select(F.col("query_id").alias("id"), F.col("query_embedding").alias("embedding"), "place"))
+    bounds = cell_bounds(index).orderBy("cell").toPandas()
     probes = materialize(probes_by_bounds(
         queries.select("query_id", "query_embedding", F.col("place").alias("query_place")).withColumn("floor", F.lit(float(threshold))),
-        cell_bounds(index), "floor").drop("floor"), "reuse-cells")
+        bounds, "floor").drop("floor"), "reuse-cells")
+    stored = index.vectors.select(F.col("id").alias("question_id"), "embedding", "place", "cell")
     hits = _per_cell(
-        probes.withColumn("cell", F.explode("cells")).drop("cells"),
-        index.vectors.select(F.col("id").alias("question_id"), "embedding", "place", "cell"), _first_similar(threshold),
+        probes.withColumn("cell", F.explode("cells")).drop("cells"), with_packs(stored, bounds), _first_similar(threshold),
         T.StructType([HITS["query_id"], T.StructField("place", T.LongType()), HITS["question_id"], HITS["score"]]))
     best = hits.groupBy("query_id").agg(F.min(F.struct("place", "question_id", "score")).alias("m"))
     return queries.select("query_id").join(best, "query_id", "left").select(
