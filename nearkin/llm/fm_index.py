@@ -243,15 +243,15 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return result
 
 
-def _blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[str, str]]]:
-    """The items in lists of about ``BLOCK_BYTES`` of text each."""
+def _blocks(items: DataFrame, item_id: str, text: str) -> Iterator[tuple[bool, list[tuple[str, str]]]]:
+    """The items in lists of about ``BLOCK_BYTES`` of text each, and whether a list is the last."""
     rows = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text")).filter(
         F.col("text").isNotNull())
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-total // BLOCK_BYTES) or 1
     for block in range(count):
         some = rows if count == 1 else rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == block)
-        yield [(r["item"], r["text"]) for r in some.collect()]
+        yield block == count - 1, [(r["item"], r["text"]) for r in some.collect()]
 
 
 def _column(kind: str) -> T.DataType:
@@ -268,15 +268,27 @@ def find(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "it
 
     The second value names the three new columns, under ``words``, ``spans`` and ``items``.
     """
+    return _passes(df, items, text, item_id, item_text, window, cut=False)
+
+
+def remove(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+           window: int = WINDOW) -> DataFrame:
+    """``df`` with the covered spans cut out of its texts; clean texts stay as they are."""
+    return _passes(df, items, text, item_id, item_text, window, cut=True)[0]
+
+
+def _passes(df: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, window: int,
+            cut: bool) -> tuple[DataFrame, dict[str, str]]:
+    """One pass per block of items; the last one also cuts the texts if they are to be cut."""
     columns = df.columns
     names = {kind: free_name(df, kind) for kind in ("words", "spans", "items")}
     schema = T.StructType([*df.schema.fields, *[T.StructField(names[k], _column(k)) for k in names]])
     result = None
-    for block in _blocks(items, item_id, item_text):
+    for last, block in _blocks(items, item_id, item_text):
         shared = df.sparkSession.sparkContext.broadcast(phrases_of(block, window))
-        first = result is None
+        first, cuts = result is None, cut and last
 
-        def searched(batches: Iterator[pa.RecordBatch], shared=shared, first=first) -> Iterator[pa.RecordBatch]:
+        def searched(batches: Iterator[pa.RecordBatch], shared=shared, first=first, cuts=cuts) -> Iterator[pa.RecordBatch]:
             for batch in chunks(batches, text):
                 found = search(texts_of(batch, text), shared.value)
                 spans, ids = found.spans, found.items
@@ -284,12 +296,17 @@ def find(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "it
                     earlier = [batch.column(batch.schema.get_field_index(names[k])).to_pylist() for k in ("spans", "items")]
                     spans = [merged([*[(s["start"], s["end"]) for s in a], *b]) for a, b in zip(earlier[0], spans)]
                     ids = [sorted({*a, *b}) for a, b in zip(earlier[1], ids)]
+                if cuts:
+                    column = batch.column(batch.schema.get_field_index(text))
+                    texts = [without_spans(t, some) if some else t for t, some in zip(column.to_pylist(), spans)]
+                    yield batch.select(columns).set_column(columns.index(text), text, pa.array(texts, column.type))
+                    continue
                 yield with_columns(batch, columns, {
                     names["words"]: pa.array(found.n_words, pa.int64()),
                     names["spans"]: pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], _SPANS),
                     names["items"]: pa.array(ids, pa.list_(pa.string()))})
 
-        result = (df if first else materialize(result, "spans")).mapInArrow(searched, schema)
+        result = (df if first else materialize(result, "spans")).mapInArrow(searched, df.schema if cuts else schema)
     return result, names
 
 
@@ -319,19 +336,3 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
         parts.append(raw[at:bounds[start][0]])
         at = bounds[stop - 1][1]
     return b"".join([*parts, raw[at:]]).decode()
-
-
-def remove(df: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with the covered spans cut out of its texts; clean texts stay as they are."""
-    found, names = find(df, items, text)
-    keep = df.columns
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index(text)
-            spans = batch.column(batch.schema.get_field_index(names["spans"])).to_pylist()
-            texts = [without_spans(t, [(s["start"], s["end"]) for s in some]) if some else t
-                     for t, some in zip(batch.column(at).to_pylist(), spans)]
-            yield batch.select(keep).set_column(keep.index(text), text, pa.array(texts, batch.schema.field(at).type))
-
-    return found.mapInArrow(cut, df.schema)
