@@ -1,20 +1,27 @@
 """HTML extraction: templates deduced from equivalence classes of tokens across pages of a host.
 
 Tokens are opening and closing tags told apart by their path (element names with classes from
-the root). The occurrence vector of a token says how often it stands in each page of its host.
-Tokens with equal vectors form an equivalence class; a class is valid if it holds at least
-``CLASS_SIZE`` tokens and occurs in at least ``SUPPORT`` of the host's pages. Valid classes nest
-along the paths into the template of the host. What stands between template tokens are slots;
-the main slot is an article element of the template, else a main element, else the deepest
-element that occurs once a page and holds nearly all text outside menus, links and the like.
-Pages are then cut by the template of their host: the blocks in the main slot are the text,
-without nested slots whose element or class names navigation, adverts, notices, forms,
-comments and so on. A page whose host has no template, or that lacks its main slot, is its own
-template.
+the root), and runs of text between two tags told apart by path and words. The occurrence
+vector of a token says how often it stands in each page of its host. Tokens with equal vectors
+form an equivalence class; a class is valid if it holds at least ``CLASS_SIZE`` elements or
+words and occurs in at least ``SUPPORT`` of the host's pages. The two tags of one element count
+once, a run of text as often as it has words. Text is template only if at least ``TEXT_PAGES``
+pages of different content hold it, so that copies of a page are no template of each other.
+The valid classes of a host, in page order and nested along the paths, are its template. What
+stands between template tokens are slots; the main slot is an article element of the template,
+else a main element, both if they hold ``NAMED_SHARE`` of the text, else the deepest element
+that occurs once a page and holds nearly all text outside menus, links and the like. Pages are
+then cut by the template of their host: the blocks in the main slot are the text, without blocks
+that are template throughout (a block with text of its own stays whole, so that no sentence
+loses words) and without nested slots whose element or class names navigation, adverts,
+notices, forms, comments and so on. A page whose host has no template, or that lacks
+its main slot, is its own template; a page of which nothing would be left keeps its text.
 
 Vectors are never gathered: a token's vector is told by its number of pages, its total and the
 sum of a hash per (page, count), which add up in partial aggregates. A host with a third of all
-pages is a few rows per task. Templates are one short row per host.
+pages is a few rows per task for tags, and one row per different text. What few pages hold is
+dropped before anything is gathered by host, so that a template is one row of at most
+``1 / SUPPORT`` times the tokens of a page.
 
 Defined results: null or empty html gives the empty text; a null or odd url belongs to the
 empty host; a tag cut off by the end of the page is dropped, text and elements left open count
@@ -38,7 +45,9 @@ from nearkin.session import materialize
 
 SUPPORT = 0.2
 CLASS_SIZE = 2
+TEXT_PAGES = 3
 MAIN_SHARE = 0.7
+NAMED_SHARE = 0.3
 BROADCAST_ROWS = 200_000
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<(script|style|noscript|template|textarea|svg|iframe|title)\b.*?(?:</\1\s*>|$)"
@@ -150,100 +159,129 @@ def host_of(url: str | None) -> str:
     return match[1].lower() if match else ""
 
 
-def page_tokens(walker: Walker, html: str) -> dict[tuple[str, bool], list[int]]:
-    """Per token of a page, keyed by path and whether it closes: occurrences, main kind, aside, characters within."""
-    found: dict[tuple[str, bool], list[int]] = {}
+def text_path(parent: str, words: list[str]) -> str:
+    """The path of a run of text within the element of a path."""
+    return xxhash.xxh3_64_hexdigest(f"{parent}\0{' '.join(words)}")
+
+
+def page_tokens(walker: Walker, html: str) -> dict[tuple[str, bool | None], list[int]]:
+    """Per token of a page, keyed by path and whether it closes (null for text): occurrences, main kind, aside, characters
+    within, elements or words that it counts for."""
+    found: dict[tuple[str, bool | None], list[int]] = {}
     for kind, what, stack in walker.walk(html):
         if kind == "text":
-            size = len(what.strip())
-            if size and not stack[-1].aside and not stack[-1].link:
+            words = what.split()
+            if not words or stack[-1].aside:
+                continue
+            if not stack[-1].link:
+                size = len(what.strip())
                 for element in stack[1:]:
                     found[element.path, False][3] += size
+            key, new = (text_path(stack[-1].path, words), None), [0, -1, 0, 0, len(words)]
         else:
-            key = (what.path, kind == "close")
-            if key in found:
-                found[key][0] += 1
-            else:
-                found[key] = [1, what.kind, int(what.aside), 0]
+            key, new = (what.path, kind == "close"), [0, what.kind, int(what.aside), 0, int(kind == "open")]
+        found.setdefault(key, new)[0] += 1
     return found
 
 
-_COUNTS = ("host string, path string, closing boolean, kind int, aside int, depth int, pages long, once long, total long, "
-           "vector decimal(20,0), chars long")
+_COUNTS = ("host string, path string, closing boolean, kind int, aside int, members int, place int, pages long, once long, total long, "
+           "vector decimal(20,0), chars long, contents long")
 
 
 def occurrence_vectors(pages: DataFrame) -> DataFrame:
-    """Per host and token: pages, total, told vector and characters within."""
+    """Per host and token: pages, total, told vector, characters within and a bit for each content of its pages.
+
+    The set bits of ``contents`` are at most as many as different pages hold the token.
+    """
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walker = Walker()
         for batch in chunks(batches, "html"):
-            sums: dict[tuple[str, str, bool], list[int]] = {}
+            sums: dict[tuple[str, str, bool | None], list[int]] = {}
             urls, ids = batch.column(1).to_pylist(), batch.column(0).to_pylist()
             for page, url, html in zip(ids, urls, texts_of(batch, "html")):
                 host = host_of(url)
-                for place, ((path, closing), (n, kind, aside, chars)) in enumerate(page_tokens(walker, html).items()):
+                content = 1 << xxhash.xxh3_64_intdigest(html.encode("utf-8", "replace")) % 63
+                for place, ((path, closing), (n, kind, aside, chars, members)) in enumerate(page_tokens(walker, html).items()):
                     mark = xxhash.xxh3_64_intdigest(f"{page}\0{url}\0{n}") >> 1
                     own = sums.get((host, path, closing))
                     if own is None:
-                        sums[host, path, closing] = [kind, aside, place, 1, int(n == 1), n, mark, chars]
+                        sums[host, path, closing] = [kind, aside, members, place, 1, int(n == 1), n, mark, chars, content]
                     else:
-                        own[2] = max(own[2], place)
-                        own[3] += 1
-                        own[4] += n == 1
-                        own[5] += n
-                        own[6] += mark
-                        own[7] += chars
+                        own[3] = max(own[3], place)
+                        own[4] += 1
+                        own[5] += n == 1
+                        own[6] += n
+                        own[7] += mark
+                        own[8] += chars
+                        own[9] |= content
             rows = [(*key, *value) for key, value in sums.items()]
-            columns = list(zip(*rows)) or [()] * 11
-            kinds = (pa.string(), pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(),
-                     pa.string(), pa.int64())
-            columns[9] = [str(v) for v in columns[9]]
+            columns = list(zip(*rows)) or [()] * 13
+            kinds = (pa.string(), pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(),
+                     pa.int64(), pa.string(), pa.int64(), pa.int64())
+            columns[10] = [str(v) for v in columns[10]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)],
-                names=["host", "path", "closing", "kind", "aside", "depth", "pages", "once", "total", "vector", "chars"])
+                names=["host", "path", "closing", "kind", "aside", "members", "place", "pages", "once", "total", "vector", "chars",
+                       "contents"])
 
     counts = pages.mapInArrow(counted, _COUNTS.replace("vector decimal(20,0)", "vector string"))
     return counts.groupBy("host", "path", "closing").agg(
-        F.max("kind").alias("kind"), F.max("aside").alias("aside"), F.max("depth").alias("depth"), F.sum("pages").alias("pages"),
+        F.max("kind").alias("kind"), F.max("aside").alias("aside"), F.max("members").alias("members"),
+        F.max("place").alias("place"), F.sum("pages").alias("pages"),
         F.sum("once").alias("once"), F.sum("total").alias("total"),
-        F.sum(F.col("vector").cast("decimal(28,0)")).alias("vector"), F.sum("chars").alias("chars"))
+        F.sum(F.col("vector").cast("decimal(28,0)")).alias("vector"), F.sum("chars").alias("chars"),
+        F.bit_or("contents").alias("contents"))
 
 
 def templates(vectors: DataFrame) -> DataFrame:
-    """Per host the path of the main slot, from the valid equivalence classes."""
+    """Per host the path of the main slot and, in page order, those of the texts of the valid equivalence classes."""
     host = Window.partitionBy("host")
     same = Window.partitionBy("host", "pages", "total", "vector")
-    # per host there are as many rows as its pages have different paths, however many pages
-    tokens = (
-        vectors.withColumn("host_pages", F.max("pages").over(host)).withColumn("class_size", F.count("*").over(same))
-        .filter((F.col("class_size") >= CLASS_SIZE) & (F.col("pages") >= F.greatest(F.lit(2), SUPPORT * F.col("host_pages")))))
+    hosts = vectors.groupBy("host").agg(F.max("pages").alias("host_pages"), F.bit_or("contents").alias("host_contents"))
+    # two numbers per host; tokens of few pages end here, not in the windows of their host
+    few = hosts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    held = vectors.filter("pages > 1").join(F.broadcast(hosts) if few else hosts, "host").filter(
+        F.col("pages") >= F.greatest(F.lit(2), SUPPORT * F.col("host_pages")))
+    # of them a host has at most as many as 1 / SUPPORT of its pages
+    tokens = held.withColumn("class_size", F.sum("members").over(same)).filter(F.col("class_size") >= CLASS_SIZE)
     slots = tokens.filter("NOT closing AND aside = 0").withColumn("most", F.max("chars").over(host))
-    fit = F.when(F.col("kind") >= 2, F.col("kind")).when(
+    fit = F.when((F.col("kind") >= 2) & (F.col("chars") >= NAMED_SHARE * F.col("most")), F.col("kind")).when(
         (F.col("once") == F.col("pages")) & (F.col("chars") >= MAIN_SHARE * F.col("most")), F.lit(1))
     # articles and mains by their text; without them the innermost of the elements that hold nearly all text
     best = Window.partitionBy("host").orderBy(
-        F.col("fit").desc(), F.when(F.col("fit") > 1, F.col("chars")).desc(), F.col("depth").desc(), "path")
-    return (slots.withColumn("fit", fit).filter("fit IS NOT NULL").withColumn("n", F.row_number().over(best)).filter("n = 1")
-            .select("host", F.col("path").alias("main")))
-
-
-def _blocks(walker: Walker, html: str, inside: str | None) -> list[str] | None:
-    """Blocks of text within the elements of a path, or outside asides; None if no element has the path."""
+        F.col("fit").desc(), F.when(F.col("fit") > 1, F.col("chars")).desc(), F.col("place").desc(), "path")
+    mains = (slots.withColumn("fit", fit).filter("fit IS NOT NULL").withColumn("n", F.row_number().over(best)).filter("n = 1")
+             .select("host", F.col("path").alias("main")))
+    different = F.bit_count("contents")
+    texts = tokens.filter("closing IS NULL").filter(
+        different >= F.greatest(F.lit(TEXT_PAGES), SUPPORT * F.bit_count("host_contents"))).groupBy("host").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("place", "path"))), lambda t: t["path"]).alias("texts"))
+    return mains.join(texts, "host", "full")
+
+
+def _blocks(walker: Walker, html: str, inside: str | None, template: frozenset[str]) -> list[str] | None:
+    """Blocks of text within the elements of a path, or outside asides, without those that are template throughout; None if
+    no element has the path."""
     parts: list[str] = []
     blocks: list[str] = []
     seen = inside is None
     depth = 0
+    own = False
 
     def ended() -> None:
+        nonlocal own
         text = " ".join(unescape("".join(parts)).split())
-        if text:
+        if text and own:
             blocks.append(text)
         parts.clear()
+        own = False
 
     for kind, what, stack in walker.walk(html):
         if kind == "text":
             if (inside is None or depth) and not stack[-1].aside:
                 parts.append(what)
+                if not own and (words := what.split()):
+                    own = not template or text_path(stack[-1].path, words) not in template
             continue
         if what.name == "br":
             parts.append(" ")
@@ -256,36 +294,42 @@ def _blocks(walker: Walker, html: str, inside: str | None) -> list[str] | None:
     return blocks if seen else None
 
 
-def main_text(walker: Walker, html: str, main: str | None) -> str:
-    """The text of a page by the main slot of its host's template, or by its own elements."""
-    blocks = _blocks(walker, html, main) if main else None
+def main_text(walker: Walker, html: str, main: str | None, template: frozenset[str] = frozenset()) -> str:
+    """The text of a page by the main slot and the texts of its host's template, or by its own elements."""
+    blocks = _blocks(walker, html, main, template) if main else None
     if blocks is None:
         best: dict[str, list[int]] = {}
         for kind, what, _ in walker.walk(html):
             if kind == "open" and what.kind >= 2 and not what.aside:
                 best.setdefault(what.path, [what.kind])
         path = max(best, key=lambda p: best[p][0]) if best else None
-        blocks = _blocks(walker, html, path)
+        blocks = _blocks(walker, html, path, template)
+    if not blocks and template:
+        return main_text(walker, html, main)
     return "\n\n".join(blocks or ())
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Per page: id, url, main text and its length in code points."""
     rows = pages.select(page_id, url, html)
-    found = materialize(templates(occurrence_vectors(
-        rows.select(F.col(page_id).cast("string").alias("page"), F.col(url).alias("url"), F.col(html).alias("html")))), "templates")
-    # a host name and a digest per row
-    small = found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    vectors = materialize(occurrence_vectors(
+        rows.select(F.col(page_id).cast("string").alias("page"), F.col(url).alias("url"), F.col(html).alias("html"))), "vectors")
+    found = materialize(templates(vectors), "templates")
+    # a host name and a digest per row, and one per text
+    size = found.agg(F.count("*").alias("hosts"), F.sum(F.greatest(F.size("texts"), F.lit(0))).alias("texts")).first()
+    small = size["hosts"] + (size["texts"] or 0) <= BROADCAST_ROWS
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url), HOST.pattern, 1), F.lit("")))
     joined = rows.withColumn("_host", host).join(
-        (F.broadcast(found) if small else found).select(F.col("host").alias("_host"), F.col("main").alias("_main")), "_host", "left")
-    joined = joined.select(page_id, url, html, "_main")
+        (F.broadcast(found) if small else found).select(F.col("host").alias("_host"), F.col("main").alias("_main"), F.col("texts").alias("_texts")),
+        "_host", "left")
+    joined = joined.select(page_id, url, html, "_main", "_texts")
     schema = T.StructType([rows.schema[page_id], rows.schema[url], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walker = Walker()
         for batch in chunks(batches, html):
-            texts = [main_text(walker, h, m) for h, m in zip(texts_of(batch, html), batch.column(3).to_pylist())]
+            texts = [main_text(walker, h, m, frozenset(t or ())) for h, m, t in zip(
+                texts_of(batch, html), batch.column(3).to_pylist(), batch.column(4).to_pylist())]
             yield with_columns(batch, [page_id, url], {
                 "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())})
 

@@ -57,6 +57,34 @@ def test_equal_vectors_make_a_class(spark):
     assert not any({(3, False, 6), (1, False, 21)} <= set(c) for c in classes.values())
 
 
+def test_repeated_text_is_template(spark):
+    def page(n):
+        notice = "<p>Join our weekly letter for free today.</p>" if n % 2 else ""
+        return (f"<html><body><article><p>Story {n} begins <i>with own</i> words.</p>{notice}<p>It ends as number {n}.</p>"
+                f"<p>All rights belong to the paper.</p></article></body></html>")
+
+    rows = [(n, f"http://one.example/{n}", page(n)) for n in range(12)]
+    # copies of a page are no template of each other, and neither is what two pages say
+    rows += [(100 + n, f"http://two.example/{n}", "<article><p>the same story again</p></article>") for n in range(6)]
+    rows += [(200 + n, f"http://three.example/{n}", f"<article><p>said by two of them</p><p>part {n}</p></article>") for n in range(2)]
+    found = {r.page_id: r.text for r in P.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    for n in range(12):
+        assert found[n] == f"Story {n} begins with own words.\n\nIt ends as number {n}."
+    assert {found[100 + n] for n in range(6)} == {"the same story again"}
+    assert {found[200 + n] for n in range(2)} == {f"said by two of them\n\npart {n}" for n in range(2)}
+
+
+def test_tags_of_one_element_are_no_class_and_small_articles_no_main_slot(spark):
+    lone = [(n, "http://h.example/", "<div>" + "<article>" * (n % 3) + "text") for n in range(9)]
+    frame = "<body><article>teaser {0}</article><div class='story'><p>" + "the long story of {0} goes on. " * 9 + "</p></div></body>"
+    rows = lone + [(n, "http://i.example/", frame.format(n)) for n in range(9, 20)]
+    pages = spark.createDataFrame(rows, "page string, url string, html string")
+    mains = {r.host: r.main for r in P.templates(P.occurrence_vectors(pages)).collect()}
+    walker = P.Walker()
+    named = {e.path: e for _ in [list(walker.walk(rows[-1][2]))] for e in walker.seen.values()}
+    assert named[mains["i.example"]].name != "article"
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None, 1, "m"), (None, "nonsense", "<article>a</article>", None, None), (2, "http://h/", "", 1, "m")]
     rows += [(3, "http://h/", "<article>b</article>", 1, "m")] * 3
