@@ -14,7 +14,9 @@ that occurs once a page and holds nearly all text outside menus, links and the l
 then cut by the template of their host: the blocks in the main slot are the text, without blocks
 that are template throughout (a block with text of its own stays whole, so that no sentence
 loses words) and without nested slots whose element or class names navigation, adverts,
-notices, forms, comments and so on. A page whose host has no template, or that lacks
+notices, forms, comments and so on. Names remove parts beside or inside the main text, never the
+whole of it: an article, main or form that holds more than ``MOST`` of a page's text outside
+links is no such part, whatever its wrappers are called. A page whose host has no template, or that lacks
 its main slot, is its own template; a page of which nothing would be left keeps its text.
 
 Vectors are never gathered: a token's vector is told by its number of pages, its total and the
@@ -48,13 +50,15 @@ CLASS_SIZE = 2
 TEXT_PAGES = 3
 MAIN_SHARE = 0.7
 NAMED_SHARE = 0.3
+MOST = 0.5
 BROADCAST_ROWS = 200_000
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<(script|style|noscript|template|textarea|svg|iframe|title)\b.*?(?:</\1\s*>|$)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<[/a-zA-Z!?][^>]*$", re.DOTALL | re.IGNORECASE)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-OTHER_THING = re.compile(r"(?:with|has|no|without|is|not)[-_]", re.IGNORECASE)  # "with-sidebar" is no sidebar
+OTHER_THING = re.compile(r"(?:^|[-_])(?:with|has|no|without|is|not)[-_]", re.IGNORECASE)  # "page-with-sidebar" is no sidebar
+MAY_HOLD_ALL = re.compile(r"<(?:article|main|form)\b|articlebody|role\s*=\s*[\"']?main", re.IGNORECASE)
 HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -75,10 +79,13 @@ ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form
 class Element:
     """An open element: its path, whether it is main text by name, and what surrounds it."""
 
-    __slots__ = ("aside", "kind", "link", "name", "path")
+    __slots__ = ("aside", "hidden", "inner", "kind", "link", "lost", "name", "path")
 
-    def __init__(self, name: str, path: str, aside: bool, link: bool, kind: int) -> None:
+    def __init__(self, name: str, path: str, aside: bool, link: bool, kind: int, hidden: bool = False, inner: bool = False,
+                 lost: bool = False) -> None:
         self.name, self.path, self.aside, self.link, self.kind = name, path, aside, link, kind
+        # aside seen from the innermost article, main or form around it; whether it is such a one and aside by its surroundings
+        self.hidden, self.inner, self.lost = hidden, inner, lost
 
 
 ROOT = Element("", "", False, False, 0)
@@ -88,10 +95,12 @@ class Walker:
     """Turns pages into runs of tags and texts with their paths; remembers the elements seen."""
 
     def __init__(self) -> None:
-        self.seen: dict[tuple[str, bool, str, str], Element] = {}
+        self.seen: dict[tuple, Element] = {}
+        self.page: str | None = None
+        self.whole: frozenset[str] = frozenset()
 
     def element(self, parent: Element, name: str, attributes: str) -> Element:
-        key = (parent.path, parent.aside, name, attributes)
+        key = (parent.path, parent.aside, parent.hidden, parent.inner, name, attributes, self.whole)
         found = self.seen.get(key)
         if found is None:
             if len(self.seen) > 50_000:
@@ -99,22 +108,46 @@ class Walker:
             values = {a.lower(): b or c or d for a, b, c, d in ATTRIBUTE.findall(attributes)}
             role = values.get("role", "").lower()
             label = f"{name}.{'.'.join(sorted(values.get('class', '').split()))}#{role}"
-            labels = [x for x in f"{values.get('class', '')} {values.get('id', '')}".split() if not OTHER_THING.match(x)]
+            labels = [x for x in f"{values.get('class', '')} {values.get('id', '')}".split() if not OTHER_THING.search(x)]
             words = {w.lower() for x in labels for w in NAME_PART.findall(x)}
             if parent.kind:
                 words -= TITLE_WORDS  # the head of an article is part of it
             kind = (3 if name == "article" or values.get("itemprop", "").lower() == "articlebody" else
                     2 if name == "main" or role == "main" else 0)
             header = name == "header" and not parent.kind
-            aside = parent.aside or name in ASIDE_NAMES or role in ASIDE_ROLES or "hidden" in values or header or (
+            hidden = parent.hidden or "hidden" in values
+            own = name in ASIDE_NAMES or role in ASIDE_ROLES or "hidden" in values or header or (
                 not kind and name not in ("html", "body") and bool(words & ASIDE_WORDS))
             path = xxhash.xxh3_64_hexdigest(f"{parent.path}/{label}")
-            found = Element(name, path, aside, parent.link or name == "a", kind or (1 if parent.kind else 0))
+            # a form is aside by being one, an article or main only by what is around it
+            lost = not hidden and (name == "form" or kind >= 2 and parent.aside and not own)
+            inner = hidden if lost else own or (parent.inner and kind < 2)
+            found = Element(name, path, (parent.aside or own) and path not in self.whole, parent.link or name == "a",
+                            kind or (1 if parent.kind else 0), hidden, inner, lost)
             self.seen[key] = found
         return found
 
+    def holding_all(self, html: str) -> frozenset[str]:
+        """The paths of the articles, mains and forms that are aside although they hold most of the page's text."""
+        if not MAY_HOLD_ALL.search(html):
+            return frozenset()
+        total, within = 0, {}
+        for kind, what, stack in self._walk(html):
+            if kind == "text" and not stack[-1].link and (size := len(what.strip())):
+                total += size
+                if not stack[-1].inner:
+                    for path in {e.path for e in stack if e.lost}:
+                        within[path] = within.get(path, 0) + size
+        return frozenset(p for p, size in within.items() if size > MOST * total)
+
     def walk(self, html: str) -> Iterator[tuple[str, str | Element, tuple[Element, ...] | list[Element]]]:
         """("open" or "close", element, open elements) and ("text", text, open elements), in page order."""
+        if html is not self.page:
+            self.whole = frozenset()
+            self.page, self.whole = html, self.holding_all(html)
+        return self._walk(html)
+
+    def _walk(self, html: str) -> Iterator[tuple[str, str | Element, tuple[Element, ...] | list[Element]]]:
         stack = [ROOT]
         at = 0
         for match in TOKEN.finditer(html):

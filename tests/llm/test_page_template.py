@@ -23,6 +23,23 @@ def test_roles_and_blocks():
     assert text("") == "" and text("  \n ") == "" and text("<nav>only</nav>") == ""
 
 
+def test_names_remove_parts_and_never_the_whole():
+    article = "<article><h1>Title</h1><p>" + "the story goes on. " * 9 + "</p><aside>not this</aside><div class='share'>nor this</div></article>"
+    want = "Title\n\n" + "the story goes on. ".strip() + " the story goes on." * 8
+    for wrapped in ("<div class='page-with-sidebar'>{}<div class='sidebar'>beside</div></div>", "<div id='search-results'>{}</div>",
+                    "<form id='aspnetForm'><div class='menu'>menu</div>{}<input></form>", "<div class='login-widget'><aside>{}</aside></div>"):
+        page = "<html><body><nav>home</nav>" + wrapped.format(article) + "<footer>low</footer></body></html>"
+        assert text(page) == want
+        walker = P.Walker()
+        main = next(e.path for kind, e, _ in walker.walk(page) if kind == "open" and e.name == "article")
+        assert text(page, main) == want and not any(v[2] for (path, _), v in P.page_tokens(walker, page).items() if path == main)
+    assert text("<form action='/'><p>" + "all of it in a form " * 5 + "</p><select><option>no</select></form>") == ("all of it in a form " * 5).strip()
+    # parts stay parts: a few words of an article in a sidebar, a small form, what is hidden
+    assert text("<div class='story'>" + "long text " * 9 + "</div><div class='sidebar'><article>teaser</article></div>") == ("long text " * 9).strip()
+    assert text("<p>text that is longer</p><form>name</form>") == "text that is longer"
+    assert text("<p>seen</p><div hidden><article>a long text that is hidden</article></div>") == "seen"
+
+
 def test_deep_and_long_pages():
     assert text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
     words = "word " * 200_000
