@@ -22,7 +22,7 @@ from nearkin.functions.vectors import dot, l2_normalize, norm
 from nearkin.operators.ranking import RANK_DECIMALS, top_k
 from nearkin.session import materialize
 
-# Default limit of the cells of the clustering, vectors per cell and cells probed per query.
+# Default limit of the cells of the clustering, vectors per cell and cells probed by the approximate search.
 MAX_CELLS = 4096
 ROWS_PER_CELL = 39
 MAX_PROBE = 64
@@ -384,14 +384,9 @@ def assign_cells(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
 
 def knn_clustered(queries: DataFrame, index: VectorIndex, k: int = 10, probe: int | None = None,
                   skip_self: bool = False) -> DataFrame:
-    """Best ``k`` vectors per query among the ``probe`` nearest cells.
-
-    Probing every cell is the exact search. The default probes ``MAX_PROBE`` cells, or all if
-    there are fewer.
-    """
-    n_cells = index.centroids.count()
-    width = min(probe or MAX_PROBE, n_cells)
-    if width >= n_cells:
+    """Best ``k`` vectors per query, exact unless ``probe`` limits the search to that many nearest cells."""
+    width = probe if probe and probe < index.centroids.count() else None
+    if width is None:
         few = _few_queries(queries)
         if few is not None:
             return _scan_few(few, index.vectors, k, skip_self)

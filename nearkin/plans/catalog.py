@@ -383,8 +383,9 @@ def knn_clustered_full_probe(spark, sf):
 
 @query
 def knn_clustered(spark, sf):
+    """The approximate search: exact only where there are no more cells than probes."""
     index = vectors.build_vector_index(vectors_of(spark, sf))
-    return vectors.knn_clustered(vector_queries(spark, sf), index, 10)
+    return vectors.knn_clustered(vector_queries(spark, sf), index, 10, probe=vectors.MAX_PROBE)
 
 
 @query

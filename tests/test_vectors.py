@@ -124,3 +124,25 @@ def test_search_by_bounds_is_exact_and_grows_slower_than_all_pairs(spark, monkey
         pairs[n] = sum(seen)
     assert pairs[1000] < 3 * pairs[500] and pairs[2000] < 3 * pairs[1000]
     assert pairs[2000] < 2000 * 2000 / 3
+
+
+def test_search_is_exact_above_the_probes_of_the_approximate_one(spark, monkeypatch):
+    unit = np.random.default_rng(8).normal(size=(1200, 24))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(unit)], "id long, embedding array<double>").cache()
+    index = vx.build_vector_index(df, cells=150)
+    assert index.centroids.count() > 2 * vx.MAX_PROBE
+    queries = queries_of(df).filter("id < 200")
+    best = np.argsort(-np.round(unit[:200] @ unit.T, 9), axis=1, kind="stable")[:, :10]
+    exact = {(q, r): int(i) for q, row in enumerate(best) for r, i in enumerate(row, 1)}
+    assert as_map(vx.knn_clustered(queries, index, 10)) == exact
+    with monkeypatch.context() as many:
+        many.setattr(vx, "BROADCAST_QUERY_ROWS", 100)
+        assert as_map(vx.knn_clustered(queries, index, 10)) == exact
+
+    def recall(probe):
+        found = as_map(vx.knn_clustered(queries, index, 10, probe=probe))
+        return len({(q, i) for (q, _), i in found.items()} & {(q, i) for (q, _), i in exact.items()}) / len(exact)
+
+    few, many = recall(vx.MAX_PROBE), recall(2 * vx.MAX_PROBE)
+    assert few < many and many >= 0.9
