@@ -299,15 +299,29 @@ def word_vector_cosine(spark, sf):
     return scored.select("pair_id", F.round("wv_cosine_similarity", 6).alias("wv_cosine_similarity"))
 
 
-@query
-def feature_table(spark, sf):
-    cleaned = materialize(corpus.apply_cleaning(split_pairs(spark, sf), "classical"), "cleaned")
+def feature_rows(pairs: DataFrame) -> DataFrame:
+    """All features of ``pairs`` with their split and label, TF-IDF fitted on the training split."""
+    cleaned = materialize(corpus.apply_cleaning(pairs, "classical"), "cleaned")
     model = tfidf.fit_tfidf(cleaned.filter(F.col("split") == "train"), "q1_classical", "q2_classical")
     return features.build_features(cleaned, "pair_id", tfidf=model, keep=("is_duplicate",))
 
 
+@query
+def feature_table(spark, sf):
+    return feature_rows(split_pairs(spark, sf))
+
+
+@query
+def feature_correlations_all(spark, sf):
+    """All features of the cleaned labelled pairs against the label, with p-values."""
+    table_ = feature_rows(splits.hash_split(labelled_pairs(spark, sf), "pair_id"))
+    found = features.feature_label_correlations(table_, "is_duplicate", list(FEATURES))
+    return found.select("feature", "n", F.round("r", 6).alias("r"), "p_value", "weak")
+
+
 @query
 def feature_correlations(spark, sf):
+    """The features that SQL can express, on the texts as they are; ``feature_correlations_all`` has all."""
     pairs = labelled_pairs(spark, sf)
     a, b = F.col("question1"), F.col("question2")
     table_ = pairs.withColumns({**length_features(a, b), **overlap_features(a, b)})

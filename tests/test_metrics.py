@@ -1,5 +1,6 @@
 """Classification and retrieval metrics against direct definitions."""
 
+import math
 import random
 
 import pytest
@@ -126,3 +127,29 @@ def test_missing_scores_and_groups(spark):
     assert got == {"a": (2, 1.0, 1.0), None: (3, 1.0, 1.0)}
     assert {r["g"]: r["n_unscored"] for r in cl.unscored_rows(df, ["g"]).collect()} == {"a": 2, None: 0}
     assert {r["g"] for r in cl.best_threshold(cl.score_curve(df, ["g"]), ["g"]).collect()} == {"a", None}
+
+
+def test_all_features_are_correlated_with_the_label(spark, sf):
+    import numpy as np
+
+    from nearkin.functions.stats import correlation_p_value
+    from nearkin.operators.splits import hash_split
+    from nearkin.plans import catalog
+    from nearkin.schemas import FEATURES
+
+    rows = catalog.feature_rows(hash_split(catalog.labelled_pairs(spark, sf), "pair_id")).toPandas()
+    found = {r["feature"]: r for r in catalog.feature_correlations_all(spark, sf).collect()}
+    assert list(found) == list(FEATURES) and len(found) == 12
+    truth = rows["is_duplicate"].to_numpy(dtype="float64")
+    for name, r in found.items():
+        values = np.nan_to_num(rows[name].to_numpy(dtype="float64"))
+        assert r["n"] == len(rows)
+        if values.std() == 0 or truth.std() == 0:
+            assert r["r"] is None
+            continue
+        want = ((values - values.mean()) * (truth - truth.mean())).mean() / (values.std() * truth.std())
+        assert r["r"] == pytest.approx(want, abs=1e-6) and r["weak"] == (abs(want) < 0.05)
+        # the normal limit of the statistic, a loose bound that a missing or mistaken p-value does not meet
+        t = abs(want) * ((len(rows) - 2) / (1 - want * want)) ** 0.5
+        assert r["p_value"] == pytest.approx(math.erfc(t / 2 ** 0.5), abs=0.02)
+        assert r["p_value"] == pytest.approx(correlation_p_value(want, len(rows)), abs=1e-6)
