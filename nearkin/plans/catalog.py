@@ -555,7 +555,7 @@ def errors_at_best_threshold(spark, sf):
 
 @query
 def deep_evaluation(spark, sf):
-    """Overall metrics and gap of the scored pairs, and the retrieval of the same pairs."""
+    """Overall metrics of the scored test pairs, and the retrieval of all pairs; gap, slices and errors are queries of their own."""
     scored = splits.hash_split(scored_pairs(spark, sf), "id")
     tables_ = evaluation.deep_evaluation(scored, "id", 0.01, retrieval=retrieval_quality(spark, sf))
     return evaluation.report_rows({part: tables_[part] for part in ("overall", "retrieval")})
