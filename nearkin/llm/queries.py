@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from nearkin.llm import backoff_lm, bottom_k, bpe, exact_shuffle, fm_index, kd_search, language_id, page_template, quality_gam, secret_scan, string_kernel
+from nearkin.llm import backoff_lm, bottom_k, bpe, exact_shuffle, fm_index, kd_search, language_id, page_template, quality_gam, secret_scan, string_kernel, whitening
 from nearkin.llm.common import id_remainder, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -65,6 +65,10 @@ def op10_backoff_lm(spark: SparkSession, folder: str) -> DataFrame:
     return backoff_lm.score(table(spark, folder, "documents"), id_remainder("doc_id", 10) == 0)
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 def op13_string_kernel(spark: SparkSession, folder: str) -> DataFrame:
     documents, held_out = table(spark, folder, "documents"), id_remainder("doc_id", 5) == 0
     model = string_kernel.fit(documents, table(spark, folder, "labels"), held_out=held_out)
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_kd_search": op9_kd_search,
     "op10_backoff_lm": op10_backoff_lm,
+    "op12_whitening": op12_whitening,
     "op13_string_kernel": op13_string_kernel,
 }
 
