@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from nearkin.llm import backoff_lm, bottom_k, bpe, exact_shuffle, fm_index, kd_search, language_id, page_template, quality_gam, secret_scan, string_kernel, whitening
+from nearkin.llm import backoff_lm, bottom_k, bpe, exact_shuffle, fm_index, kd_search, language_id, lexical_search, page_template, quality_gam, secret_scan, string_kernel, whitening
 from nearkin.llm.common import id_remainder, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -65,6 +65,10 @@ def op10_backoff_lm(spark: SparkSession, folder: str) -> DataFrame:
     return backoff_lm.score(table(spark, folder, "documents"), id_remainder("doc_id", 10) == 0)
 
 
+def op11_interval_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
 
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_kd_search": op9_kd_search,
     "op10_backoff_lm": op10_backoff_lm,
+    "op11_interval_search": op11_interval_search,
     "op12_whitening": op12_whitening,
     "op13_string_kernel": op13_string_kernel,
 }
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+')"
+_TERMS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 SQL: dict[str, str] = {
     "op5_fm_decontamination": f"""WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
@@ -124,4 +130,16 @@ SQL: dict[str, str] = {
         FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
       ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
       SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+    "op11_interval_search": f"""WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+      d2 AS (SELECT row_number() OVER () AS r, doc_id, w, len(w)::BIGINT AS n FROM d),
+      size AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM d2 WHERE n > 0),
+      tf AS (SELECT r, doc_id, n, t, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, n, unnest(w) AS t FROM d2) GROUP BY ALL),
+      df AS (SELECT t, count(*)::BIGINT AS df FROM tf GROUP BY 1),
+      asked AS (SELECT item_id, t, count(*)::BIGINT AS times FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY ALL),
+      scored AS (SELECT item_id, r, doc_id, sum(times * floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+          * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l))))::BIGINT AS score
+        FROM asked JOIN tf USING (t) JOIN df USING (t), size GROUP BY ALL),
+      ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank
+        FROM scored WHERE score > 0)
+      SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
