@@ -58,7 +58,7 @@ def find_similar_requests(requests: DataFrame, index: VectorIndex, questions: Da
 
 def moved_up(found: DataFrame) -> DataFrame:
     """Ranks from 1 without gaps, in the order of the old ones."""
-    order = Window.partitionBy("query_id").orderBy("rank")
+    order = Window.partitionBy("query_id").orderBy("rank", "question_id")
     return found.withColumn("rank", F.row_number().over(order))
 
 

@@ -84,9 +84,13 @@ def start_ingest(stream: DataFrame, target: IngestTarget, checkpoint: str, order
 
 
 def with_ingested(index: VectorIndex, questions: DataFrame, root: str) -> tuple[VectorIndex, DataFrame]:
-    """Base tables together with everything ingested so far, ready for search."""
+    """Base tables together with everything ingested so far, ready for search.
+
+    An ingested row replaces the base row of the same id, so no hit meets two texts.
+    """
     spark = questions.sparkSession
     vectors = spark.read.parquet(f"{root}/vectors").select("id", "embedding", "cell")
     rows = spark.read.parquet(f"{root}/questions").select(*questions.columns)
-    return (VectorIndex(index.centroids, index.vectors.select("id", "embedding", "cell").unionByName(vectors)),
-            questions.unionByName(rows))
+    kept = index.vectors.select("id", "embedding", "cell").join(vectors.select("id"), "id", "left_anti")
+    older = questions.join(rows.select("question_id"), "question_id", "left_anti").select(*questions.columns)
+    return VectorIndex(index.centroids, kept.unionByName(vectors)), older.unionByName(rows)
