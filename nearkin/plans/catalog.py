@@ -17,7 +17,7 @@ from nearkin.functions.encoders import hashed_encoder, overlap_scorer
 from nearkin.functions.similarity import fuzzy_features, jaccard, length_features, overlap_features
 from nearkin.functions.vectors import cosine, l2_normalize
 from nearkin.operators import (
-    bm25, classification, corpus, explore, features, fusion, maintain, quality, ranking, requests,
+    bm25, boosting, classification, corpus, explore, features, fusion, maintain, quality, ranking, requests,
     retrieval, splits, tfidf, vectors,
 )
 from nearkin.plans import evaluation, prepare, search, training
@@ -29,6 +29,7 @@ from nearkin.streaming import batches, ingest, monitoring, reuse
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
+BOOST_BINS = 16
 NATIVE_FEATURES = [f for f in FEATURES if f.startswith(("len_", "common_"))]
 REUSE_THRESHOLD = 0.35
 NEW_ID_BASE = 1_000_000_000
@@ -861,9 +862,25 @@ def train_logistic_regression(spark, sf):
 
 @query
 def train_boosted_trees(spark, sf):
-    """The full settings; the validation rows stop the boosting."""
-    table_ = _labelled_features(spark, sf).filter("split != 'test'").withColumn("validation", F.col("split") == "val")
-    return training.feature_importance(training.train_boosted_trees(table_, FEATURES, "validation"), spark)
+    """Importance of the features under the full settings; the AUC of the validation rows stops the boosting."""
+    rows = _labelled_features(spark, sf).filter("split != 'test'").withColumn("validation", F.col("split") == "val")
+    return training.feature_importance(training.train_boosted_trees(rows, FEATURES, "validation"), spark)
+
+
+@query
+def boosted_first_split(spark, sf):
+    """The first tree of depth one on the features that SQL can express, and the AUC it gives validation rows."""
+    pairs = splits.hash_split(labelled_pairs(spark, sf), "pair_id").filter("split != 'test'")
+    a, b = F.col("question1"), F.col("question2")
+    table_ = materialize(pairs.withColumns({**length_features(a, b), **overlap_features(a, b)}).select(
+        "pair_id", "is_duplicate", *NATIVE_FEATURES, (F.col("split") == "val").alias("validation")), "features")
+    model = training.train_boosted_trees(
+        table_, NATIVE_FEATURES, "validation", rounds=1, depth=1, row_share=1.0, column_share=1.0, bins=BOOST_BINS)
+    tree = model.trees[0]
+    rows = [(model.features[tree.feature[0]], float(model.edges[tree.feature[0]][tree.cut[0]]),
+             *(v / boosting.UNIT for v in tree.value[1:3]), model.aucs[0])] if tree.feature[0] >= 0 else []
+    found = spark.createDataFrame(rows, "feature string, threshold double, low double, high double, auc double")
+    return found.select("feature", "threshold", *[F.round(c, 5).alias(c) for c in ("low", "high")], F.round("auc", 6).alias("auc"))
 
 
 # --- files ------------------------------------------------------------------------------------

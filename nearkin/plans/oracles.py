@@ -224,8 +224,8 @@ SEEN = """test_q AS (SELECT question1 AS q FROM splits WHERE split = 'test' UNIO
     FROM test_q LEFT JOIN train_q t ON t.q = test_q.q)"""
 
 
-def corr_rows() -> str:
-    built = {
+def native_features() -> dict[str, str]:
+    return {
         "len_q1_chars": "length(question1)", "len_q2_chars": "length(question2)",
         "len_diff_chars": "abs(length(question1) - length(question2))",
         "len_q1_words": n_words("question1"), "len_q2_words": n_words("question2"),
@@ -233,12 +233,38 @@ def corr_rows() -> str:
         "common_word_ratio": jaccard("question1", "question2"),
         "common_word_count": f"len(list_intersect({words('lower(question1)')}, {words('lower(question2)')}))",
     }
+
+
+def corr_rows() -> str:
     rows = [f"SELECT '{name}' AS feature, count(*) AS n, corr(({x})::DOUBLE, is_duplicate::DOUBLE) AS r FROM pairs WHERE known"
-            for name, x in built.items()]
+            for name, x in native_features().items()]
     return (f"WITH {PAIRS}, rows AS ({' UNION ALL '.join(rows)}) "
             "SELECT feature, n, round(r, 6) AS r, abs(r) < 0.05 AS weak FROM rows")
 
 
+def first_split(bins: int = 16) -> str:
+    """The best cut of all features by slopes and curvatures at even odds, and its AUC on validation rows."""
+    long = " UNION ALL ".join(
+        f"SELECT pair_id, split, is_duplicate AS y, {i} AS f, '{name}' AS feature, ({x})::DOUBLE AS x FROM splits WHERE known AND split <> 'test'"
+        for i, (name, x) in enumerate(native_features().items()))
+    shares = ", ".join(f"{i / bins}" for i in range(1, bins))
+    return f"""WITH {SPLIT}, long AS ({long}),
+      weight AS (SELECT sum(1 - y) / sum(y)::DOUBLE AS w FROM long WHERE f = 0 AND split = 'train'),
+      rows AS (SELECT *, round(CASE y WHEN 1 THEN w ELSE 1 END * (0.5 - y) * 1048576) AS g,
+        round(CASE y WHEN 1 THEN w ELSE 1 END * 0.25 * 1048576) AS h FROM long, weight),
+      edges AS (SELECT DISTINCT f, unnest(quantile_disc(x, [{shares}])) AS edge FROM rows WHERE split = 'train' GROUP BY f),
+      sums AS (SELECT f, any_value(feature) AS feature, edge, sum(CASE WHEN x <= edge THEN g ELSE 0 END) AS gl,
+        sum(CASE WHEN x <= edge THEN h ELSE 0 END) AS hl, sum(g) AS g, sum(h) AS h FROM rows JOIN edges USING (f) WHERE split = 'train' GROUP BY f, edge),
+      gains AS (SELECT *, (gl / 1048576) ** 2 / (hl / 1048576 + 1) + ((g - gl) / 1048576) ** 2 / ((h - hl) / 1048576 + 1)
+        - (g / 1048576) ** 2 / (h / 1048576 + 1) AS gain FROM sums WHERE hl >= 1048576 AND h - hl >= 1048576),
+      best AS (SELECT *, round_even(-gl / (hl + 1048576) * 0.05 * 1048576, 0) AS low,
+        round_even(-(g - gl) / (h - hl + 1048576) * 0.05 * 1048576, 0) AS high
+        FROM gains WHERE gain > 1e-9 ORDER BY round(gain, 9) DESC, f, edge LIMIT 1),
+      held AS (SELECT y, floor(CASE WHEN x <= edge THEN low ELSE high END / 1024) AS step FROM rows JOIN best USING (f) WHERE split = 'val'),
+      area AS (SELECT sum((a.step > b.step)::INT + 0.5 * (a.step = b.step)::INT) / count(*) AS auc FROM held a JOIN held b ON a.y = 1 AND b.y = 0)
+      SELECT feature, edge AS threshold, round(low / 1048576, 5) AS low, round(high / 1048576, 5) AS high, round(auc, 6) AS auc FROM best, area"""
+
+
 STRATIFIED = f"""WITH {PAIRS}, sizes AS (SELECT is_duplicate, count(*) AS n FROM pairs GROUP BY 1),
   t1 AS (SELECT *, ceil(round(sum(n) OVER () * 0.15, 6)) AS total, sum(n) OVER () AS everything FROM sizes),
   t2 AS (SELECT *, floor(n * total / everything) AS low, n * total / everything - floor(n * total / everything) AS frac FROM t1),
@@ -312,6 +338,7 @@ ORACLES: dict[str, str] = {
       SELECT pair_id, round(coalesce({cosine('a.v', 'b.v')}, 0), 6) AS wv_cosine_similarity FROM pairs
       LEFT JOIN lists a ON a.key = pair_id * 2 LEFT JOIN lists b ON b.key = pair_id * 2 + 1""",
     "feature_correlations": corr_rows(),
+    "boosted_first_split": first_split(),
     "bm25_postings": f"WITH {POSTINGS} SELECT term, question_id, tf, doc_len FROM postings JOIN lengths USING (question_id)",
     "bm25_terms": f"WITH {POSTINGS} SELECT term, df, round(idf, 6) AS idf FROM idf",
     "bm25_search": f"WITH {bm25('SELECT item_id AS query_id, text AS query_text FROM benchmark')} SELECT query_id, rank, question_id, round(score, 4) AS score FROM keyword_hits",

@@ -5,12 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearkin.operators import boosting
 from nearkin.operators.classification import class_weights, evaluate_classifier
 from nearkin.operators.features import build_features
 from nearkin.operators.tfidf import MAX_TERMS, TfidfModel, fit_tfidf
@@ -74,33 +75,26 @@ def train_logistic_regression(features: DataFrame, names: list[str], label: str
     return PairModel.load("logistic_regression", path)
 
 
-def train_boosted_trees(features: DataFrame, names: list[str], validation: str | None = None,
-                        label: str = "is_duplicate", rounds: int = 500, depth: int = 6, rate: float = 0.05,
-                        row_share: float = 0.8, column_share: float = 0.8, seed: int = 42) -> PairModel:
-    """Gradient-boosted trees with positives weighted by ``neg/pos``.
+def train_boosted_trees(features: DataFrame, names: list[str], validation: str | None = None, label: str = "is_duplicate",
+                        **settings: float) -> boosting.BoostedTrees:
+    """Gradient-boosted trees with positives weighted by ``neg/pos`` of the training rows.
 
-    ``validation`` names a boolean column; its rows stop the boosting when they no longer gain.
+    ``validation`` names a boolean column; its rows stop the boosting when their AUC has not grown for
+    ``patience`` rounds. ``settings`` are those of ``boosting.Settings``.
     """
-    fit_rows = features if validation is None else features.filter(~F.col(validation))
+    fit_rows = features if validation is None else features.filter(~F.coalesce(F.col(validation), F.lit(False)))
     w = class_weights(fit_rows, label).first()
-    weighted = features.withColumn(
-        "_weight", F.when(F.col(label) == 1, F.lit(w["positive_weight"] or 1.0)).otherwise(F.lit(1.0)))
-    trees = GBTClassifier(
-        featuresCol="_assembled", labelCol=label, weightCol="_weight", maxIter=rounds, maxDepth=depth,
-        stepSize=rate, subsamplingRate=row_share, featureSubsetStrategy=str(column_share), seed=seed,
-        **({"validationIndicatorCol": validation} if validation else {}))
-    pipeline = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="_assembled"), trees])
-    return PairModel("boosted_trees", pipeline.fit(weighted), names)
-
-
-def feature_importance(model: PairModel, spark, n: int = 10) -> DataFrame:
-    """``feature, importance`` of the ``n`` most used features of a tree model."""
-    weights = model.model.stages[-1].featureImportances.toArray()
-    rows = [(name, float(weight)) for name, weight in zip(model.features, weights)]
+    chosen = boosting.Settings(**{"positive_weight": w["positive_weight"] or 1.0, **settings})
+    return boosting.train(features, list(names), label, validation, chosen)
+
+
+def feature_importance(model: boosting.BoostedTrees, spark: SparkSession, n: int = 10) -> DataFrame:
+    """``feature, importance`` of the ``n`` features with the highest mean gain of a split."""
+    rows = list(model.importance().items())
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature").limit(n)
 
 
-def evaluate_models(models: list[PairModel], features: DataFrame, threshold: float = 0.5) -> DataFrame:
+def evaluate_models(models: list[PairModel | boosting.BoostedTrees], features: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``model, split, metric, value`` of every model on every split, in one evaluation."""
     scored = None
     for m in models:

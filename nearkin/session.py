@@ -71,6 +71,17 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_table(df: DataFrame) -> None:
+    """Delete the files of a table that ``materialize`` wrote and that nothing reads any more."""
+    spark = df.sparkSession
+    jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    own = f"{work_dir(spark)}/nearkin/"
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if own.split("://")[-1].lstrip("/") in folder:
+            path.getFileSystem(configuration).delete(path, True)
+
+
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Give a small scan one partition per core before expensive per-row work.
 
