@@ -7,8 +7,9 @@ are merged from left to right; entries whose pair is gone are skipped as stale.
 costs constant time, so a pre-token of a megabyte takes no longer per byte than a short one,
 and pre-tokens never influence one another because no pair spans a break.
 
-Ids of pre-tokens seen before come from a memory of bounded size, which is emptied when full
-and changes no result.
+Pre-tokens are merged together up to ``MERGED_BYTES`` at a time. Ids of pre-tokens seen before come
+from a memory of two generations, each bounded by bytes: when the younger is full, it becomes the
+older one, which is forgotten. It changes no result. A Python worker builds one codec and keeps it.
 
 Defined results: a null text is empty; the empty text has no ids and decodes to no bytes. Rows
 are independent: repeated rows give repeated results and an empty table gives none.
@@ -30,7 +31,10 @@ from pyspark.sql import types as T
 
 from nearkin.llm.common import chunks, free_name, texts_of, with_columns
 
-MEMORY_ENTRIES = 1_000_000
+MEMORY_BYTES = 48 << 20  # of either generation, estimated
+ENTRY_BYTES = 180
+MERGED_BYTES = 1 << 16
+SLICE_BYTES = 1 << 20
 PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ]*")
 
 
@@ -92,6 +96,8 @@ class Codec:
         self.whole = ranks
         self.size = max(ranks.values()) + 1
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
         # to the right (left) of an id: the other id of the pair -> rank of the merge
         self.rights: dict[int, dict[int, int]] = {}
         self.lefts: dict[int, dict[int, int]] = {}
@@ -189,34 +195,59 @@ class Codec:
             result.append(merged)
         return result
 
+    def _remember(self, piece: str, ids: bytes) -> None:
+        self.known[piece] = ids
+        self.held += ENTRY_BYTES + len(piece) + len(ids)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        if self.held > MEMORY_BYTES:
+            self.older, self.known, self.held = self.known, {}, 0
         split = [self.pieces(t) for t in texts]
         known, whole = self.known, self.whole
-        new = {p for pieces in split for p in pieces if p not in known}
-        if len(known) + len(new) > MEMORY_ENTRIES:
-            known.clear()
-            new = {p for pieces in split for p in pieces}
-        rest: list[str] = []
-        for piece in new:
-            rank = whole.get(piece.encode("utf-8", "surrogatepass"))
-            if rank is None:
-                rest.append(piece)
-            else:
-                known[piece] = rank.to_bytes(4, "little")
-        step = 1 << 16
-        for start in range(0, len(rest), step):
-            some = rest[start:start + step]
-            for piece, ids in zip(some, self.merge([p.encode("utf-8", "surrogatepass") for p in some])):
-                known[piece] = array("I", ids).tobytes()
+        rest: list[tuple[str, bytes]] = []
+        size = 0
+        for piece in {p for pieces in split for p in pieces if p not in known}:
+            ids = self.older.get(piece)
+            if ids is None:
+                data = piece.encode("utf-8", "surrogatepass")
+                rank = whole.get(data)
+                if rank is None:
+                    rest.append((piece, data))
+                    size += len(data)
+                    if size >= MERGED_BYTES:
+                        self._merged(rest)
+                        size = 0
+                    continue
+                ids = rank.to_bytes(4, "little")
+            self._remember(piece, ids)
+        self._merged(rest)
         return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
 
+    def _merged(self, rest: list[tuple[str, bytes]]) -> None:
+        """Merge the pre-tokens that wait and empty the list."""
+        if rest:
+            for (piece, _), ids in zip(rest, self.merge([data for _, data in rest])):
+                self._remember(piece, array("I", ids).tobytes())
+            rest.clear()
+
     def decode(self, ids: bytes) -> bytes:
         numbers = array("I")
         numbers.frombytes(ids)
         return b"".join(map(self.bytes_of.__getitem__, numbers))
 
 
+_codecs: dict[tuple[str, str], Codec] = {}
+
+
+def _codec(vocabulary: str, pattern: str) -> Codec:
+    """The codec of this Python worker."""
+    if (vocabulary, pattern) not in _codecs:
+        _codecs.clear()
+        _codecs[vocabulary, pattern] = Codec(load_ranks(vocabulary), pattern)
+    return _codecs[vocabulary, pattern]
+
+
 def digests(df: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Number of ids, digest of the ids and digest of the decoded bytes, per row."""
     rows = df.select(doc_id, text)
@@ -225,8 +256,8 @@ def digests(df: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id"
         T.StructField("decoded_sha256", T.StringType())])
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(load_ranks(vocabulary), pattern)
-        for batch in chunks(batches, text):
+        codec = _codec(vocabulary, pattern)
+        for batch in chunks(batches, text, SLICE_BYTES):
             ids = codec.encode(texts_of(batch, text))
             yield with_columns(batch, [doc_id], {
                 "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
@@ -242,8 +273,8 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.LongType()))])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(load_ranks(vocabulary), pattern)
-        for batch in chunks(batches, text):
+        codec = _codec(vocabulary, pattern)
+        for batch in chunks(batches, text, SLICE_BYTES):
             arrays = []
             for packed in codec.encode(texts_of(batch, text)):
                 numbers = array("I")

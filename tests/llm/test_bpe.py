@@ -35,7 +35,8 @@ def test_same_ids_as_the_library(ranks, library):
 
 
 def test_full_memory_changes_nothing(ranks, library, monkeypatch):
-    monkeypatch.setattr(bpe, "MEMORY_ENTRIES", 5)
+    monkeypatch.setattr(bpe, "MEMORY_BYTES", 500)
+    monkeypatch.setattr(bpe, "MERGED_BYTES", 9)
     codec = bpe.Codec(ranks, public_tokenizers.PATTERN)
     texts = ["one two three four five", "six seven eight nine ten eleven", "one two"]
     for text in texts * 2:
