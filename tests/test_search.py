@@ -1,9 +1,11 @@
 """Keyword search, fusion, rerank, TF-IDF and the search job."""
 
 import math
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +57,33 @@ def test_bm25_equals_brute_force(spark, tmp_path, monkeypatch):
     assert {r["term"] for r in one.postings.collect()} >= {"rice"} and one.postings.count() < built.postings.count()
 
 
+def test_blocks_under_the_floor_are_not_read(spark, monkeypatch):
+    """Equal to scoring everything, while rare terms let most blocks of frequent ones stay closed."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(words, [1 / (i + 1) for i in range(300)], k=rng.randint(5, 60))) for _ in range(3000)]
+    for i in range(0, 200, 10):
+        texts[i] += " rare rare rare"
+    corpus = spark.createDataFrame(list(enumerate(texts)), "question_id long, question_text string")
+    asked = ["w0 w1 rare", "w2 w250 w251", "w0", "w7 w9 w9 w90", "rare unknown"]
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id long, query_text string")
+    index = bm25.build_index(corpus)
+    monkeypatch.setattr(bm25.block_max, "SHARD_DOCUMENTS", 700)
+    found = {(r["query_id"], r["rank"]): (r["question_id"], r["score"]) for r in bm25.search(index, queries).collect()}
+    monkeypatch.setattr(bm25, "BROADCAST_QUERY_TERMS", 0)
+    assert found == {(r["query_id"], r["rank"]): (r["question_id"], r["score"]) for r in bm25.search(index, queries).collect()}
+    # one shard by hand: blocks read and skipped
+    numbers = {"w0": 0, "w1": 1, "rare": 2}
+    postings = spark.createDataFrame([(numbers[t], i, c / (c + 1)) for i, text in enumerate(texts) for t, c in Counter(text.split()).items() if t in numbers],
+                                     "term int, question_id long, part double")
+    monkeypatch.setattr(bm25.block_max, "SHARD_DOCUMENTS", 4096)
+    row = bm25.block_max.pack(postings, 3000).first().asDict()
+    shard = bm25.block_max.Shard(row)
+    best = bm25.block_max.Best(5)
+    read, skipped = bm25.block_max.search_shard(shard, np.array([0, 1, 2]), np.array([0.1, 0.2, 5.0]), best)
+    assert skipped > 4 * read > 0 and all(i % 10 == 0 and i < 200 for i in best.ids)
+
+
 def test_rrf_examples(spark):
     a = spark.createDataFrame([(1, 1, 10, 0.9), (1, 2, 20, 0.8)], RANKED)
     b = spark.createDataFrame([(1, 1, 20, 5.0), (1, 2, 10, 4.0)], RANKED)
