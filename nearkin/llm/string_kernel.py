@@ -31,6 +31,7 @@ their ids; an empty table gives no rows. New columns are named apart from existi
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -53,8 +54,10 @@ LANDMARKS = 192
 TRUST, COST = 0.6, 4.0
 EVIDENT, COMMON, RANDOM = 4000, 3000, 12_000
 EXAMPLES = EVIDENT + COMMON + RANDOM
-MEMORY = 400_000
+MEMORY = 500_000
 BLOCK_KEYS = 1 << 18
+GROUP_CHARACTERS = 1 << 20
+SIEVE_BITS = 20
 TOP = 3
 
 _MARKS = re.compile(r"[^\w\s]+|_+")
@@ -216,11 +219,22 @@ def _logistic(values: np.ndarray, labels: np.ndarray, ridge: float) -> np.ndarra
     return b
 
 
+_remembered: dict[str, dict[str, float]] = {}
+
+
+def _memory(model: Model) -> dict[str, float]:
+    """Margins that earlier tasks of this Python worker computed with the same model."""
+    if model.name not in _remembered:
+        _remembered.clear()
+    return _remembered.setdefault(model.name, {})
+
+
 @dataclass
 class Model:
     """Weights of subsequences for the margin of a word, and of a text's margins for its score."""
 
     share: float
+    name: str = ""
     keys: np.ndarray | None = None
     weights: np.ndarray | None = None
     offset: float = 0.0
@@ -230,26 +244,42 @@ class Model:
 
     def word_margins(self, words: list[str]) -> np.ndarray:
         total = np.full(len(words), self.offset)
+        # most subsequences have no weight: their upper bits tell without a search
+        shift = np.uint64(64 - SIEVE_BITS)
+        sieve = np.zeros(1 << SIEVE_BITS, bool)
+        sieve[self.keys >> shift] = True
         for row, key, weight in subsequences(words):
-            held, at = _found(self.keys, key)
-            total += np.bincount(row[held], self.weights[at] * weight[held], len(words))
+            likely = np.flatnonzero(sieve[key >> shift])
+            held, at = _found(self.keys, key[likely])
+            chosen = likely[held]
+            total += np.bincount(row[chosen], self.weights[at] * weight[chosen], len(words))
         return total
 
+    def margins(self, texts: list[set[str]], memory: dict[str, float]) -> Iterator[np.ndarray]:
+        """Margins of the words of each text, largest first."""
+        new = sorted(set().union(*texts).difference(memory))
+        if len(memory) + len(new) > MEMORY:
+            memory.clear()
+            new = sorted(set().union(*texts))
+        memory.update(zip(new, self.word_margins(new).tolist()))
+        for words in texts:
+            yield np.sort(np.array([memory[w] for w in words] + [min(self.offset, -1.0)] * TOP))[::-1]
+
     def values(self, texts: list[str], memory: dict[str, float]) -> np.ndarray:
         """Largest margins, sum and number of positive ones, number of words and share of positive ones."""
-        result = np.empty((len(texts), TOP + 4))
-        for i, text in enumerate(texts):
-            words = words_of(text)
-            new = sorted(words.difference(memory))
-            if len(memory) + len(new) > MEMORY:
-                memory.clear()
-                new = sorted(words)
-            for start in range(0, len(new), MEMORY):
-                memory.update(zip(new[start:start + MEMORY], self.word_margins(new[start:start + MEMORY]).tolist()))
-            margins = np.sort(np.array([memory[w] for w in words] + [min(self.offset, -1.0)] * TOP))[::-1]
-            positive = margins[margins > 0]
-            result[i] = [*margins[:TOP], positive.sum(), np.log1p(len(positive)), np.log1p(len(words)), len(positive) / (len(words) + 5)]
-        return result
+        result: list[list[float]] = []
+        group: list[set[str]] = []
+        size = 0
+        for place, text in enumerate(texts):
+            group.append(words_of(text))
+            size += len(text)
+            if size < GROUP_CHARACTERS and place + 1 < len(texts):
+                continue
+            for words, margins in zip(group, self.margins(group, memory)):
+                positive = margins[margins > 0]
+                result.append([*margins[:TOP], positive.sum(), np.log1p(len(positive)), np.log1p(len(words)), len(positive) / (len(words) + 5)])
+            group, size = [], 0
+        return np.array(result).reshape(-1, TOP + 4)
 
     def scores(self, texts: list[str], memory: dict[str, float]) -> np.ndarray:
         if self.text_weights is None:
@@ -263,7 +293,7 @@ class Model:
 
 def train_words(words: list[str], toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, landmarks: int = LANDMARKS) -> Model:
     """The machine over words, from the numbers of toxic and clean texts that hold each."""
-    model = Model((n_toxic + 1) / (n_toxic + n_clean + 2))
+    model = Model((n_toxic + 1) / (n_toxic + n_clean + 2), uuid.uuid4().hex)
     evidence = toxic * np.log((toxic + 0.5) / (n_toxic + 1) * (n_clean + 1) / (clean + 0.5))
     evident = [i for i in np.lexsort((np.arange(len(words)), -evidence)) if evidence[i] > 0][:2000]
     common = [i for i in np.lexsort((np.arange(len(words)), -clean)) if clean[i] > 0][:1500]
@@ -327,7 +357,7 @@ def _examples(counts: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[str],
 
 def _text_values(rows: DataFrame, text: str, model: Model) -> DataFrame:
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict[str, float] = {}
+        memory = _memory(model)
         for batch in chunks(batches, text):
             yield with_columns(batch, ["_label"], {
                 "values": pa.array(list(model.values(texts_of(batch, text), memory)), pa.list_(pa.float64()))})
@@ -365,7 +395,7 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "score") -
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict[str, float] = {}
+        memory = _memory(model)
         for batch in chunks(batches, text):
             yield with_columns(batch, keep, {name: pa.array(model.scores(texts_of(batch, text), memory), pa.float64())})
 
