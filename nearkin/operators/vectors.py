@@ -6,6 +6,7 @@ Vectors have unit length, so the inner product is the cosine. The index is two t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +27,8 @@ from nearkin.session import materialize
 MAX_CELLS = 4096
 ROWS_PER_CELL = 39
 MAX_PROBE = 64
+# Beyond that number of cells the approximate search probes this share of them; vectors without clusters need it for a recall of 0.9.
+PROBE_SHARE = 0.5
 # Cells that the exact search visits first, to learn which others can still matter.
 NEAR_CELLS = 4
 # Bounds are compared with scores with this much room for rounding.
@@ -57,6 +60,11 @@ def cell_count(n: int) -> int:
     return min(MAX_CELLS, max(1, n // ROWS_PER_CELL))
 
 
+def probe_count(n_cells: int) -> int:
+    """Cells that the approximate search probes."""
+    return max(MAX_PROBE, math.ceil(PROBE_SHARE * n_cells))
+
+
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype("float64")
 

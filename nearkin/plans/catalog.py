@@ -399,19 +399,39 @@ def knn_clustered_full_probe(spark, sf):
 @query
 def knn_clustered(spark, sf):
     """The approximate search: exact only where there are no more cells than probes."""
-    index = vectors.build_vector_index(vectors_of(spark, sf))
-    return vectors.knn_clustered(vector_queries(spark, sf), index, 10, probe=vectors.MAX_PROBE)
+    return _approximate(spark, sf)[0]
 
 
-@query
-def knn_clustered_recall(spark, sf):
-    """Share of the exact neighbours that the clustered search finds."""
-    found = knn_clustered(spark, sf).select("query_id", "question_id", F.lit(1).alias("hit"))
+def _approximate(spark, sf, cells: int | None = None) -> tuple[DataFrame, int, int]:
+    """Hits of the approximate search, the number of cells and how many of them are probed."""
+    index = vectors.build_vector_index(vectors_of(spark, sf), cells)
+    n_cells = index.centroids.count()
+    probe = vectors.probe_count(n_cells)
+    return vectors.knn_clustered(vector_queries(spark, sf), index, 10, probe=probe), n_cells, probe
+
+
+def neighbours_found(spark, sf, cells: int | None = None) -> DataFrame:
+    """``n_exact, recall_at_10``: the share of the exact neighbours that the approximate search finds."""
+    found = _approximate(spark, sf, cells)[0].select("query_id", "question_id", F.lit(1).alias("hit"))
     exact = knn_exact(spark, sf).select("query_id", "question_id")
     return exact.join(found, ["query_id", "question_id"], "left").agg(
         F.count("*").alias("n_exact"), F.round(F.count("hit") / F.count("*"), 4).alias("recall_at_10"))
 
 
+@query
+def knn_clustered_recall(spark, sf):
+    return neighbours_found(spark, sf)
+
+
+@query
+def knn_small_cells_recall(spark, sf):
+    """Whether the approximate search finds nine of ten neighbours where it leaves out cells: cells of three vectors."""
+    n_cells = vectors_of(spark, sf).count() // 3
+    found = neighbours_found(spark, sf, n_cells)
+    return found.select("n_exact", (F.lit(vectors.probe_count(n_cells)) < n_cells).alias("cells_left_out"),
+                        (F.col("recall_at_10") >= 0.9).alias("enough"))
+
+
 @query
 def self_retrieval(spark, sf):
     found = vectors_of(spark, sf)

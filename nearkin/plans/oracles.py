@@ -353,6 +353,8 @@ ORACLES: dict[str, str] = {
     "knn_clustered_full_probe": KNN_SELF,
     "knn_clustered": KNN_SELF,
     "knn_clustered_recall": f"WITH {knn(SELF, 10)} SELECT count(*) AS n_exact, 1.0::DOUBLE AS recall_at_10 FROM hits",
+    "knn_small_cells_recall": f"""WITH {knn(SELF, 10)} SELECT count(*) AS n_exact, (SELECT count(*) FROM embeddings) // 3 > 64 AS cells_left_out,
+      true AS enough FROM hits""",
     "self_retrieval": "SELECT vec_id AS query_id, vec_id AS found_id, 1.0::DOUBLE AS score, true AS ok FROM embeddings",
     "find_similar": f"{FIND} SELECT query_id, rank, question_id, score FROM found WHERE score >= 0.3 AND rank <= 5",
     "find_similar_requests": f"{OWN_LIMITS} SELECT query_id, rank, question_id, score FROM found WHERE score >= query_id % 5 / 10.0 AND rank <= query_id % 20 + 1",

@@ -146,3 +146,5 @@ def test_search_is_exact_above_the_probes_of_the_approximate_one(spark, monkeypa
 
     few, many = recall(vx.MAX_PROBE), recall(2 * vx.MAX_PROBE)
     assert few < many and many >= 0.9
+    # vectors without clusters are the worst case for the share of cells that is probed by default
+    assert vx.MAX_PROBE < vx.probe_count(150) < 150 and recall(vx.probe_count(150)) >= 0.9
