@@ -17,31 +17,41 @@ MAX_SHARED_PAIRS = 300
 MAX_SHARED_QUESTIONS = 0.45
 
 
+def digest(text: Column) -> Column:
+    """16 bytes that stand for a text, so that texts stay where they are; null stays null."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def duplicate_pairs(splits: DataFrame) -> DataFrame:
     """``split, n_duplicates``: rows that repeat an earlier pair of their split."""
-    counts = splits.groupBy("split", "question1", "question2").agg(F.count("*").alias("n"))
+    named = splits.select("split", digest(F.col("question1")).alias("a"), digest(F.col("question2")).alias("b"))
+    counts = named.groupBy("split", "a", "b").agg(F.count("*").alias("n"))
     return counts.groupBy("split").agg(F.sum(F.col("n") - 1).alias("n_duplicates"))
 
 
 def ordered_pairs(pairs: DataFrame) -> DataFrame:
-    """Both orders of every lower-cased pair."""
-    a, b = F.lower("question1"), F.lower("question2")
-    return pairs.select(F.explode(F.array(
-        F.struct(a.alias("a"), b.alias("b")), F.struct(b.alias("a"), a.alias("b")))).alias("p")).select("p.*")
+    """Both orders of every lower-cased pair, as digests."""
+    named = pairs.select(digest(F.lower("question1")).alias("a"), digest(F.lower("question2")).alias("b"))
+    return named.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p")).select("p.*")
 
 
 def shared_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Ordered pairs found in both tables: a shared pair of different texts counts twice."""
+    """Ordered pairs found in both tables, as digests: a shared pair of different texts counts twice."""
     return ordered_pairs(left).intersect(ordered_pairs(right))
 
 
 def questions_of(pairs: DataFrame) -> DataFrame:
-    """Distinct texts of both sides."""
-    return pairs.select(F.explode(F.array("question1", "question2")).alias("question")).distinct()
+    """Digests of the distinct texts of both sides."""
+    named = pairs.select(digest(F.col("question1")).alias("a"), digest(F.col("question2")).alias("b"))
+    return named.select(F.explode(F.array("a", "b")).alias("question")).distinct()
 
 
 def question_overlap(train: DataFrame, test: DataFrame) -> DataFrame:
-    """One row: distinct test texts, those also in train, and their share (0 without test texts)."""
+    """One row: distinct test texts, those also in train, and their share (0 without test texts).
+
+    Only digests are shuffled; at sizes where it pays Spark filters the larger side by a Bloom
+    filter of the smaller one before that.
+    """
     seen = questions_of(train).withColumn("in_train", F.lit(1))
     return questions_of(test).join(seen, "question", "left").agg(
         F.count("*").alias("n_test"), F.count("in_train").alias("n_shared"),

@@ -189,3 +189,18 @@ def test_rows_without_label_or_key_are_split_too(spark):
     found = sp.stratified_split(df, "id").collect()
     assert len(found) == 14 and {r["split"] for r in found} <= {"train", "val", "test"}
     assert sp.hash_split(df, "id").filter("split IS NULL").count() == 0
+
+
+def test_set_operations_shuffle_digests_only(spark, tmp_path):
+    rows = [("train", "A b", "c"), ("train", "A b", "c"), ("train", None, "x"), ("train", None, "x"), ("test", "C", "a B"), ("test", "d", "c"), ("test", None, "d")]
+    spark.createDataFrame(rows, "split string, question1 string, question2 string").write.parquet(str(tmp_path / "pairs"))
+    pairs = spark.read.parquet(str(tmp_path / "pairs"))
+    train, test = pairs.filter("split = 'train'"), pairs.filter("split = 'test'")
+    results = [quality.duplicate_pairs(pairs), quality.shared_pairs(train, test), quality.question_overlap(train, test)]
+    assert {r["split"]: r["n_duplicates"] for r in results[0].collect()} == {"train": 2, "test": 0}
+    assert results[1].count() == 2
+    assert tuple(results[2].first())[:2] == (5, 1)
+    for df in results:
+        plan = df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+        shuffles = [line for line in plan.splitlines() if "Exchange" in line]
+        assert shuffles and not any("question1" in line or "question2" in line for line in shuffles)
