@@ -36,7 +36,9 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 GITHUB = re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 NPM = re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
-PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----[A-Za-z0-9+/=\s]+-----END \1-----")
+# the body may have header lines, as keys with a passphrase do
+PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY(?: BLOCK)?)-----(?:[^-]|-(?!----))++-----END \1-----")
+JWT_RUN = re.compile(r"[A-Za-z0-9_-]*")
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end
@@ -105,6 +107,9 @@ def spans_of(text: str, words: ahocorasick.Automaton) -> list[Span]:
             after[kind] = match.end()
             if valid(match):
                 spans.append((start, KINDS.index(kind), match.end()))
+        elif kind == "jwt":
+            # what follows the run decides for all its starts, so none of them scans it again
+            after[kind] = JWT_RUN.match(text, start).end()
     return sorted(spans)
 
 

@@ -3,6 +3,7 @@ import hashlib
 import json
 import random
 import re
+import time
 
 from helpers import empty, odd_documents
 
@@ -64,3 +65,30 @@ def test_tables(spark):
     assert redacted.columns == rows.columns
     assert redacted.filter("doc_id = 0").first().text is None
     assert S.digests(empty(spark, "doc_id long, text string")).count() == 0
+
+
+def test_repeated_keywords_take_linear_time():
+    words = S.automaton()
+    for piece in ("eyJ", "eyJa.", "eyJa.eyJ", "token=", "token ", "AKIA", "-----BEGIN ", "-----BEGIN PRIVATE KEY-----a", "ghp_", "npm_"):
+        start = time.perf_counter()
+        S.spans_of(piece * (1_000_000 // len(piece)), words)
+        assert time.perf_counter() - start < 5, piece
+
+
+def test_a_jwt_inside_a_failed_run_is_found_where_the_search_would():
+    words = S.automaton()
+    header = base64.urlsafe_b64encode(b'{"alg":"HS256"}').decode().rstrip("=")
+    token = f"{header}.eyJzdWIiOiIxIn0.c2ln"
+    for before in ("eyJ eyJ. ", "eyJeyJ.eyJx ", "eyJa.eyJb, "):
+        spans = [s for s in S.spans_of(before + token, words) if S.KINDS[s[1]] == "jwt"]
+        assert spans == [(len(before), S.KINDS.index("jwt"), len(before + token))]
+
+
+def test_keys_with_headers_and_pgp_blocks():
+    words = S.automaton()
+    for label, body in (("RSA PRIVATE KEY", "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A\n\nMIIB+/=\n"), ("PGP PRIVATE KEY BLOCK", "\nVersion: x - y\n\nlQ==\n"),
+                        ("PRIVATE KEY", "\nMIIE\n")):
+        text = f"see -----BEGIN {label}-----{body}-----END {label}----- end"
+        spans = [s for s in S.spans_of(text, words) if S.KINDS[s[1]] == "pem"]
+        assert spans == [(4, S.KINDS.index("pem"), len(text) - 4)]
+    assert not [s for s in S.spans_of("-----BEGIN PRIVATE KEY-----x-----END RSA PRIVATE KEY-----", words) if S.KINDS[s[1]] == "pem"]
