@@ -576,10 +576,9 @@ def errors_at_best_threshold(spark, sf):
 
 @query
 def deep_evaluation(spark, sf):
-    """Overall metrics of the scored test pairs, and the retrieval of all pairs; gap, slices and errors are queries of their own."""
-    scored = splits.hash_split(scored_pairs(spark, sf), "id")
-    tables_ = evaluation.deep_evaluation(scored, "id", 0.01, retrieval=retrieval_quality(spark, sf))
-    return evaluation.report_rows({part: tables_[part] for part in ("overall", "retrieval")})
+    """The whole report: overall metrics, slices and errors of the scored test pairs, gap to validation, retrieval of all pairs."""
+    scored = materialize(splits.hash_split(scored_pairs(spark, sf), "id"), "scored")
+    return evaluation.report_rows(evaluation.deep_evaluation(scored, "id", 0.01, retrieval=retrieval_quality(spark, sf)))
 
 
 @query

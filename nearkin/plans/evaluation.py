@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearkin.operators.classification import best_threshold, evaluate_classifier, score_curve, top_errors
@@ -64,14 +66,23 @@ def deep_evaluation(scored: DataFrame, key: str, threshold: float = 0.5, n_error
     }
 
 
+def _values(table: DataFrame, part: str, item: Column, names: list[str]) -> DataFrame:
+    """``part, item, metric, value`` of the named columns."""
+    numbers = table.select(item.alias("item"), *[F.col(c).cast("double").alias(c) for c in names]).unpivot(["item"], names, "metric", "value")
+    return numbers.select(F.lit(part).alias("part"), "item", "metric", "value")
+
+
 def report_rows(tables: dict[str, DataFrame]) -> DataFrame:
-    """``part, metric, value`` of the one-row tables of a report."""
-    rows = None
+    """``part, item, metric, value`` of all tables of a report.
+
+    The item is the slice, or the kind and rank of an error; it is empty for the other parts.
+    """
+    found = []
     for part in ("overall", "gap", "retrieval"):
         if part in tables:
-            table = tables[part]
-            names = [c for c in table.columns]
-            values = table.select(*[F.col(c).cast("double").alias(c) for c in names]).unpivot([], names, "metric", "value")
-            found = values.select(F.lit(part).alias("part"), "metric", "value")
-            rows = found if rows is None else rows.unionByName(found)
-    return rows
+            found.append(_values(tables[part], part, F.lit(""), tables[part].columns))
+    slices, errors = tables["slices"], tables["errors"]
+    found.append(_values(slices, "slices", F.col("slice"), [c for c in slices.columns if c != "slice"]))
+    texts = {f.name for f in errors.schema.fields if f.dataType.simpleString() == "string"}
+    found.append(_values(errors, "errors", F.concat_ws(" ", "error_type", "rank"), [c for c in errors.columns if c not in texts | {"rank"}]))
+    return reduce(DataFrame.unionByName, found)

@@ -491,8 +491,22 @@ ORACLES: dict[str, str] = {
 
 _RETRIEVAL = ("n_queries", "recall_at_1", "recall_at_5", "recall_at_10", "mrr")
 _OVERALL = ("n", "precision", "recall", "f1", "auc_roc", "avg_precision")
-ORACLES["deep_evaluation"] = f"""WITH test AS (
-  WITH {SCORED_PAIRS.replace('scored AS', 'base AS')}, scored AS (SELECT * FROM (SELECT *, {split_of('id')} AS split FROM base) WHERE split = 'test'),
-  {curve()}, {metrics(0.01)} SELECT * FROM metrics), found AS ({ORACLES['retrieval_quality']})
-  {' UNION ALL '.join([f"SELECT 'overall' AS part, '{m}' AS metric, {m}::DOUBLE AS value FROM test" for m in _OVERALL]
-                      + [f"SELECT 'retrieval', '{m}', {m}::DOUBLE FROM found" for m in _RETRIEVAL])}"""
+_RATES = _OVERALL[1:]
+_SPLIT_SCORES = f"{SCORED_PAIRS.replace('scored AS', 'base AS')}, parted AS (SELECT *, {split_of('id')} AS split FROM base)"
+_TEST_SCORES = f"{_SPLIT_SCORES}, scored AS (SELECT * FROM parted WHERE split = 'test')"
+ORACLES["deep_evaluation"] = f"""WITH test AS (WITH {_TEST_SCORES}, {curve()}, {metrics(0.01)} SELECT * FROM metrics),
+  sliced AS (WITH {_SPLIT_SCORES}, lens AS (SELECT *, ({n_words('question1')} + {n_words('question2')}) / 2.0 AS m FROM parted WHERE split = 'test'),
+    scored AS (SELECT CASE WHEN m < 8 THEN 'short' WHEN m <= 15 THEN 'medium' ELSE 'long' END AS slice, y_true, y_prob FROM lens),
+    {curve('slice')}, {metrics(0.01, 'slice')} SELECT * FROM metrics),
+  gap AS (WITH {_SPLIT_SCORES}, scored AS (SELECT * FROM parted), {curve('split')}, {metrics(0.01, 'split')}
+    SELECT {', '.join(f"round(max({n}) FILTER (split = 'train') - max({n}) FILTER (split = 'val'), 4) AS {n}_gap" for n in _RATES)} FROM metrics),
+  errors AS (WITH {_TEST_SCORES}, wrong AS (SELECT *, CASE WHEN y_true = 0 THEN 'false_positive' ELSE 'false_negative' END AS error_type FROM scored
+      WHERE (y_true = 0 AND y_prob >= 0.01) OR (y_true = 1 AND y_prob < 0.01)),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY error_type ORDER BY CASE WHEN y_true = 0 THEN -y_prob ELSE y_prob END, id)::INT AS rank FROM wrong)
+    SELECT * FROM placed WHERE rank <= 5),
+  found AS ({ORACLES['retrieval_quality']})
+  {' UNION ALL '.join([f"SELECT 'overall' AS part, '' AS item, '{m}' AS metric, {m}::DOUBLE AS value FROM test" for m in _OVERALL]
+                      + [f"SELECT 'slices', slice, '{m}', {m}::DOUBLE FROM sliced" for m in _OVERALL]
+                      + [f"SELECT 'gap', '', '{m}_gap', {m}_gap::DOUBLE FROM gap" for m in _RATES]
+                      + [f"SELECT 'errors', error_type || ' ' || rank, '{m}', {m}::DOUBLE FROM errors" for m in ('id', 'y_true', 'y_prob')]
+                      + [f"SELECT 'retrieval', '', '{m}', {m}::DOUBLE FROM found" for m in _RETRIEVAL])}"""

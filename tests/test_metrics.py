@@ -89,6 +89,9 @@ def test_slices_and_gap(spark):
     keyed = df.selectExpr("'test' as split", "question1", "question2", "y_true", "y_prob", "hash(question1, y_prob) as id")
     tables = evaluation.deep_evaluation(keyed, "id")
     assert tables["overall"].first()["n"] == 4 and tables["errors"].count() == 2
+    rows = {(r["part"], r["item"], r["metric"]): r["value"] for r in evaluation.report_rows(tables).collect()}
+    assert {r[0] for r in rows} == {"overall", "slices", "errors", "gap"} and rows["overall", "", "n"] == 4
+    assert sum(v for (part, _, metric), v in rows.items() if part == "slices" and metric == "n") == 4
 
 
 def test_retrieval_worked_example(spark):
