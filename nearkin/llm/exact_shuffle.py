@@ -99,16 +99,18 @@ def shuffle(df: DataFrame, shards: int = SHARDS, seed: int = 42, shard: str = "s
         grouped.withColumn(order, F.row_number().over(local)).join(F.broadcast(dealt), source)
         .withColumn(shard, F.size(F.filter("_bounds", lambda b: b < F.col(order))))
         .select(*columns, shard, place))
+    # slots follow the unsigned order of the hashes, with or without ranges, so the size of the table does not matter
+    unsigned = F.col(order).bitwiseXOR(F.lit(-(1 << 63)))
     ranges = max(1, -(-total // (shards * RANGE_ROWS)))
     ranged = sent.withColumn(order, mixed(2)).withColumn(source, F.floor((F.shiftrightunsigned(order, 32) * ranges) / F.lit(1 << 32)).cast("int"))
     if ranges == 1:
-        inside = Window.partitionBy(shard).orderBy(order, place)
+        inside = Window.partitionBy(shard).orderBy(unsigned, place)
         return ranged.withColumn(slot, F.row_number().over(inside).cast("long") - 1).select(*columns, shard, slot)
     ranged = materialize(ranged, "shuffle-ranges")
     before = Window.partitionBy(shard).orderBy(source).rowsBetween(Window.unboundedPreceding, -1)
     starts = (ranged.groupBy(shard, source).agg(F.count("*").alias("_n"))
               .select(shard, source, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
-    inside = Window.partitionBy(shard, source).orderBy(order, place)
+    inside = Window.partitionBy(shard, source).orderBy(unsigned, place)
     return (ranged.withColumn(slot, F.row_number().over(inside).cast("long") - 1).join(starts, [shard, source])
             .withColumn(slot, F.col(slot) + F.col("_start")).select(*columns, shard, slot))
 

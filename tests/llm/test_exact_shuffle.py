@@ -63,3 +63,10 @@ def test_odd_rows(spark, tmp_path):
 def test_native(spark):
     plan = X.digests(spark.range(10).selectExpr("id AS doc_id", "'a' AS text"))._jdf.queryExecution().toString()
     assert not any(n in plan for n in ("Python", "Arrow", "Pandas"))
+
+
+def test_slots_do_not_depend_on_ranges(spark, monkeypatch):
+    df = spark.range(0, 3000, 1, 4).toDF("id")
+    whole = sorted(map(tuple, X.shuffle(df, 7).collect()))
+    monkeypatch.setattr(X, "RANGE_ROWS", 50)
+    assert sorted(map(tuple, X.shuffle(df, 7).collect())) == whole
