@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -39,8 +40,22 @@ BROADCAST_QUERY_BYTES = 32 << 20
 BROADCAST_QUERY_ROWS = 4096
 # Rows of one side that meet in one scoring group.
 BLOCK_ROWS = 8192
-# Queries scored by one matrix product.
+# Queries and vectors scored by one matrix product.
 QUERY_BLOCK = 512
+CHUNK_ROWS = 1024
+# Shares of the axes after which a bound decides which inner products are finished, and the share of pairs up to
+# which they are finished one by one.
+PREFIXES = (0.25, 0.5, 0.75, 0.875)
+SPARSE_SHARE = 0.125
+# Chunks after which a cut that failed is tried again.
+RETRY_CHUNKS = 16
+# Principal axes come from at most this many rows and bytes of vectors; any axes give the same results. Beyond
+# ``MAX_AXES`` dimensions vectors are searched along the axes they have.
+AXIS_ROWS = 4096
+AXIS_BYTES = 16 << 20
+MAX_AXES = 2048
+# Queries per dimension from which a scan looks for principal axes.
+AXES_FROM = 16
 
 HITS = T.StructType([
     T.StructField("query_id", T.LongType()),
@@ -70,11 +85,11 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def _best_of_block(query_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int,
-                   skip_self: bool) -> pd.DataFrame:
-    """Best ``k`` of every row of ``scores``; ``ids`` ascend, so equal scores go to the lower id."""
+                   skipped: np.ndarray | None) -> pd.DataFrame:
+    """Best ``k`` of every row of ``scores``, without the id it skips; ``ids`` ascend, so equal scores go to the lower id."""
     scores = np.round(scores, RANK_DECIMALS)
-    if skip_self:
-        scores[query_ids[:, None] == ids[None, :]] = -np.inf
+    if skipped is not None:
+        scores[skipped[:, None] == ids[None, :]] = -np.inf
     take = min(k, len(ids))
     kth = np.partition(scores, len(ids) - take, axis=1)[:, len(ids) - take, None]
     better, equal = scores > kth, scores == kth
@@ -84,44 +99,158 @@ def _best_of_block(query_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray, k
     return pd.DataFrame({"query_id": query_ids[rows], "question_id": ids[columns], "score": scores[rows, columns]})
 
 
-def _best_per_query(query_ids: np.ndarray, queries: np.ndarray, vectors: pd.DataFrame, k: int,
+class Wanted(NamedTuple):
+    """How many vectors a query wants, and the axes along which they are compared."""
+
+    k: int
+    axes: np.ndarray | None = None
+
+
+def principal_axes(vectors: DataFrame) -> np.ndarray | None:
+    """An orthogonal matrix whose columns are the directions of ``vectors(id, embedding)``, strongest first.
+
+    Fitted on a bounded sample by hash, since inner products are the same along any axes: they
+    only decide how early a bound is sharp. ``None`` without vectors or beyond ``MAX_AXES``.
+    """
+    head = vectors.select(F.size("embedding").alias("n")).first()
+    if head is None or not 0 < head["n"] <= MAX_AXES:
+        return None
+    rows = max(1, min(AXIS_ROWS, AXIS_BYTES // (8 * head["n"])))
+    sample = _matrix(vectors.select("embedding").orderBy(F.xxhash64("id")).limit(rows).toPandas()["embedding"])
+    return np.ascontiguousarray(np.linalg.eigh(sample.T @ sample)[1][:, ::-1])
+
+
+def _behind(rows: np.ndarray, cut: int) -> np.ndarray:
+    """Length of what lies behind a cut, as a column."""
+    return np.linalg.norm(rows[:, cut:], axis=1, keepdims=True)
+
+
+def _reaching(queries: np.ndarray, vectors: np.ndarray, floors: np.ndarray, cut: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Pairs whose score can reach the query's floor, with their scores; ``None`` if too many can.
+
+    The inner product along the axes before the cut is exact. What the other axes add is at most
+    the product of the lengths behind the cut (Cauchy-Schwarz). One matrix product gives the bound
+    less the floor.
+    """
+    query_rest, vector_rest, floor = _behind(queries, cut), _behind(vectors, cut), floors[:, None]
+    room = np.hstack([queries[:, :cut], query_rest, -floor]) @ np.hstack([vectors[:, :cut], vector_rest, np.ones_like(vector_rest)]).T
+    rows, columns = np.nonzero(room >= -BOUND_SLACK)
+    if len(rows) > SPARSE_SHARE * room.size:
+        return None
+    scores = np.empty(len(rows))
+    for at in range(0, len(rows), CHUNK_ROWS):
+        some = slice(at, at + CHUNK_ROWS)
+        scores[some] = np.einsum("ij,ij->i", queries[rows[some]], vectors[columns[some]])
+    return rows, columns, np.round(scores, RANK_DECIMALS)
+
+
+class _Cuts:
+    """Which cut the next chunk tries: an earlier one while few pairs are left, a later one after a failure.
+
+    Behind the last cut a chunk is multiplied whole. A cut that failed is left alone for some chunks.
+    """
+
+    def __init__(self, width: int) -> None:
+        self.cuts = sorted({int(width * share) for share in PREFIXES} - {0})
+        self.level, self.lowest, self.age = len(self.cuts) // 2, 0, 0
+
+    def next(self) -> int | None:
+        self.age += 1
+        if self.age > RETRY_CHUNKS:
+            self.lowest, self.age = max(0, min(self.lowest, self.level) - 1), 0
+            self.level = min(self.level, max(0, len(self.cuts) - 1))
+        return self.cuts[self.level] if self.level < len(self.cuts) else None
+
+    def learn(self, share: float | None) -> None:
+        if share is None:
+            self.level, self.lowest, self.age = self.level + 1, self.level + 1, 0
+        elif share < SPARSE_SHARE / 8 and self.level > self.lowest:
+            self.level -= 1
+
+
+def best_in_chunks(query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, ids: np.ndarray, vectors: np.ndarray,
+                   k: int, skip_self: bool = False) -> tuple[pd.DataFrame, int]:
+    """Best ``k`` vectors per query among those that reach its floor, and the inner products finished for it.
+
+    ``ids`` ascend. Vectors are met chunk by chunk; the k-th score so far raises the floor for
+    the chunks behind.
+    """
+    floors, cuts = floors.copy(), _Cuts(queries.shape[1])
+    rows, found, scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    finished = 0
+    for at in range(0, len(ids), CHUNK_ROWS):
+        own_ids, own = ids[at:at + CHUNK_ROWS], vectors[at:at + CHUNK_ROWS]
+        reached = None
+        if np.isfinite(floors).all():
+            cut = cuts.next()
+            if cut is not None:
+                reached = _reaching(queries, own, floors, cut)
+                cuts.learn(None if reached is None else len(reached[0]) / (len(queries) * len(own)))
+        if reached is None:
+            finished += len(queries) * len(own)
+            block = _best_of_block(np.arange(len(queries)), own_ids, queries @ own.T, k, query_ids if skip_self else None)
+            new_rows, new_ids, new_scores = (block[c].to_numpy() for c in ("query_id", "question_id", "score"))
+        else:
+            finished += len(reached[0])
+            new_rows, new_ids, new_scores = reached[0], own_ids[reached[1]], reached[2]
+        keep = new_scores >= floors[new_rows]
+        if skip_self:
+            keep &= query_ids[new_rows] != new_ids
+        rows, found, scores = (np.concatenate(p) for p in ((rows, new_rows[keep]), (found, new_ids[keep]), (scores, new_scores[keep])))
+        order = np.lexsort((found, -scores, rows))
+        rows, found, scores = rows[order], found[order], scores[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        rows, found, scores, place = (x[place < k] for x in (rows, found, scores, place))
+        last = place == k - 1
+        floors[rows[last]] = np.maximum(floors[rows[last]], scores[last])
+    return pd.DataFrame({"query_id": query_ids[rows], "question_id": found, "score": scores}), finished
+
+
+def _best_per_query(query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, vectors: pd.DataFrame, wanted: Wanted,
                     skip_self: bool) -> pd.DataFrame:
-    """Best ``k`` rows of a batch of vectors for each query, scored in blocks of queries."""
+    """Best rows of a batch of vectors for each query, scored in blocks of queries."""
     ordered = vectors.sort_values("question_id")
-    ids, right = ordered["question_id"].to_numpy(), _matrix(ordered["embedding"]).T
+    ids, rows = ordered["question_id"].to_numpy(), _matrix(ordered["embedding"])
+    # turning the vectors pays only where enough queries meet them
+    if wanted.axes is not None and len(queries) >= queries.shape[1] == len(wanted.axes):
+        queries, rows = queries @ wanted.axes, rows @ wanted.axes
+    blocks = [slice(at, at + QUERY_BLOCK) for at in range(0, len(query_ids), QUERY_BLOCK)]
     return pd.concat([
-        _best_of_block(query_ids[at:at + QUERY_BLOCK], ids, queries[at:at + QUERY_BLOCK] @ right, k, skip_self)
-        for at in range(0, len(query_ids), QUERY_BLOCK)])
+        best_in_chunks(query_ids[b], queries[b], floors[b], ids, rows, wanted.k, skip_self)[0] for b in blocks])
 
 
-def _scan_with(queries: pd.DataFrame, k: int, skip_self: bool):
-    """Scan of vector batches against a few queries, keeping the best ``k`` per task."""
+def _scan_with(queries: pd.DataFrame, wanted: Wanted, skip_self: bool):
+    """Scan of vector batches against a few queries, keeping the best of each per task."""
     query_ids = queries["query_id"].to_numpy()
     matrix = _matrix(queries["query_embedding"])
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = None
+        best, floors = None, pd.Series(-np.inf, pd.Index(query_ids).unique())
         for batch in batches:
             if batch.empty:
                 continue
-            found = _best_per_query(query_ids, matrix, batch, k, skip_self)
+            found = _best_per_query(query_ids, matrix, floors.reindex(query_ids).to_numpy(), batch, wanted, skip_self)
             both = found if best is None else pd.concat([best, found])
             order = np.lexsort((both["question_id"], -both["score"], both["query_id"]))
             both = both.iloc[order]
-            best = both[both.groupby("query_id").cumcount() < k]
+            place = both.groupby("query_id").cumcount()
+            best = both[place < wanted.k]
+            last = both[place == wanted.k - 1]
+            floors[last["query_id"].to_numpy()] = last["score"].to_numpy()
         if best is not None:
             yield best
 
     return scan
 
 
-def _score_group(k: int):
+def _score_group(wanted: Wanted):
     def score(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or vectors.empty:
             return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "question_id": pd.Series(dtype="int64"),
                                  "score": pd.Series(dtype="float64")})
+        floors = queries["floor"].to_numpy() if "floor" in queries else np.full(len(queries), -np.inf)
         return _best_per_query(
-            queries["query_id"].to_numpy(), _matrix(queries["query_embedding"]), vectors, k, skip_self=False)
+            queries["query_id"].to_numpy(), _matrix(queries["query_embedding"]), floors, vectors, wanted, skip_self=False)
 
     return score
 
@@ -183,9 +312,9 @@ def _per_cell(probes: DataFrame, vectors: DataFrame, scorer, schema: T.StructTyp
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(scorer, schema)
 
 
-def _score_cells(probes: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """Best ``k`` per query of every group of a cell."""
-    return _per_cell(probes, vectors, _score_group(k), HITS)
+def _score_cells(probes: DataFrame, vectors: DataFrame, wanted: Wanted) -> DataFrame:
+    """Best vectors per query of every group of a cell; a column ``floor`` of the probes leaves out lower scores."""
+    return _per_cell(probes, vectors, _score_group(wanted), HITS)
 
 
 def _few_queries(queries: DataFrame) -> pd.DataFrame | None:
@@ -243,7 +372,12 @@ def _scan_few(few: pd.DataFrame, vectors: DataFrame, k: int, skip_self: bool) ->
     named = vectors.select(F.col("id").alias("question_id"), "embedding")
     if few.empty:
         return _ranked(vectors.sparkSession.createDataFrame([], HITS), k)
-    return _ranked(named.mapInPandas(_scan_with(few, k, skip_self), HITS), k)
+    return _ranked(named.mapInPandas(_scan_with(few, Wanted(k, _axes_for(few, vectors)), skip_self), HITS), k)
+
+
+def _axes_for(queries: pd.DataFrame, vectors: DataFrame) -> np.ndarray | None:
+    """Principal axes where there are enough queries to make finding them worth a job."""
+    return principal_axes(vectors) if len(queries) >= AXES_FROM * len(queries["query_embedding"].iloc[0]) else None
 
 
 def cell_bounds(index: VectorIndex) -> DataFrame:
@@ -300,14 +434,17 @@ def knn_by_bounds(queries: DataFrame, index: VectorIndex, k: int = 10, skip_self
     """Exact best ``k`` per query from the cells that can hold them.
 
     The nearest cells are searched first. The k-th score found there is a floor, and of the
-    other cells only those are visited whose bound reaches it.
+    other cells only those are visited whose bound reaches it. Inside a cell, vectors are compared
+    along the principal axes, and a bound after a part of the axes leaves out what cannot reach
+    the floor; this also helps where the data has no clusters.
     """
     distinct, members = _fold_copies(queries)
     wanted = k + 1 if skip_self else k
     named = index.vectors.select(F.col("id").alias("question_id"), "embedding", "cell")
+    best = Wanted(wanted, principal_axes(index.vectors))
     located = materialize(nearest_cells(distinct, "query_embedding", index.centroids, near), "near-cells")
     first = materialize(_ranked_raw(_score_cells(
-        located.select("query_id", "query_embedding", F.explode("cells").alias("cell")), named, wanted), wanted), "near-hits")
+        located.select("query_id", "query_embedding", F.explode("cells").alias("cell")), named, best), wanted), "near-hits")
     floors = first.filter(F.col("rank") == wanted).select("query_id", F.col("score").alias("floor"))
     open_ = located.withColumnRenamed("cells", "done").join(floors, "query_id", "left").withColumn(
         "floor", F.coalesce("floor", F.lit(float("-inf"))))
@@ -315,7 +452,7 @@ def knn_by_bounds(queries: DataFrame, index: VectorIndex, k: int = 10, skip_self
     # stored once: the cells of the queries are counted first and joined afterwards
     further = materialize(probes_by_bounds(open_, bounds, "floor", "done"), "further-cells")
     second = _score_cells(
-        further.select("query_id", "query_embedding", F.explode("cells").alias("cell")), with_packs(named, bounds), wanted)
+        further.select("query_id", "query_embedding", "floor", F.explode("cells").alias("cell")), with_packs(named, bounds), best)
     # packs hold cells that were searched first, too
     hits = first.drop("rank").unionByName(second).groupBy("query_id", "question_id").agg(F.max("score").alias("score"))
     return _hand_out(_ranked(hits, wanted), members, k, skip_self)
@@ -405,7 +542,7 @@ def knn_clustered(queries: DataFrame, index: VectorIndex, k: int = 10, probe: in
     probes = located.select("query_id", "query_embedding", F.explode("cells").alias("cell"))
     named = index.vectors.select(F.col("id").alias("question_id"), "embedding", "cell")
     wanted = k + 1 if skip_self else k
-    return _hand_out(_ranked(_score_cells(probes, named, wanted), wanted), members, k, skip_self)
+    return _hand_out(_ranked(_score_cells(probes, named, Wanted(wanted)), wanted), members, k, skip_self)
 
 
 def corpus_centroid(vectors: DataFrame) -> DataFrame:

@@ -148,3 +148,54 @@ def test_search_is_exact_above_the_probes_of_the_approximate_one(spark, monkeypa
     assert few < many and many >= 0.9
     # vectors without clusters are the worst case for the share of cells that is probed by default
     assert vx.MAX_PROBE < vx.probe_count(150) < 150 and recall(vx.probe_count(150)) >= 0.9
+
+
+def test_bounds_along_the_axes_finish_few_inner_products():
+    rng = np.random.default_rng(21)
+    vectors = rng.normal(size=(6000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    queries, ids = vectors[:400], np.arange(6000)
+    for axes in (np.eye(64), np.linalg.eigh(vectors.T @ vectors)[1][:, ::-1]):
+        found, finished = vx.best_in_chunks(ids[:400], queries @ axes, np.full(400, -np.inf), ids, vectors @ axes, 10, skip_self=True)
+        scores = np.round(queries @ vectors.T, 9)
+        scores[np.arange(400), np.arange(400)] = -9
+        best = np.argsort(-scores, axis=1, kind="stable")[:, :10]
+        assert found["question_id"].to_numpy().reshape(400, 10).tolist() == best.tolist()
+        # uniform directions are the worst case; the first chunk has no floor yet
+        assert finished < queries.shape[0] * len(ids) / 2
+    # vectors near a plane are decided by the first quarter of their principal axes
+    flat = rng.normal(size=(6000, 8)) @ rng.normal(size=(8, 64)) + 0.01 * rng.normal(size=(6000, 64))
+    flat /= np.linalg.norm(flat, axis=1, keepdims=True)
+    axes = np.linalg.eigh(flat.T @ flat)[1][:, ::-1]
+    finished = vx.best_in_chunks(ids[:400], flat[:400] @ axes, np.full(400, -np.inf), ids, flat @ axes, 10)[1]
+    assert finished - 400 * vx.CHUNK_ROWS < 0.03 * 400 * len(ids)
+
+
+def test_floors_ties_and_copies_in_chunks(monkeypatch):
+    monkeypatch.setattr(vx, "CHUNK_ROWS", 16)
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(-2, 3, size=(200, 6)).astype(float)  # many equal scores
+    vectors[120:] = vectors[0]
+    ids = np.arange(200) * 3
+    scores = vectors[:50] @ vectors.T
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :7]
+    found, _ = vx.best_in_chunks(ids[:50], vectors[:50], np.full(50, -np.inf), ids, vectors, 7)
+    assert found["question_id"].to_numpy().reshape(50, 7).tolist() == (best * 3).tolist()
+    # rows below a floor are left out, rows on it stay
+    floors = np.sort(scores, axis=1)[:, -3]
+    found, _ = vx.best_in_chunks(ids[:50], vectors[:50], floors, ids, vectors, 7)
+    for q in range(50):
+        own = found[found["query_id"] == 3 * q]
+        at_floor = [int(3 * i) for i in best[q] if scores[q, i] >= floors[q]]
+        assert own["question_id"].tolist()[:len(at_floor)] == at_floor
+
+
+def test_principal_axes_are_orthogonal_and_bounded(spark, data, monkeypatch):
+    df, unit = data
+    axes = vx.principal_axes(df)
+    assert np.allclose(axes.T @ axes, np.eye(8)) and axes.shape == (8, 8)
+    energy = ((unit @ axes) ** 2).sum(axis=0)
+    assert (np.diff(energy) <= 1e-9).all()
+    monkeypatch.setattr(vx, "MAX_AXES", 4)
+    assert vx.principal_axes(df) is None
+    assert vx.principal_axes(df.limit(0)) is None
