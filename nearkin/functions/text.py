@@ -139,29 +139,89 @@ def bm25_tokens(text: Column) -> Column:
     )
 
 
-def _accent_table() -> tuple[str, str]:
-    """Accented letters of the basic plane and their base letters, by Unicode decomposition."""
-    accented, bases, marks = [], [], []
-    for code in range(0x80, 0x10000):
-        char = chr(code)
-        if 0xD800 <= code < 0xE000:
-            continue
-        if unicodedata.combining(char):
-            marks.append(char)
-            continue
+# The Hangul syllables and the first of their leading, middle and trailing letters.
+HANGUL, HANGUL_END = 0xAC00, 0xD7A3
+LEADING, MIDDLE, TRAILING = (0x1100, 19), (0x1161, 21), (0x11A8, 27)
+# Code points from here on have no compatibility decomposition.
+DECOMPOSED_END = 0x2FA20
+_PAGE = 256
+
+
+def _decompositions() -> tuple[dict[str, str], str]:
+    """What each character becomes without marks in compatibility decomposition, and the marks; Hangul is left to a rule."""
+    becomes, marks = {}, []
+    for char in map(chr, (*range(0x80, 0xAC00), *range(0xE000, DECOMPOSED_END))):
         base = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-        if len(base) == 1 and base != char and unicodedata.category(char)[0] in "LN":
-            accented.append(char)
-            bases.append(base)
-    return "".join(accented + marks), "".join(bases)
+        if not base:
+            marks.append(char)
+        elif base != char:
+            becomes[char] = base
+    return becomes, "".join(marks)
+
+
+def _class_of(codes: list[int]) -> str:
+    """A regular expression class of code points, as ranges."""
+    ranges: list[list[int]] = []
+    for code in codes:
+        if ranges and code == ranges[-1][1] + 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "[" + "".join(f"\\x{{{low:x}}}-\\x{{{high:x}}}" for low, high in ranges) + "]"
+
+
+def _pages(longer: dict[str, str]) -> tuple[list[int], list[str]]:
+    """Where the page of each code point begins in a list of values, and that list; page 0 is empty."""
+    starts, values = [0] * (DECOMPOSED_END // _PAGE + 1), [""] * _PAGE
+    for char, value in sorted(longer.items()):
+        page, place = divmod(ord(char), _PAGE)
+        if not starts[page]:
+            starts[page] = len(values)
+            values += [""] * _PAGE
+        values[starts[page] + place] = value
+    return starts, values
+
 
+_BECOMES, _MARKS = _decompositions()
+_ACCENTED = "".join(c for c, base in _BECOMES.items() if len(base) == 1) + _MARKS
+_BASES = "".join(base for base in _BECOMES.values() if len(base) == 1)
+_LONGER = {c: base for c, base in _BECOMES.items() if len(base) > 1}
+_LONG = _class_of(sorted([*map(ord, _LONGER), *range(HANGUL, HANGUL_END + 1)]))
+_STARTS, _VALUES = _pages(_LONGER)
 
-_ACCENTED, _BASES = _accent_table()
+
+def _constant(values: list[str]) -> Column:
+    """A constant array of texts, folded by the optimizer."""
+    return F.split(F.lit("\u0001".join(values)), "\u0001", -1)
+
+
+def _decomposed(char: Column) -> Column:
+    """One character as the characters of its decomposition, by its place in a table or the rule for Hangul."""
+    code = F.ascii(char)
+    start = F.get(_constant([str(x) for x in _STARTS]).cast("array<int>"), F.shiftright(code, 8))
+    listed = F.get(_constant(_VALUES), start + code.bitwiseAND(_PAGE - 1))
+
+    def letters(of: tuple[int, int]) -> list[str]:
+        return [chr(of[0] + i) for i in range(of[1])]
+
+    syllable = code - HANGUL
+    tails = TRAILING[1] + 1
+    parts = ((LEADING, F.floor(syllable / (MIDDLE[1] * tails))), (MIDDLE, F.floor(syllable / tails) % MIDDLE[1]))
+    hangul = F.concat(
+        *[F.get(_constant(letters(of)), at.cast("int")) for of, at in parts],
+        F.get(_constant(["", *letters(TRAILING)]), syllable % tails))
+    return F.when(code.between(HANGUL, HANGUL_END), hangul).otherwise(F.coalesce(F.nullif(listed, F.lit("")), char))
 
 
 def strip_accents(text: Column) -> Column:
-    """Replace accented letters by their base letter and drop combining marks."""
-    return F.when(text.rlike(r"[^\x00-\x7f]"), F.translate(text, _ACCENTED, _BASES)).otherwise(text)
+    """Compatibility decomposition without combining marks.
+
+    Ligatures, fractions, Hangul and other characters that become several are taken apart only in
+    texts that hold one; the rest is one translation.
+    """
+    apart = F.concat_ws("", F.transform(F.split(text, ""), _decomposed))
+    whole = F.when(text.rlike(_LONG), apart).otherwise(text)
+    return F.when(text.rlike(r"[^\x00-\x7f]"), F.translate(whole, _ACCENTED, _BASES)).otherwise(text)
 
 
 def bigrams(tokens: Column) -> Column:

@@ -87,3 +87,24 @@ def test_classical_edge_cases(spark):
 def test_bm25_tokens_keep_codes(spark):
     tokens = run(spark, ["Fault 0xC0FFEE11 from shop.load_orders"], tx.bm25_tokens)[0]
     assert "0xc0ffee11" in tokens and "load_orders" in tokens
+
+
+def test_strip_accents_over_all_code_points(spark):
+    """Every code point between two letters, and a mark behind it, against the standard library."""
+    codes = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    width = 64
+    texts = [" ".join(f"a{chr(c)}́b" for c in codes[at:at + width]) for at in range(0, len(codes), width)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    wrong = []
+    for t, got in df.select("text", tx.strip_accents(F.col("text"))).collect():
+        wanted = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+        if got != wanted:
+            wrong += [w for w, x, y in zip(t.split(" "), got.split(" "), wanted.split(" ")) if x != y]
+    assert not wrong, (len(wrong), [hex(ord(w[1])) for w in wrong[:20] if len(w) > 1])
+
+
+def test_tfidf_terms_take_characters_apart(spark):
+    df = spark.createDataFrame([("ﬁne ½ cup, ①st 한글 \U0001d42bun",), (None,), ("",)], "text string")
+    rows = [r[0] for r in df.select(tx.tfidf_terms(F.col("text"))).collect()]
+    assert rows[0][0] == "fine"
+    assert "1st" in rows[0] and unicodedata.normalize("NFKD", "한글") in rows[0] and "run" in rows[0] and rows[1] == rows[2] == []
