@@ -23,7 +23,7 @@ from nearkin.operators import (
 from nearkin.plans import evaluation, prepare, search, training
 from nearkin.schemas import FEATURES
 from nearkin.session import materialize, scratch_path, spread
-from nearkin.sources import tables
+from nearkin.sources import segments, tables
 from nearkin.streaming import batches, ingest, monitoring, reuse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -369,6 +369,40 @@ def _linked_queries(spark, sf) -> DataFrame:
     return benchmark_queries(spark, sf).join(vector_queries(spark, sf), "query_id")
 
 
+def _grown_keywords(spark: SparkSession, sf: str) -> str:
+    """A keyword index grown by three batches, whose live rows are the documents.
+
+    With the first come doubled texts of what the second replaces, and benchmark items that the third deletes.
+    """
+    root = scratch_path(spark, "segments")
+    docs = documents(spark, sf).withColumn("question_text", F.coalesce("question_text", F.lit("")))
+    third = F.pmod(F.xxhash64("question_id"), F.lit(3))
+    stale = docs.filter(third == 1).withColumn("question_text", F.concat_ws(" ", "question_text", "question_text"))
+    extra = table(spark, sf, "benchmark").select((F.col("item_id") + NEW_ID_BASE).alias("question_id"), F.col("text").alias("question_text"))
+    gone = extra.withColumn("question_text", F.lit(None).cast("string"))
+    for number, batch in enumerate((
+            docs.filter(third == 0).unionByName(stale).unionByName(extra), docs.filter(third == 1), docs.filter(third == 2).unionByName(gone))):
+        segments.append(batch, number, root)
+    return root
+
+
+@query
+def bm25_search_segments(spark, sf):
+    """Keyword search over segments with replaced and deleted rows equals that over the documents."""
+    return bm25.search(segments.load(spark, _grown_keywords(spark, sf)), benchmark_queries(spark, sf), 10)
+
+
+@query
+def bm25_search_merged(spark, sf):
+    """The same after the segments were merged; the segments, their live rows and those written come with the hits."""
+    root = _grown_keywords(spark, sf)
+    segments.merge(spark, root, list(segments.read_state(spark, root).segments))
+    state = segments.read_state(spark, root)
+    hits = bm25.search(segments.load(spark, root), benchmark_queries(spark, sf), 10)
+    return hits.withColumns({
+        "segments": F.lit(len(state.segments)), "live_rows": F.lit(state.segments[0].n), "written_rows": F.lit(state.segments[0].written)})
+
+
 @query
 def rrf_fusion(spark, sf):
     linked = _linked_queries(spark, sf)

@@ -342,6 +342,9 @@ ORACLES: dict[str, str] = {
     "bm25_postings": f"WITH {POSTINGS} SELECT term, question_id, tf, doc_len FROM postings JOIN lengths USING (question_id)",
     "bm25_terms": f"WITH {POSTINGS} SELECT term, df, round(idf, 6) AS idf FROM idf",
     "bm25_search": f"WITH {bm25('SELECT item_id AS query_id, text AS query_text FROM benchmark')} SELECT query_id, rank, question_id, round(score, 4) AS score FROM keyword_hits",
+    "bm25_search_segments": f"WITH {bm25('SELECT item_id AS query_id, text AS query_text FROM benchmark')} SELECT query_id, rank, question_id, round(score, 4) AS score FROM keyword_hits",
+    "bm25_search_merged": f"""WITH {bm25('SELECT item_id AS query_id, text AS query_text FROM benchmark')}, d AS (SELECT count(*) AS n FROM documents)
+  SELECT query_id, rank, question_id, round(score, 4) AS score, 1 AS segments, n AS live_rows, n AS written_rows FROM keyword_hits, d""",
     "bm25_search_stored": f"WITH {bm25('SELECT item_id AS query_id, text AS query_text FROM benchmark')} SELECT query_id, rank, question_id, round(score, 4) AS score FROM keyword_hits",
     "bm25_search_turns": f"""WITH {bm25("SELECT conv_id * 1000 + turn AS query_id, text AS query_text FROM conversations WHERE role = 'user'")}
       SELECT query_id, rank, question_id, round(score, 4) AS score FROM keyword_hits""",

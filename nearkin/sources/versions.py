@@ -19,28 +19,28 @@ from pyspark.sql import functions as F
 from nearkin.operators.vectors import VectorIndex, corpus_centroid
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
+def children(spark: SparkSession, path: str) -> list[str]:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return [s.getPath().getName() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
 
 
-def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    return sorted(int(m.group(1)) for name in _children(spark, path) if (m := re.fullmatch(rf"{prefix}=(\d+)", name)))
+def numbers_of(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    return sorted(int(m.group(1)) for name in children(spark, path) if (m := re.fullmatch(rf"{prefix}=(\d+)", name)))
 
 
-def _complete(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    return [n for n in _numbers(spark, path, prefix) if "_SUCCESS" in _children(spark, f"{path}/{prefix}={n}/manifest")]
+def complete_parts(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    return [n for n in numbers_of(spark, path, prefix) if "_SUCCESS" in children(spark, f"{path}/{prefix}={n}/manifest")]
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Numbers of the complete versions."""
-    return _complete(spark, root, "v")
+    return complete_parts(spark, root, "v")
 
 
 def next_version(spark: SparkSession, root: str) -> int:
     """Above every folder present, complete or not."""
-    return max(_numbers(spark, root, "v"), default=0) + 1
+    return max(numbers_of(spark, root, "v"), default=0) + 1
 
 
 def _write_vectors(vectors: DataFrame, path: str) -> None:
@@ -70,7 +70,7 @@ def write_addition(vectors: DataFrame, questions: DataFrame, root: str, n: int)
     """Add rows to the newest version, which then holds ``n`` vectors; returns the addition's number."""
     spark = questions.sparkSession
     base = f"{root}/v={versions(spark, root)[-1]}"
-    number = max(_numbers(spark, base, "add"), default=0) + 1
+    number = max(numbers_of(spark, base, "add"), default=0) + 1
     _write_vectors(vectors, f"{base}/add={number}/vectors")
     questions.write.parquet(f"{base}/add={number}/questions")
     spark.range(1).select(F.lit(n).cast("long").alias("n"), F.current_timestamp().alias("added_at")).coalesce(1).write.parquet(
@@ -100,7 +100,7 @@ def read_version(spark: SparkSession, root: str, number: int | None = None) -> t
     if not complete:
         raise FileNotFoundError(f"no complete version below {root}")
     base = f"{root}/v={number or complete[-1]}"
-    additions = _complete(spark, base, "add")
+    additions = complete_parts(spark, base, "add")
     manifest = spark.read.parquet(f"{base}/manifest")
     if additions:
         n = spark.read.parquet(f"{base}/add={additions[-1]}/manifest").first()["n"]

@@ -14,6 +14,7 @@ from nearkin.operators.ranking import dense_index
 from nearkin.operators.requests import accepted, quarantined, validate_ingest
 from nearkin.operators.vectors import VectorIndex, assign_cells
 from nearkin.session import materialize
+from nearkin.sources import segments
 from nearkin.streaming.batches import run_stream, write_batch
 
 
@@ -22,7 +23,8 @@ class IngestTarget:
     """Where ingested rows go and where their numbering starts.
 
     ``questions``, ``vectors``, ``rejects`` and ``ledger`` below ``root`` have one partition
-    per micro-batch. ``first_id`` and ``first_vec_id`` follow the base tables.
+    per micro-batch. ``first_id`` and ``first_vec_id`` follow the base tables. ``keywords`` is the
+    folder of a segmented keyword index that grows with every micro-batch.
     """
 
     root: str
@@ -30,13 +32,15 @@ class IngestTarget:
     encoder: Encoder
     first_id: int = 1
     first_vec_id: int = 0
+    keywords: str | None = None
 
     @classmethod
-    def after(cls, questions: DataFrame, root: str, centroids: DataFrame, encoder: Encoder) -> "IngestTarget":
+    def after(cls, questions: DataFrame, root: str, centroids: DataFrame, encoder: Encoder,
+              keywords: str | None = None) -> "IngestTarget":
         last = questions.agg(F.max("question_id").alias("id"), F.count("vec_id").alias("n"),
                              F.max("vec_id").alias("vec")).first()
         next_vec = max(last["n"] or 0, -1 if last["vec"] is None else last["vec"] + 1)
-        return cls(root, centroids, encoder, (last["id"] or 0) + 1, next_vec)
+        return cls(root, centroids, encoder, (last["id"] or 0) + 1, next_vec, keywords)
 
 
 def _start(spark: SparkSession, target: IngestTarget, batch_id: int) -> tuple[int, int]:
@@ -73,6 +77,9 @@ def ingest_batch(batch: DataFrame, batch_id: int, target: IngestTarget, order_by
     write_batch(vectors, target.root, "vectors", batch_id)
     write_batch(encoded.select("question_id", "question_text", "vec_id", F.lit("ingest").alias("source")),
                 target.root, "questions", batch_id)
+    if target.keywords:
+        segments.append(encoded.select("question_id", "question_text"), batch_id, target.keywords)
+        segments.merge_due(spark, target.keywords)
     ledger = encoded.agg(
         (F.count("*") + next_id).alias("next_id"), (F.count("*") + next_vec).alias("next_vec_id"))
     write_batch(ledger.coalesce(1), target.root, "ledger", batch_id)
