@@ -27,3 +27,8 @@ def folder_tables(spark, tmp_path):
 
 def test_ingest_reads_a_table_of_part_files(spark, folder_tables):
     assert catalog.ingest_stream(spark, folder_tables).count() == 40
+
+
+def test_reuse_reads_a_table_of_part_files(spark, folder_tables):
+    streamed, whole = (q(spark, folder_tables).orderBy("query_id").collect() for q in (catalog.query_reuse_stream, catalog.query_reuse))
+    assert len(streamed) == 24 and streamed == whole
