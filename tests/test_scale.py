@@ -32,3 +32,16 @@ def test_ingest_reads_a_table_of_part_files(spark, folder_tables):
 def test_reuse_reads_a_table_of_part_files(spark, folder_tables):
     streamed, whole = (q(spark, folder_tables).orderBy("query_id").collect() for q in (catalog.query_reuse_stream, catalog.query_reuse))
     assert len(streamed) == 24 and streamed == whole
+
+
+@pytest.mark.parametrize("wanted", [1, 4, 20])
+def test_cells_of_a_batch_are_scored_in_slices(spark, monkeypatch, wanted):
+    centroids = np.round(_unit(30, 3), 1).repeat(2, axis=0)  # equal cells: the lower number goes first
+    table = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centroids)], "cell int, centroid array<double>")
+    rows = np.round(_unit(50, 3, 6), 1)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "id long, embedding array<float>").coalesce(1)
+    monkeypatch.setattr(vx, "SCORE_BYTES", 8 * 60 * 7)
+    scores = np.round(rows.astype("float64") @ centroids.astype("float64").T, 9)
+    found = {r["id"]: r["cells"] for r in vx.nearest_cells(df, "embedding", table, wanted).collect()}
+    assert [found[i] for i in range(50)] == np.argsort(-scores, axis=1, kind="stable")[:, :wanted].tolist()
+    assert [s.stop - s.start for s in vx._score_slices(50, 60)] == [7] * 8
