@@ -45,3 +45,14 @@ def test_cells_of_a_batch_are_scored_in_slices(spark, monkeypatch, wanted):
     found = {r["id"]: r["cells"] for r in vx.nearest_cells(df, "embedding", table, wanted).collect()}
     assert [found[i] for i in range(50)] == np.argsort(-scores, axis=1, kind="stable")[:, :wanted].tolist()
     assert [s.stop - s.start for s in vx._score_slices(50, 60)] == [7] * 8
+
+
+def test_tables_are_read_in_small_arrow_batches(spark, sf):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "10000")
+        catalog.html_strip_pages(spark, sf)
+        assert int(spark.conf.get(setting)) == 2000
+    finally:
+        spark.conf.set(setting, before)
