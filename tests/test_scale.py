@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from nearkin.operators import features
 from nearkin.operators import vectors as vx
 from nearkin.plans import catalog
 
@@ -56,3 +57,24 @@ def test_tables_are_read_in_small_arrow_batches(spark, sf):
         assert int(spark.conf.get(setting)) == 2000
     finally:
         spark.conf.set(setting, before)
+
+
+def test_word_vectors_beyond_the_broadcast_bound(spark, monkeypatch):
+    pairs = spark.createDataFrame(
+        [(i, f"a{i % 7} b{i % 5} common a{i % 7} unknown", f"b{i % 3} common c{i}" if i % 9 else "nothing known") for i in range(60)] + [(3, "a1 a2", "b1")],
+        "pair_id long, question1 string, question2 string")
+    words = [f"{k}{i}" for k in "ab" for i in range(7)] + ["common", "common"]  # a word given twice counts twice
+    table = spark.createDataFrame([(w, v.tolist()) for w, v in zip(words, _unit(len(words), 5))], "word string, vector array<float>")
+
+    def cosines():
+        found = features.word_vector_cosine(pairs, "pair_id", "question1", "question2", table)
+        return sorted((r[0], round(r[1], 9)) for r in found.collect())
+
+    shipped = cosines()
+    monkeypatch.setattr(features, "BROADCAST_WORDS", 3)
+    for group, chunk in ((1 << 21, 1 << 15), (40, 7)):
+        monkeypatch.setattr(features, "GROUP_WORDS", group)
+        monkeypatch.setattr(features, "CHUNK_WORDS", chunk)
+        assert cosines() == shipped
+    plan = features.word_vector_cosine(pairs, "pair_id", "question1", "question2", table)._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInPandas" in plan
