@@ -58,10 +58,10 @@ def jaccard_by_class(pairs: DataFrame, q1: str, q2: str, label: str = "is_duplic
 
 def top_bigrams(pairs: DataFrame, q1: str, q2: str, label: str = "is_duplicate", k: int = 15) -> DataFrame:
     """Most frequent word pairs per label; stop words leave before pairs are formed."""
-    stop = F.array(*[F.lit(w) for w in StopWordsRemover.loadDefaultStopWords("english")])
+    stop = StopWordsRemover.loadDefaultStopWords("english")
     texts = pairs.select(label, F.explode(F.array(q1, q2)).alias("text"))
     tokens = F.regexp_extract_all(F.lower("text"), F.lit(f"({WORD}{{2,}})"), F.lit(1))
     grams = texts.select(label, F.explode(
-        let(F.filter(tokens, lambda t: ~F.array_contains(stop, t)), bigrams)).alias("bigram"))
+        let(F.filter(tokens, lambda t: ~t.isin(stop)), bigrams)).alias("bigram"))
     counts = grams.groupBy(label, "bigram").agg(F.count("*").alias("n"))
     return top_k(counts, [label], "n", k, ["bigram"])
