@@ -1,10 +1,13 @@
 """Steps whose memory, time or input must not depend on the size or layout of the tables."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from nearkin.operators import features
+from nearkin.functions import text as tx
+from nearkin.operators import explore, features
 from nearkin.operators import vectors as vx
 from nearkin.plans import catalog
 
@@ -78,3 +81,31 @@ def test_word_vectors_beyond_the_broadcast_bound(spark, monkeypatch):
         assert cosines() == shipped
     plan = features.word_vector_cosine(pairs, "pair_id", "question1", "question2", table)._jdf.queryExecution().toString()
     assert "FlatMapCoGroupsInPandas" in plan
+
+
+def test_stop_words_are_looked_up_in_a_set(spark):
+    pairs = spark.createDataFrame([(1, "the quick the fox", "quick a fox jumps")], "is_duplicate int, question1 string, question2 string")
+    found = explore.top_bigrams(pairs, "question1", "question2")
+    assert [(r["bigram"], r["n"]) for r in found.orderBy("rank").collect()] == [("quick fox", 2), ("fox jumps", 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "INSET" in plan.upper() and "array_contains" not in plan
+
+
+def test_few_ranges_hold_all_characters_that_are_taken_apart():
+    ranges = [(int(a, 16), int(b, 16)) for a, b in re.findall(r"\\x\{(\w+)\}-\\x\{(\w+)\}", tx._MAYBE_LONG)]
+    assert all(any(a <= code <= b for a, b in ranges) for code in tx._LONG_CODES)
+    assert not any(a <= ord(c) <= b for a, b in ranges for c in "azéüßñøÿş“’")
+
+
+@pytest.mark.parametrize("zeros", [1, 30, 100])
+def test_clustering_takes_vectors_of_length_zero(spark, zeros):
+    unit = _unit(100, 4)
+    unit[100 - zeros:] = 0
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(unit)], "id long, embedding array<float>")
+    index = vx.build_vector_index(df, cells=5)
+    assert index.vectors.count() == 100 and index.vectors.filter("cell IS NULL").count() == 0
+    queries = df.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_embedding"))
+    scores = np.round(unit.astype("float64") @ unit.astype("float64").T, 9)
+    np.fill_diagonal(scores, -2)
+    found = {r["query_id"]: r["question_id"] for r in vx.knn_by_bounds(queries, index, 1, skip_self=True).collect()}
+    assert [found[i] for i in range(100)] == scores.argmax(axis=1).tolist()
