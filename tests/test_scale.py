@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nearkin.functions import text as tx
-from nearkin.operators import explore, features
+from nearkin.operators import bm25, explore, features
 from nearkin.operators import vectors as vx
 from nearkin.plans import catalog
 
@@ -109,3 +109,17 @@ def test_clustering_takes_vectors_of_length_zero(spark, zeros):
     np.fill_diagonal(scores, -2)
     found = {r["query_id"]: r["question_id"] for r in vx.knn_by_bounds(queries, index, 1, skip_self=True).collect()}
     assert [found[i] for i in range(100)] == scores.argmax(axis=1).tolist()
+
+
+def test_many_query_terms_are_searched_in_rounds(spark, monkeypatch):
+    """As many rounds as the query terms need, each against the packed shards, equal to one search with all."""
+    rng = np.random.default_rng(3)
+    docs = spark.createDataFrame([(i, " ".join(f"w{x}" for x in rng.integers(0, 40, 12))) for i in range(300)], "question_id long, question_text string")
+    asked = spark.createDataFrame([(i, " ".join(f"w{x}" for x in rng.integers(0, 50, 4))) for i in range(30)], "query_id long, query_text string")
+    index = bm25.build_index(docs)
+    whole = bm25.search(index, asked, 5).orderBy("query_id", "rank").collect()
+    rounds, search = [], bm25.block_max.search
+    monkeypatch.setattr(bm25.block_max, "search", lambda shards, queries, k: rounds.append(len(queries)) or search(shards, queries, k))
+    monkeypatch.setattr(bm25, "BROADCAST_QUERY_TERMS", 40)
+    assert bm25.search(index, asked, 5).orderBy("query_id", "rank").collect() == whole
+    assert len(rounds) > 1 and sum(rounds) == 30 and max(rounds) < 30
