@@ -123,3 +123,34 @@ def test_many_query_terms_are_searched_in_rounds(spark, monkeypatch):
     monkeypatch.setattr(bm25, "BROADCAST_QUERY_TERMS", 40)
     assert bm25.search(index, asked, 5).orderBy("query_id", "rank").collect() == whole
     assert len(rounds) > 1 and sum(rounds) == 30 and max(rounds) < 30
+
+
+def test_very_many_cells_come_from_two_levels_and_probes_from_packs(spark, monkeypatch):
+    """No clustering beyond the bound, copies and zeros included, and hits equal to those of the probed cells by hand."""
+    rows = np.round(np.concatenate([_unit(240, 4), _unit(1, 4, 9).repeat(60, axis=0), np.zeros((2, 4))]), 3).astype("float64")
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "id long, embedding array<double>")
+    asked, kmeans = [], vx.KMeans
+    monkeypatch.setattr(vx, "KMeans", lambda k, **options: asked.append(k) or kmeans(k=k, **options))
+    monkeypatch.setattr(vx, "ONE_LEVEL_CELLS", 12)
+    monkeypatch.setattr(vx, "BLOCK_ROWS", 50)  # the copies take more than one block
+    monkeypatch.setattr(vx, "PROBED_ROWS", 100)
+    index = vx.build_vector_index(df, cells=100)
+    centroids = np.array([r["centroid"] for r in index.centroids.orderBy("cell").collect()])
+    cells = np.array([r["cell"] for r in index.vectors.orderBy("id").collect()])
+    assert max(asked) <= 12 < 50 < len(centroids) and len(cells) == len(rows)
+    assert sorted(set(cells)) == list(range(len(centroids)))
+    for cell, centroid in enumerate(centroids):
+        mean = np.sum([v / np.linalg.norm(v) for v in rows[cells == cell] if v.any()] or [np.zeros(4)], axis=0)
+        assert np.allclose(centroid, mean / (np.linalg.norm(mean) or 1.0))
+    queries = df.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_embedding"))
+    monkeypatch.setattr(vx, "nearest_cells", None)  # queries are not copied to each cell
+    found = {}
+    for r in vx.knn_clustered(queries, index, 5, probe=20).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["question_id"], r["score"]))
+    near = np.argsort(-np.round(rows @ centroids.T, 9), axis=1, kind="stable")[:, :20]
+    scores = np.round(rows @ rows.T, 9)
+    for q in range(len(rows)):
+        inside = np.flatnonzero(np.isin(cells, near[q]))
+        best = inside[np.lexsort((inside, -scores[q, inside]))][:5]
+        assert [i for i, _ in found[q]] == best.tolist()
+        assert np.allclose([s for _, s in found[q]], scores[q, best], atol=1e-4)
