@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from nearkin.functions.similarity import jaccard
-from nearkin.functions.text import CLEANERS, NON_WS, clean_transformer, is_blank, strip, word_count
+from nearkin.functions.text import (
+    CLEANERS, NON_WS, classical_of, clean_transformer, is_blank, plain_text, strip, transformer_of, word_count,
+)
 from nearkin.operators.ranking import with_row_index
 
 
@@ -105,8 +107,15 @@ def apply_cleaning(pairs: DataFrame, mode: str = "transformer", dropped: Observa
 
 
 def clean_pairs(pairs: DataFrame) -> DataFrame:
-    """Both cleaning modes; a row empty in either mode is dropped."""
-    return apply_cleaning(apply_cleaning(pairs, "classical"), "transformer")
+    """Both cleaning modes; a row empty in either mode is dropped. Markup and URLs are removed once for both."""
+    # generators keep the optimizer from cleaning again wherever a result is used
+    plain = pairs.select("*", F.inline(F.array(F.struct(
+        plain_text(F.col("question1")).alias("_plain1"), plain_text(F.col("question2")).alias("_plain2")))))
+    a, b = F.col("_plain1"), F.col("_plain2")
+    cleaned = plain.select(*pairs.columns, F.inline(F.array(F.struct(
+        classical_of(a).alias("q1_classical"), classical_of(b).alias("q2_classical"),
+        transformer_of(a).alias("q1_transformer"), transformer_of(b).alias("q2_transformer")))))
+    return cleaned.filter((F.col("q1_classical") != "") & (F.col("q2_classical") != "") & (F.col("q1_transformer") != "") & (F.col("q2_transformer") != ""))
 
 
 def clean_corpus(corpus: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nearkin.functions import text as tx
-from nearkin.operators import bm25, explore, features
+from nearkin.operators import bm25, corpus, explore, features
 from nearkin.operators import vectors as vx
 from nearkin.plans import catalog
 
@@ -154,3 +154,18 @@ def test_very_many_cells_come_from_two_levels_and_probes_from_packs(spark, monke
         best = inside[np.lexsort((inside, -scores[q, inside]))][:5]
         assert [i for i, _ in found[q]] == best.tolist()
         assert np.allclose([s for _, s in found[q]], scores[q, best], atol=1e-4)
+
+
+def test_markup_is_removed_once_for_both_cleanings(spark):
+    """Two removals for two sides, and the same words as punctuation first and white space afterwards, for any character."""
+    rng = np.random.default_rng(4)
+    codes = [c for c in [*range(1, 0x3100), 0xFEFF, 0x10400, 0x1D7D8, 0x1F600] if not 0xD800 <= c < 0xE000]
+    texts = ["".join("aB " [x % 3] + chr(c) + " " * (x % 4) for c, x in zip(codes[i::40], rng.integers(0, 12, len(codes)))) for i in range(40)]
+    texts += ["", "  ", "it's <b>won't</b> &amp; https://x.y z’s", "a`ll don't", None]
+    pairs = spark.createDataFrame([(i, t, "Who's <i>there</i>?") for i, t in enumerate(texts)], "n int, question1 string, question2 string")
+    cleaned = corpus.clean_pairs(pairs)
+    assert cleaned._jdf.queryExecution().optimizedPlan().toString().count(tx.TAG) == 2
+    text = tx.expand_contractions(tx.remove_urls(tx.remove_html(F.col("question1"))))
+    words = F.coalesce(tx.collapse(F.regexp_replace(F.lower(text), tx.NON_WORD, " ")), F.lit(""))
+    expected = pairs.select("n", words.alias("w")).filter("w != ''").orderBy("n").collect()
+    assert [(r["n"], r["q1_classical"]) for r in cleaned.orderBy("n").collect()] == [tuple(r) for r in expected]
