@@ -123,6 +123,11 @@ def test_many_query_terms_are_searched_in_rounds(spark, monkeypatch):
     monkeypatch.setattr(bm25, "BROADCAST_QUERY_TERMS", 40)
     assert bm25.search(index, asked, 5).orderBy("query_id", "rank").collect() == whole
     assert len(rounds) > 1 and sum(rounds) == 30 and max(rounds) < 30
+    # neither side needs ids, and nothing may be found
+    nameless = bm25.build_index(docs.limit(20).unionByName(spark.createDataFrame([(None, "zz zz w1")], docs.schema)))
+    lost = spark.createDataFrame([(None, "zz zz"), (7, "zz")] + [(8, f"y{i}") for i in range(50)], asked.schema)
+    assert [(r["query_id"], r["question_id"]) for r in bm25.search(nameless, lost, 5).orderBy("query_id").collect()] == [(None, None), (7, None)]
+    assert bm25.search(nameless, lost.filter("query_id = 8"), 5).count() == 0
 
 
 def test_very_many_cells_come_from_two_levels_and_probes_from_packs(spark, monkeypatch):
