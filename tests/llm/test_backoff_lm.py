@@ -8,6 +8,7 @@ import pytest
 from helpers import empty, odd_documents, prose
 
 from nearkin.llm import backoff_lm as B
+from nearkin.llm import queries
 from nearkin.llm.common import id_remainder
 
 
@@ -101,3 +102,63 @@ def test_spelling_is_a_distribution():
         frontier = [w + bytes([b]) for w in frontier for b in b"abc"]
         total += (10 ** automaton.spell(frontier)).sum()
     assert 0.5 < total < 1
+
+
+class PlainPairs(Plain):
+    """The model whose states are words, from its definition."""
+
+    def __init__(self, texts):
+        super().__init__(texts)
+        self.pairs = Counter(p for t in texts for p in self.steps(t))
+
+    def steps(self, text):
+        tokens = [b"", *B.words_of(text), b""]
+        return list(zip(tokens, tokens[1:]))
+
+    def behind(self, before, word):
+        end = math.log10((self.documents - B.DISCOUNT) / self.tokens) if self.tokens else math.log10(0.5)
+        lower = 10 ** (self.word(word) if word else end)
+        count = self.words[before] if before else self.documents
+        return math.log10((self.pairs[before, word] + B.CONTEXT_WEIGHT * lower) / (count + B.CONTEXT_WEIGHT))
+
+    def score(self, text):
+        return sum(self.behind(*step) for step in self.steps(text))
+
+
+def test_contexts_equal_the_definition(spark, monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(B, "SHARD_BYTES", 4000)
+    monkeypatch.setattr(B, "BUCKET_BYTES", 3000)
+    rows = [(i, prose(rng, rng.randint(0, 60)) + f" rare{rng.randrange(40)} \u00c9") for i in range(150)] + [(150, None), (151, ""), (None, "a b")]
+    model = PlainPairs([t or "" for i, t in rows if not held(i)])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r for r in B.score(df, id_remainder("doc_id", 10) == 0, contexts=True).collect()}
+    assert len(found) == len(rows)
+    for i, t in rows:
+        words = B.words_of(t or "")
+        got = found[i]
+        assert (got.held_out, got.n_tokens, got.train_tokens) == (held(i), len(words) + 1, model.tokens)
+        assert got.n_known == sum(model.words[w] > 0 for w in words) + 1
+        assert got.base_score == pytest.approx(model.base(t or "")) and got.score == pytest.approx(model.score(t or ""))
+    # the followers of a word and the end share what there is
+    assert 0 < sum(10 ** model.behind(b"fox", w) for w in [*model.words, b""]) <= 1 + 1e-9
+
+
+def test_query_scores_words_behind_the_word_before(spark, tmp_path):
+    """Two texts of the same words score apart if only one has them in an order that was learnt."""
+    learnt = [i for i in range(1, 90) if not held(i)]
+    rows = [(i, "red fox jumps high") for i in learnt] + [(next(i for i in range(100) if held(i)), "high jumps fox red")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.held_out: r for r in queries.op10_backoff_lm(spark, str(tmp_path)).collect()}
+    assert found[True].base_score == pytest.approx(found[False].base_score)
+    assert found[True].score < found[False].score - 4
+
+
+def test_contexts_without_training(spark):
+    """Without training documents every word is spelled, as without contexts; an empty table gives no rows."""
+    df = odd_documents(spark)
+    untaught = df.filter(id_remainder("doc_id", 10) == 0)
+    scores = [sorted(r.score for r in B.score(untaught, id_remainder("doc_id", 10) == 0, contexts=c).collect()) for c in (False, True)]
+    assert scores[0] == pytest.approx(scores[1])
+    assert B.score(empty(spark, "doc_id long, text string"), id_remainder("doc_id", 10) == 0, contexts=True).count() == 0
+    assert B.score(df, id_remainder("doc_id", 10) == 0, contexts=True).count() == df.count()
