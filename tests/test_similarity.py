@@ -88,3 +88,13 @@ def test_length_and_overlap_without_gaps(spark, pairs):
         assert r["common_word_count"] == len(x & y)
         assert r["common_word_ratio"] == pytest.approx(len(x & y) / len(x | y) if x | y else 0.0)
         assert r["len_q1_words"] == len(r["a"].split()) and r["len_diff_chars"] == abs(len(r["a"]) - len(r["b"]))
+
+
+def test_subsequences_whose_carries_pass_the_highest_bit():
+    """Every step may carry out of the bits of a text; none of it counts, whatever follows."""
+    rng = random.Random(3)
+    for a, b in [("ab" * 40, "b" * 70 + "a" * 70), ("x" + "a" * 64 + "y", "z" + "a" * 200 + "w"), ("a" * 31 + "b", "c" + "ba" * 50 + "d")]:
+        assert lcs_length(a, b) == lcs_length(b, a) == lcs(a, b)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("abcé") for _ in range(rng.randrange(140))) for _ in range(2))
+        assert lcs_length(a, b) == lcs(a, b)
