@@ -1,9 +1,13 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd  # noqa: F401  pyarrow imports it when needed, which must not count as memory of a shard
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from helpers import empty, odd_documents, prose
 
@@ -162,3 +166,33 @@ def test_contexts_without_training(spark):
     assert scores[0] == pytest.approx(scores[1])
     assert B.score(empty(spark, "doc_id long, text string"), id_remainder("doc_id", 10) == 0, contexts=True).count() == 0
     assert B.score(df, id_remainder("doc_id", 10) == 0, contexts=True).count() == df.count()
+
+
+def test_memory_of_a_shard_per_token(monkeypatch):
+    """What is computed for every token of a shard is held for a slice of them, when asking and when scoring."""
+    monkeypatch.setattr(B, "SOME_TOKENS", 1 << 12)
+    rng = np.random.default_rng(3)
+    number = {b"w%d" % i: i for i in range(500)}
+    arrays = [rng.integers(0, 500, 1000).astype(np.uint32) for _ in range(300)]
+    tokens = 300 * 1001
+    schema = pa.schema([
+        ("shard", pa.int64()), ("bucket", pa.int32()), ("word_keys", pa.binary()), ("word_counts", pa.binary()), ("gram_keys", pa.binary()),
+        ("gram_counts", pa.binary()), ("pair_keys", pa.binary()), ("pair_counts", pa.binary()), ("ids", pa.list_(pa.int64())),
+        ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("stream", pa.binary()), ("vocabulary", pa.binary())])
+
+    def peak_of(function):
+        tracemalloc.start()
+        result = function()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return result, peak / tokens
+
+    batches, asking = peak_of(lambda: list(B._shard_rows(0, list(range(300)), [False] * 300, arrays, number, 4, schema, True)))
+    rows = pa.Table.from_batches(batches)
+    asks = rows.filter(pc.greater_equal(rows["bucket"], 0))
+    answers = pa.concat_tables([B._answer(asks.filter(pc.equal(asks["bucket"], b))) for b in range(4)])
+    documents = rows.filter(pc.less(rows["bucket"], 0)).select(["shard", "ids", "held", "sizes", "stream", "vocabulary"])
+    scored, scoring = peak_of(lambda: B._scored(
+        documents, answers.filter(pc.equal(answers["shard"], 0)), B.Totals(tokens, 501, 300), "doc_id", pa.int64(), 4, True))
+    assert scored.num_rows == 300
+    assert asking < 40 and scoring < 40
