@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd  # noqa: F401  pyarrow imports it when needed, which must not count as memory of a shard
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import pytest
 from helpers import empty, odd_documents, prose
 
@@ -196,3 +197,18 @@ def test_memory_of_a_shard_per_token(monkeypatch):
         documents, answers.filter(pc.equal(answers["shard"], 0)), B.Totals(tokens, 501, 300), "doc_id", pa.int64(), 4, True))
     assert scored.num_rows == 300
     assert asking < 40 and scoring < 40
+
+
+def test_long_rows_are_stored_in_small_groups(spark, monkeypatch):
+    """Readers decode a group of rows at once, so rows that hold a shard or a bucket must not share large ones."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join("w%d" % w for w in rng.integers(0, 10**6, 1500))) for i in range(120)]
+    monkeypatch.setattr(B, "BUCKET_BYTES", 3000)
+    monkeypatch.setitem(B.LONG_ROWS, "parquet.block.size", str(1 << 16))
+    stored = []
+    monkeypatch.setattr(B, "materialize", lambda *args, write=B.materialize, **options: stored.append(write(*args, **options)) or stored[-1])
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert B.score(df, id_remainder("doc_id", 10) == 0, contexts=True).count() == 120
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in stored[0].inputFiles()]
+    assert max(m.num_row_groups for m in files) > 1
+    assert {m.row_group(0).column(0).compression for m in files if m.num_row_groups} == {"ZSTD"}
