@@ -80,13 +80,15 @@ def _write_state(spark: SparkSession, root: str, state: State) -> None:
 
 
 def _write_segment(postings: DataFrame, ids: DataFrame, root: str, batch: int) -> Segment:
-    """Postings in order of bucket and term, ids in order: a search and a lookup skip what their filters exclude.
+    """Postings in order of bucket and hash of the term, ids in order: a search and a lookup skip what their filters exclude.
 
-    Segments are often small, so a bucket is a column of sorted files and no folder of its own.
+    Segments are often small, so a bucket is a column of sorted files and no folder of its own. Bucket and hash
+    are one number, which sorts without comparing terms.
     """
     name = uuid.uuid4().hex
-    order = ["bucket", "term", "question_id"]
-    placed = postings.withColumn("bucket", bm25.bucket_of(F.col("term"))).repartitionByRange(*order).sortWithinPartitions(*order)
+    # the upper 8 bits hold the bucket, below the sign; not a column, so that it does not move with the rows
+    place = F.shiftleft(F.col("bucket").cast("long"), 55).bitwiseOR(F.shiftrightunsigned(F.xxhash64("term"), 9))
+    placed = postings.withColumn("bucket", bm25.bucket_of(F.col("term"))).repartitionByRange(place, "question_id").sortWithinPartitions(place)
     placed.write.parquet(f"{root}/segments/{name}/postings")
     ids.repartitionByRange("question_id").sortWithinPartitions("question_id").write.parquet(f"{root}/segments/{name}/ids")
     size = _ids(ids.sparkSession, root, name).agg(F.count("*").alias("n"), F.coalesce(F.sum("doc_len"), F.lit(0)).alias("tokens")).first()

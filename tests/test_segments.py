@@ -115,3 +115,16 @@ def test_ingested_questions_are_found_by_keyword(spark, queries, tmp_path):
     ingest.ingest_batch(again, 1, target, ["n"])
     assert hits(segments.load(spark, keywords), wanted) == found
     assert segments.load(spark, keywords).stats.first()["n"] == 32
+
+
+def test_postings_lie_by_bucket_and_hash(spark, tmp_path):
+    """One number orders the postings, so that terms are not compared; rows of a bucket and of a term stay together."""
+    root = str(tmp_path / "index")
+    rows = [(i, " ".join(f"word{(i * 7 + j * j) % 300}" for j in range(40))) for i in range(200)]
+    segments.append(spark.createDataFrame(rows, "question_id long, question_text string"), 0, root)
+    postings = spark.read.parquet(f"{root}/segments/*/postings").select(
+        "bucket", F.shiftrightunsigned(F.xxhash64("term"), 9).alias("hash"), "question_id", F.input_file_name().alias("file")).collect()
+    assert len(postings) > 2000
+    for file in {r["file"] for r in postings}:
+        own = [(r["bucket"], r["hash"]) for r in postings if r["file"] == file]
+        assert own == sorted(own)
