@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from nearkin.operators import vectors as vx
@@ -199,3 +200,42 @@ def test_principal_axes_are_orthogonal_and_bounded(spark, data, monkeypatch):
     monkeypatch.setattr(vx, "MAX_AXES", 4)
     assert vx.principal_axes(df) is None
     assert vx.principal_axes(df.limit(0)) is None
+
+
+def by_hand(rows, k, inside=None):
+    """Best ``k`` other rows of every row by rounded score and then place."""
+    scores = np.round(rows @ rows.T, 9)
+    np.fill_diagonal(scores, -np.inf)
+    if inside is not None:
+        scores[~inside] = -np.inf
+    return [[int(j) for j in np.lexsort((np.arange(len(rows)), -s))[:k] if np.isfinite(s[j])] for s in scores]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_blocks_of_both_sides_meet_without_copies(spark, monkeypatch, kind):
+    """Every vector is packed once and every pair of partitions is a task, whatever the number of blocks."""
+    rng = np.random.default_rng(31)
+    rows = rng.integers(-3, 4, size=(500, 6)).astype("float32").astype("float64")  # many ties, lengths that differ
+    rows[480:] = 0
+    rows[:40] *= 1e-4
+    monkeypatch.setattr(vx, "PAIR_ROWS", 40)
+    monkeypatch.setattr(vx, "HELD_BYTES", 1000)
+    monkeypatch.setattr(vx, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(vx, "CHUNK_ROWS", 16)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], f"id long, embedding array<{kind}>")
+    index = vx.build_vector_index(df, cells=20)
+    blocks = vx._packed(index.vectors.select("id", "embedding", "cell"), ["cell"], "cell", 500).blocks.collect()
+    ids = np.concatenate([np.frombuffer(b["ids"], np.int64) for b in blocks])
+    assert sorted(ids) == list(range(500)) and max(len(b["ids"]) // 8 for b in blocks) <= 40
+    found = vx.knn_by_bounds(queries_of(df), index, 5, skip_self=True)
+    assert "CartesianProduct" in found._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["question_id"])
+    assert [got[i] for i in range(500)] == by_hand(rows, 5)
+
+
+def test_vectors_of_unequal_length_do_not_pass(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0], 0), (2, [1.0], 0)], "id long, embedding array<double>, cell int").repartition(1)
+    with pytest.raises(Exception, match="unequal length"):
+        vx._packed(df, ["cell"], "cell", 2).blocks.collect()
