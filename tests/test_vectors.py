@@ -239,3 +239,20 @@ def test_vectors_of_unequal_length_do_not_pass(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 0), (2, [1.0], 0)], "id long, embedding array<double>, cell int").repartition(1)
     with pytest.raises(Exception, match="unequal length"):
         vx._packed(df, ["cell"], "cell", 2).blocks.collect()
+
+
+def test_clustering_into_many_cells_compares_a_vector_with_few(spark, monkeypatch):
+    """Cells beyond some hundred start from two levels and then settle over all vectors as in one."""
+    unit = np.random.default_rng(4).normal(size=(900, 6))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(unit)], "id long, embedding array<double>")
+    asked, kmeans = [], vx.KMeans
+    monkeypatch.setattr(vx, "KMeans", lambda k, **options: asked.append(k) or kmeans(k=k, **options))
+    index = vx.build_vector_index(df, cells=300)
+    assert asked == [18] and 250 < index.centroids.count() <= 320
+    centers = np.array([r["centroid"] for r in index.centroids.orderBy("cell").collect()])
+    cells = np.array([r["cell"] for r in index.vectors.orderBy("id").collect()])
+    assert len(cells) == 900 and cells.tolist() == np.round(unit @ centers.T, 9).argmax(axis=1).tolist()
+    # as close as the clustering of all at once
+    whole = np.array(kmeans(k=300, distanceMeasure="cosine", maxIter=10, seed=42).fit(df.select(array_to_vector("embedding").alias("features"))).clusterCenters())
+    own = unit / np.linalg.norm(unit, axis=1, keepdims=True)
+    assert (own @ centers.T).max(axis=1).mean() > (own @ (whole / np.linalg.norm(whole, axis=1, keepdims=True)).T).max(axis=1).mean() - 0.005
