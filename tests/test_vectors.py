@@ -256,3 +256,34 @@ def test_clustering_into_many_cells_compares_a_vector_with_few(spark, monkeypatc
     whole = np.array(kmeans(k=300, distanceMeasure="cosine", maxIter=10, seed=42).fit(df.select(array_to_vector("embedding").alias("features"))).clusterCenters())
     own = unit / np.linalg.norm(unit, axis=1, keepdims=True)
     assert (own @ centers.T).max(axis=1).mean() > (own @ (whole / np.linalg.norm(whole, axis=1, keepdims=True)).T).max(axis=1).mean() - 0.005
+
+
+def test_probed_cells_finish_few_inner_products():
+    """Of the cells that a query probes only vectors that reach its k-th score are finished, and no others are found."""
+    rng = np.random.default_rng(12)
+    rows = rng.normal(size=(6000, 16))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    cells, ids = rng.integers(0, 40, 6000), np.arange(6000)
+    probed = rng.random((300, 40)) < 0.5
+    best = vx._Best(ids[:300], rows[:300], np.full(300, -np.inf), 10)
+    met = vx._Rows(ids, rows)
+    for at in range(0, 6000, vx.CHUNK_ROWS):
+        best.meet(met, slice(at, at + vx.CHUNK_ROWS), cells, probed)
+    scores = np.where(probed[:, cells], np.round(rows[:300] @ rows.T, 9), -np.inf)
+    expected_ids = np.argsort(-scores, axis=1, kind="stable")[:, :10]
+    assert best.hits()["question_id"].to_numpy().reshape(300, 10).tolist() == expected_ids.tolist()
+    assert best.finished - 300 * vx.CHUNK_ROWS < 0.05 * 300 * 6000
+
+
+def test_blocks_bring_the_centroids_of_their_own_cells(spark):
+    """With very many cells no task that scores vectors holds all centroids."""
+    rows = [(i, [float(i), 1.0], i // 3) for i in range(300)]
+    centers = [(c, [float(c), -1.0]) for c in range(100)]
+    placed = spark.createDataFrame(rows, "id long, embedding array<float>, cell int").join(
+        spark.createDataFrame(centers, "cell int, centroid array<double>"), "cell").repartition(4, "cell")
+    seen = 0
+    for b in vx._packed(placed.select("id", "embedding", "cell", "centroid"), ["cell"], "cell", 300).blocks.collect():
+        cells = np.unique(np.frombuffer(b["cell"], np.int32))
+        assert np.frombuffer(b["centers"]).reshape(-1, 2).tolist() == [[float(c), -1.0] for c in cells]
+        seen += len(cells)
+    assert seen == 100
