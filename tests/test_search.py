@@ -84,6 +84,35 @@ def test_blocks_under_the_floor_are_not_read(spark, monkeypatch):
     assert skipped > 4 * read > 0 and all(i % 10 == 0 and i < 200 for i in best.ids)
 
 
+@pytest.mark.parametrize("share, at_once", [(1 / 800, 1 << 19), (2.0, 50), (0.0, 1 << 19)])
+def test_many_queries_are_scored_together(spark, monkeypatch, share, at_once):
+    """Equal to one query after another, ties, missing ids and unknown terms included, without a call for each query and shard."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(rng.choices(words, [1 / (i + 1) for i in range(200)], k=rng.randint(1, 30))) for _ in range(900)]
+    texts[300:340] = [texts[0]] * 40  # more ties than wanted
+    corpus = spark.createDataFrame([*enumerate(texts), (None, "w150 w199")], "question_id long, question_text string")
+    asked = [(i, " ".join(rng.choices(words + ["unknown"], k=rng.randint(1, 12)))) for i in range(150)] + [(200, texts[0]), (None, "w3 w150")]
+    queries = spark.createDataFrame(asked, "query_id long, query_text string")
+    index = bm25.build_index(corpus)
+    monkeypatch.setattr(bm25.block_max, "SHARD_DOCUMENTS", 200)
+
+    def hits():
+        return sorted(map(tuple, bm25.search(index, queries, 7).collect()), key=str)
+
+    monkeypatch.setattr(bm25.block_max, "MANY_QUERIES", 1000)
+    for limit in (200_000, 0):
+        monkeypatch.setattr(bm25, "BROADCAST_QUERY_TERMS", limit or 400)
+        one_by_one = hits()
+        with monkeypatch.context() as many:
+            many.setattr(bm25.block_max, "MANY_QUERIES", 1)
+            many.setattr(bm25.block_max, "QUERY_BLOCK", 16)
+            many.setattr(bm25.block_max, "DENSE_SHARE", share)
+            many.setattr(bm25.block_max, "POSTINGS_AT_ONCE", at_once)
+            many.setattr(bm25.block_max, "Shard", None)  # and without the maxima of blocks
+            assert hits() == one_by_one and len(one_by_one) > 150 * 5
+
+
 def test_rrf_examples(spark):
     a = spark.createDataFrame([(1, 1, 10, 0.9), (1, 2, 20, 0.8)], RANKED)
     b = spark.createDataFrame([(1, 1, 20, 5.0), (1, 2, 10, 4.0)], RANKED)
