@@ -86,13 +86,14 @@ def test_blocks_under_the_floor_are_not_read(spark, monkeypatch):
 
 @pytest.mark.parametrize("share, at_once", [(1 / 800, 1 << 19), (2.0, 50), (0.0, 1 << 19)])
 def test_many_queries_are_scored_together(spark, monkeypatch, share, at_once):
-    """Equal to one query after another, ties, missing ids and unknown terms included, without a call for each query and shard."""
+    """Equal to one query after another, ties, missing and repeated ids and unknown terms included, without a call for each query and shard."""
     rng = random.Random(9)
     words = [f"w{i}" for i in range(200)]
     texts = [" ".join(rng.choices(words, [1 / (i + 1) for i in range(200)], k=rng.randint(1, 30))) for _ in range(900)]
     texts[300:340] = [texts[0]] * 40  # more ties than wanted
-    corpus = spark.createDataFrame([*enumerate(texts), (None, "w150 w199")], "question_id long, question_text string")
-    asked = [(i, " ".join(rng.choices(words + ["unknown"], k=rng.randint(1, 12)))) for i in range(150)] + [(200, texts[0]), (None, "w3 w150")]
+    twice = [*list(enumerate(texts))[100:200], (7, texts[8])]
+    corpus = spark.createDataFrame([*enumerate(texts), (None, "w150 w199"), *twice], "question_id long, question_text string")
+    asked = [(3, "w0 w1 w3")] + [(i, " ".join(rng.choices(words + ["unknown"], k=rng.randint(1, 12)))) for i in range(150)] + [(200, texts[0]), (None, "w3 w150")]
     queries = spark.createDataFrame(asked, "query_id long, query_text string")
     index = bm25.build_index(corpus)
     monkeypatch.setattr(bm25.block_max, "SHARD_DOCUMENTS", 200)
