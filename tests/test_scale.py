@@ -83,6 +83,26 @@ def test_word_vectors_beyond_the_broadcast_bound(spark, monkeypatch):
     assert "FlatMapCoGroupsInPandas" in plan
 
 
+@pytest.mark.parametrize("bound, join", [(1 << 20, "BroadcastHashJoin"), (3, "SortMergeJoin")])
+def test_pairs_get_the_numbers_of_their_words_without_a_shuffle(spark, monkeypatch, bound, join):
+    pairs = spark.createDataFrame([(i, f"a{i % 7} b{i % 5} common a{i % 7}", f"b{i % 3} c{i}") for i in range(60)], "pair_id long, question1 string, question2 string")
+    words = [f"{k}{i}" for k in "ab" for i in range(7)] + ["common", "common"]
+    table = spark.createDataFrame([(w, v.tolist()) for w, v in zip(words, _unit(len(words), 5))], "word string, vector array<float>")
+    shipped = sorted(map(tuple, features.word_vector_cosine(pairs, "pair_id", "question1", "question2", table).collect()))
+    monkeypatch.setattr(features, "BROADCAST_WORDS", 3)
+    monkeypatch.setattr(features, "NAMED_WORDS", bound)
+    plans, write = {}, features.materialize
+    monkeypatch.setattr(features, "materialize", lambda df, name, **o: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and None or write(df, name, **o))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = sorted(map(tuple, features.word_vector_cosine(pairs, "pair_id", "question1", "question2", table).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert [f[0] for f in found] == [s[0] for s in shipped] and np.allclose([f[1] for f in found], [s[1] for s in shipped], atol=1e-9)
+    assert join in plans["pair-words"]
+
+
 def test_stop_words_are_looked_up_in_a_set(spark):
     pairs = spark.createDataFrame([(1, "the quick the fox", "quick a fox jumps")], "is_duplicate int, question1 string, question2 string")
     found = explore.top_bigrams(pairs, "question1", "question2")
